@@ -1,0 +1,4 @@
+"""Every input of this domain arrives as one batch per fiscal period, so there is no streaming job.
+
+The feature-store append (`tillcast.sources.sinks.append_features`) is the incremental path.
+"""
