@@ -47,16 +47,16 @@ def excluded_stores(spark, sf):
     "key_crosswalk",
     "store_number:s hm_key:s",
     """SELECT store_number, coalesce(hm, store_number) AS hm_key FROM (
-         SELECT DISTINCT '9' || CAST(l_suppkey AS VARCHAR) AS store_number FROM lineitem
+         SELECT DISTINCT CAST(l_suppkey + 1000000000000 AS VARCHAR) AS store_number FROM lineitem
          UNION SELECT DISTINCT CAST(l_suppkey AS VARCHAR) FROM lineitem) x
        LEFT JOIN (SELECT k, min_by(hm, rk * 1000000000 + CAST(hm AS BIGINT)) AS hm FROM (
-         SELECT '9' || CAST(s_suppkey AS VARCHAR) AS k, CAST(s_suppkey AS VARCHAR) AS hm, 0 AS rk FROM supplier
+         SELECT CAST(s_suppkey + 1000000000000 AS VARCHAR) AS k, CAST(s_suppkey AS VARCHAR) AS hm, 0 AS rk FROM supplier
          UNION ALL SELECT CAST(s_suppkey AS VARCHAR), CAST(s_suppkey AS VARCHAR), 1 FROM supplier) GROUP BY k) m ON m.k = x.store_number""",
 )
 def key_crosswalk(spark, sf):
     li = tb.table(spark, sf, "lineitem")
     plain = li.select(F.col("l_suppkey").cast("string").alias("store_number")).distinct()
-    prefixed = plain.select(F.concat(F.lit("9"), "store_number").alias("store_number"))
+    prefixed = plain.select((F.col("store_number").cast("bigint") + tb.LABOR_ID_BASE).cast("string").alias("store_number"))
     mapping = dims.key_map(tb.hierarchy(spark, sf))
     return dims.attach_hm_key(prefixed.unionByName(plain).distinct(), mapping)
 
@@ -75,7 +75,7 @@ def record_keys(spark, sf):
 @query(
     "header_promotion",
     "Store_Number:s Heatmap_Store_Number:s State:s",
-    """SELECT '9' || CAST(s_suppkey AS VARCHAR) AS "Store_Number", CAST(s_suppkey AS VARCHAR) AS "Heatmap_Store_Number", n_name AS "State"
+    """SELECT CAST(s_suppkey + 1000000000000 AS VARCHAR) AS "Store_Number", CAST(s_suppkey AS VARCHAR) AS "Heatmap_Store_Number", n_name AS "State"
        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 )
 def header_promotion(spark, sf):
@@ -93,7 +93,7 @@ def header_promotion(spark, sf):
     "source:s store:s fiscal_year:i fiscal_period:i value:6",
     """SELECT 'budget' AS source, store_number AS store, fiscal_year + 1 AS fiscal_year, fiscal_period, sales * CAST(1.03 AS DOUBLE) AS value FROM sales WHERE fiscal_year < 2000
        UNION ALL SELECT 'forecast', store_number, fiscal_year, fiscal_period, sales FROM sales
-       UNION ALL SELECT 'labor', '9' || CAST(l_suppkey AS VARCHAR), year(d), month(d), sum(l_quantity * CAST(0.1 AS DOUBLE)) FROM lines GROUP BY 1, 2, 3, 4""",
+       UNION ALL SELECT 'labor', CAST(l_suppkey + 1000000000000 AS VARCHAR), year(d), month(d), sum(l_quantity * CAST(0.1 AS DOUBLE)) FROM lines GROUP BY 1, 2, 3, 4""",
     "sales lines",
 )
 def column_aliases(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillcast.config import ForecastConfig
 from tillcast.functions.casts import col
 from tillcast.functions.stats import wape
+from tillcast.operators.importance import permuted
 from tillcast.operators.ridge import x_sql
 
 MAX_STORE_BINS = 4096
@@ -19,7 +20,7 @@ MAX_STORE_BINS = 4096
 def _design(split: DataFrame, cfg: ForecastConfig, stores: int) -> DataFrame:
     """Features as numbers, plus the store: indexed while it fits the bins, else its training mean."""
     rows = split.where(F.col("split").isNotNull()).selectExpr(
-        f"`{cfg.store_col}` AS _store", "split", f"CAST(`{cfg.target}` AS DOUBLE) AS label",
+        f"`{cfg.store_col}` AS _store", cfg.fy, cfg.fp, "split", f"CAST(`{cfg.target}` AS DOUBLE) AS label",
         *[f"{x_sql(f)} AS f{i}" for i, f in enumerate(cfg.feature_list)],
     )
     if stores <= MAX_STORE_BINS:
@@ -29,10 +30,10 @@ def _design(split: DataFrame, cfg: ForecastConfig, stores: int) -> DataFrame:
     return rows.join(mean, "_store", "left").withColumn("_code", F.coalesce("_code", overall))
 
 
-def fit_forest(
+def fit_model(
     split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, depth: int = 8, leaf: int = 4, seed: int = 0
-) -> DataFrame:
-    """Scored rows (_store, split, label, features, prediction)."""
+) -> tuple[PipelineModel, DataFrame]:
+    """(fitted forest, its input rows)."""
     stores = split.where("split = 'train'").select(cfg.store_col).distinct().count()
     rows = _design(split, cfg, stores)
     stages = []
@@ -45,8 +46,36 @@ def fit_forest(
             numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxBins=max(32, min(stores, MAX_STORE_BINS) + 2)
         ),
     ]
-    return Pipeline(stages=stages).fit(rows.where("split = 'train'")).transform(rows)
+    return Pipeline(stages=stages).fit(rows.where("split = 'train'")), rows
+
+
+def fit_forest(split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, **how) -> DataFrame:
+    """Scored rows (_store, split, label, features, prediction)."""
+    model, rows = fit_model(split, cfg, trees, **how)
+    return model.transform(rows)
 
 
 def forest_errors(scored: DataFrame) -> DataFrame:
     return scored.groupBy("split").agg(wape("label", "prediction").alias("wape"), F.count(col("label")).alias("rows"))
+
+
+def forest_importance(
+    split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, repeats: int = 8, **how
+) -> DataFrame:
+    """(feature, mae_increase) on the validation rows; the forest is scored once per shuffled column.
+
+    Columns are shuffled by the same block-numbered join as for the linear model.
+    """
+    model, rows = fit_model(split, cfg, trees, **how)
+    named = rows.withColumnsRenamed({"_store": cfg.store_col}).where("split = 'valid'")
+    cells = [f"f{i}" for i in range(len(cfg.feature_list))]
+    mixed = permuted(named, cells, cfg, repeats)
+    base = model.transform(rows.where("split = 'valid'")).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).scalar()
+    out = None
+    for i, f in enumerate(cfg.feature_list):
+        swapped = mixed.withColumn(f"f{i}", F.col(f"shuffled_{i}")).withColumnRenamed(cfg.store_col, "_store")
+        error = model.transform(swapped).agg(
+            F.lit(f).alias("feature"), (F.avg(F.abs(F.col("label") - F.col("prediction"))) - base).alias("mae_increase")
+        )
+        out = error if out is None else out.unionByName(error)
+    return out

@@ -334,3 +334,39 @@ def standardized_coefficients(df: DataFrame, cfg: ForecastConfig = ForecastConfi
     gram = collect_gram(store_sums(df, features, cfg), features, cfg)
     theta = gram.solve(features, cfg.alpha, standardized=True)
     return dict(zip(features, (theta[1:] * gram.feature_sd(features)).tolist()))
+
+
+def deltas(errors: DataFrame, base: str) -> DataFrame:
+    """Adds delta: how much worse than the base candidate each one validates."""
+    reference = errors.where(F.col("candidate") == base).select("valid_wape").scalar()
+    return errors.withColumn("delta", F.col("valid_wape") - reference)
+
+
+def evaluate_origins(rows: DataFrame, cfg: ForecastConfig = ForecastConfig(), by: str = "holdout") -> DataFrame:
+    """(holdout, train_wape, valid_wape, gap): the same spec refitted at every forecast origin.
+
+    Rows carry their origin, so one pass collects the sums of all origins and one pass scores them.
+    """
+    features = tuple(cfg.feature_list)
+    usable = rows.where(F.col("split").isNotNull())
+    sums = store_sums(usable.where(F.col("split") == "train"), features, cfg, by=[by])
+    grams = collect_grams(sums, features, cfg, by=by)
+    effect, line = None, None
+    for key, gram in grams.items():
+        theta = gram.solve(features, cfg.alpha)
+        here = F.col(by) == F.lit(key)
+        d = effect_column(gram, features, theta, cfg.alpha, cfg.store_col)
+        y = F.expr(linear_sql(theta[0], features, theta[1:]))
+        effect = F.when(here, d) if effect is None else effect.when(here, d)
+        line = F.when(here, y) if line is None else line.when(here, y)
+    effects = sums.select(by, cfg.store_col, effect.alias("_d"))
+    scored = usable.join(effects, [by, cfg.store_col], "left").withColumn(
+        "_y", line + F.coalesce("_d", F.lit(0.0))
+    )
+    errors = scored.groupBy(by).agg(
+        *[
+            wape(F.when(F.col("split") == s, col(cfg.target)), "_y").alias(f"{s}_wape")
+            for s in ("train", "valid")
+        ]
+    )
+    return errors.withColumn("gap", F.col("valid_wape") - F.col("train_wape"))

@@ -1,0 +1 @@
+"""End-to-end runs: the feature batch and the full forecast run."""

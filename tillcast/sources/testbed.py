@@ -15,6 +15,7 @@ FIRST_DAY = "1995-01-01"
 N_PERIODS = 104  # FY1995 to FY2002
 LONG_PERIOD = 51  # FY1998 P13 lasts five weeks
 SHORT_FROM = "2000-11-05"  # begin of the last 14 periods with sales, the history of short stores
+LABOR_ID_BASE = 10**12  # labor systems number stores apart from sales systems
 CFG = ForecastConfig(exclude_stores=("1", "2"))
 
 
@@ -84,7 +85,7 @@ def sales_period(spark: SparkSession, sf: str, extra: bool = False) -> DataFrame
 def hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     sup, nation = table(spark, sf, "supplier"), table(spark, sf, "nation")
     return sup.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.concat(F.lit("9"), F.col("s_suppkey").cast("string")).alias("Store_Number"),
+        (F.col("s_suppkey") + LABOR_ID_BASE).cast("string").alias("Store_Number"),
         F.col("s_suppkey").cast("string").alias("Heatmap_Store_Number"),
         F.col("n_name").alias("State"),
     )
@@ -139,7 +140,7 @@ def budget(spark: SparkSession, sf: str) -> DataFrame:
 def labor(spark: SparkSession, sf: str) -> DataFrame:
     """One row per sales line, under the store's other id."""
     return store_lines(spark, sf).select(
-        F.concat(F.lit("9"), F.col("l_suppkey").cast("string")).alias("Labor_Store_Number"),
+        (F.col("l_suppkey") + LABOR_ID_BASE).cast("string").alias("Labor_Store_Number"),
         F.col("_day").alias("work_date"),
         F.col("l_returnflag").alias("dept"),
         (F.col("l_quantity") * 0.1).alias("total_hours"),
