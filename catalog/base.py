@@ -18,6 +18,7 @@ from tillcast.operators import dims
 from tillcast.operators.calendar import prepare_calendar
 from tillcast.operators.features import build_feature_table
 from tillcast.sources import testbed as tb
+from tillcast.sources.staging import staged
 
 CFG = tb.CFG
 
@@ -85,6 +86,11 @@ def features(spark: SparkSession, sf: str, keep: tuple[str, ...] = (), cfg=CFG)
     )
 
 
+def stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The feature table written once, for queries that fit and score."""
+    return staged(features(spark, sf))
+
+
 def history(spark: SparkSession, sf: str) -> DataFrame:
     """Observed sales of the stores that are not excluded."""
     return normalize_history(tb.sales_period(spark, sf)).where(~F.col("store_number").isin("1", "2"))
@@ -181,35 +187,63 @@ def view(name: str, deps: str, body: str) -> str:
     return name
 
 
-def ridge_views(name: str, rows: str, cols: list[str], alpha: float, where: str = "TRUE") -> str:
-    """Views <name>_t (solution) and <name>_d (store effects) of a ridge on `rows`, by elimination in SQL."""
+def _elimination(name: str, p: int, key: str = "") -> None:
+    """View <name>_t: solution list t of the augmented matrix in <name>_a (Gauss-Jordan), per key if given."""
+    k, by = (f"{key}, ", f" GROUP BY {key}") if key else ("", "")
+    view(f"{name}_m", f"{name}_a", f"SELECT {k}list(r ORDER BY j) AS m FROM (SELECT {k}j, list(v ORDER BY k) AS r FROM {name}_a GROUP BY {k}j){by}")
+    view(f"{name}_e", f"{name}_m", f"""
+        SELECT {k}1 AS k, m FROM {name}_m UNION ALL
+        SELECT {k}k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+            ELSE list_transform(r, lambda v, c: v - r[k] * m[k][c] / m[k][k]) END)
+        FROM {name}_e WHERE k <= {p + 1}""")
+    view(f"{name}_t", f"{name}_e", f"SELECT {k}list_transform(m, lambda r: r[{p + 2}]) AS t FROM {name}_e WHERE k = {p + 2}")
+
+
+def _products(name: str, rows: str, cols: list[str], where: str) -> None:
+    """Views <name>_z (inputs as a list) and <name>_g (sums of products per store)."""
     p = len(cols)
     z = ", ".join(["CAST(1 AS DOUBLE)", *cols, "sales"])
     view(f"{name}_z", rows, f"SELECT store_number, [{z}] AS z FROM {rows} WHERE {where}")
     view(f"{name}_g", f"{name}_z", f"""
         SELECT store_number, j, k, sum(z[j] * z[k]) AS q
         FROM {name}_z, range(1, {p + 3}) a(j), range(1, {p + 3}) b(k) GROUP BY 1, 2, 3""")
+
+
+def solo_ridge_views(name: str, rows: str, cols: list[str], alpha: float, where: str = "TRUE") -> str:
+    """View <name>_t: each store's own ridge."""
+    p = len(cols)
+    _products(name, rows, cols, where)
+    view(f"{name}_a", f"{name}_g", f"""
+        SELECT store_number, j, k, q + CASE WHEN j = k AND j > 1 THEN {alpha} ELSE 0 END AS v FROM {name}_g WHERE j <= {p + 1}""")
+    _elimination(name, p, "store_number")
+    return f"{name}_t"
+
+
+def ridge_views(
+    name: str, rows: str, cols: list[str], alpha: float, where: str = "TRUE", standardized: bool = False
+) -> str:
+    """Views <name>_t (solution) and <name>_d (store effects) of a pooled ridge, by elimination in SQL."""
+    p = len(cols)
+    _products(name, rows, cols, where)
+    total = f"(SELECT count(*) FROM {name}_z)"
+    shrink = f"{alpha} * n.s / {total} * (1 - n.s / {total})" if standardized else f"{alpha}"
+    penalty = f"{alpha} * max(v.sd2)" if standardized else f"{alpha}"
     view(f"{name}_s", f"{name}_g", f"SELECT store_number, k, q AS s FROM {name}_g WHERE j = 1")
-    view(f"{name}_a", f"{name}_s", f"""
+    view(f"{name}_v", f"{name}_z", f"SELECT j, var_pop(z[j]) AS sd2 FROM {name}_z, range(1, {p + 3}) a(j) GROUP BY 1")
+    view(f"{name}_a", f"{name}_s {name}_v", f"""
         SELECT g.j, g.k, sum(g.q - CASE WHEN g.store_number <> (SELECT min(store_number) FROM {name}_z)
-                 THEN sj.s * sk.s / (n.s + {alpha}) ELSE 0 END)
-               + CASE WHEN g.j = g.k AND g.j BETWEEN 2 AND {p + 1} THEN {alpha} ELSE 0 END AS v
+                 THEN sj.s * sk.s / (n.s + {shrink}) ELSE 0 END)
+               + CASE WHEN g.j = g.k AND g.j BETWEEN 2 AND {p + 1} THEN {penalty} ELSE 0 END AS v
         FROM {name}_g g JOIN {name}_s sj ON sj.store_number = g.store_number AND sj.k = g.j
         JOIN {name}_s sk ON sk.store_number = g.store_number AND sk.k = g.k
-        JOIN {name}_s n ON n.store_number = g.store_number AND n.k = 1
+        JOIN {name}_s n ON n.store_number = g.store_number AND n.k = 1 JOIN {name}_v v ON v.j = g.j
         WHERE g.j <= {p + 1} GROUP BY g.j, g.k""")
-    view(f"{name}_m", f"{name}_a", f"SELECT list(r ORDER BY j) AS m FROM (SELECT j, list(v ORDER BY k) AS r FROM {name}_a GROUP BY j)")
-    view(f"{name}_e", f"{name}_m", f"""
-        SELECT 1 AS k, m FROM {name}_m UNION ALL
-        SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
-            ELSE list_transform(r, lambda v, c: v - r[k] * m[k][c] / m[k][k]) END)
-        FROM {name}_e WHERE k <= {p + 1}""")
-    view(f"{name}_t", f"{name}_e", f"SELECT list_transform(m, lambda r: r[{p + 2}]) AS t FROM {name}_e WHERE k = {p + 2}")
+    _elimination(name, p)
     view(f"{name}_d", f"{name}_t {name}_s", f"""
         SELECT n.store_number, n.s AS n,
                CASE WHEN n.store_number = (SELECT min(store_number) FROM {name}_z) THEN 0
                     ELSE (SELECT max(CASE WHEN s.k = {p + 2} THEN s.s END) - sum(CASE WHEN s.k <= {p + 1} THEN s.s * t[s.k] ELSE 0 END)
-                          FROM {name}_s s WHERE s.store_number = n.store_number) / (n.s + {alpha}) END AS effect
+                          FROM {name}_s s WHERE s.store_number = n.store_number) / (n.s + {shrink}) END AS effect
         FROM {name}_s n, {name}_t WHERE n.k = 1""")
     return f"{name}_t {name}_d"
 

@@ -6,12 +6,16 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from catalog.base import CFG, FEATURE_SQL, calendar, features, history, period_events, query, ridge_line, ridge_views, view
+from catalog.base import (
+    CFG, FEATURE_SQL, calendar, features, history, period_events, query, ridge_line, ridge_views,
+    solo_ridge_views, stored_features, view,
+)
 from tillcast.config import FEATURES, LITE_FEATURES
 from tillcast.operators import forecast as fc
 from tillcast.operators import forest, importance, metrics, peers, ridge, selection, splits, storewise
 from tillcast.plans.run import run_pooled_ridge
 from tillcast.sources import testbed as tb
+from tillcast.sources.staging import staged
 
 STORE_PERIOD = "store_number:s fiscal_year:i fiscal_period:i"
 FSQL = dict(zip(FEATURES, FEATURE_SQL)) | {"Thanksgiving Eve": "te"}
@@ -22,10 +26,10 @@ def sql_cols(names) -> list[str]:
     return [FSQL[n] for n in names]
 
 
-def term_rows(spark, terms: dict[str, float], rows: int):
-    """Coefficients as rows; `rows` is the number of training rows behind them."""
+def term_rows(spark, terms: dict[str, float]):
+    """Coefficients as rows."""
     cells = F.array(*[F.struct(F.lit(k).alias("term"), F.lit(float(v)).alias("value")) for k, v in terms.items()])
-    return spark.range(1).select(F.inline(cells)).withColumn("rows", F.lit(rows))
+    return spark.range(1).select(F.inline(cells))
 
 
 # ---- sums and fits ---------------------------------------------------------------------------
@@ -56,7 +60,7 @@ def gram_stats(spark, sf):
     "feats",
 )
 def ridge_one_feature(spark, sf):
-    model = ridge.fit(features(spark, sf), replace(CFG, feature_list=(FEATURES[0],)))
+    model = ridge.fit(stored_features(spark, sf), replace(CFG, feature_list=(FEATURES[0],)))
     return spark.range(1).select(F.lit(model.intercept).alias("intercept"), F.lit(model.weights[0]).alias("weight"))
 
 
@@ -72,8 +76,8 @@ _FULL = ridge_views("full", "feats", FEATURE_SQL, 5)
     _FULL,
 )
 def ridge_fit(spark, sf):
-    model = ridge.fit(features(spark, sf), CFG)
-    return term_rows(spark, model.coefficients(), 0)
+    model = ridge.fit(stored_features(spark, sf), CFG)
+    return term_rows(spark, model.coefficients())
 
 
 @query(
@@ -83,7 +87,7 @@ def ridge_fit(spark, sf):
     _FULL,
 )
 def store_effects(spark, sf):
-    return ridge.fit(features(spark, sf), CFG).effects
+    return ridge.fit(stored_features(spark, sf), CFG).effects
 
 
 @query(
@@ -111,7 +115,7 @@ def predict(spark, sf):
 )
 def predict_first_store_zero(spark, sf):
     """Scoring as with re-made dummies: the smallest store of the scored frame loses its effect."""
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     return ridge.fit(feats, CFG).score(feats.where("store_number <> '0'"), first_in_frame_zero=True)
 
 
@@ -132,8 +136,8 @@ _LEARN = ridge_views("learn", "gated", FEATURE_SQL, 5, "split = 'train'")
     f"gated {_LEARN}",
 )
 def ridge_metrics(spark, sf):
-    model = ridge.train(features(spark, sf), CFG)
-    return term_rows(spark, model.metrics, 0).withColumnRenamed("term", "metric")
+    model = ridge.train(stored_features(spark, sf), CFG)
+    return term_rows(spark, model.metrics).withColumnRenamed("term", "metric")
 
 
 # ---- candidate comparison --------------------------------------------------------------------
@@ -167,7 +171,7 @@ _sql, _views = candidate_sql("grid", "tier", as_sql(GRID))
 
 @query("alpha_grid", "candidate:s train_wape:6 valid_wape:6", _sql, _views)
 def alpha_grid(spark, sf):
-    return ridge.evaluate_candidates(splits.split_last_k(features(spark, sf), CFG), GRID, CFG)
+    return ridge.evaluate_candidates(splits.split_last_k(stored_features(spark, sf), CFG), GRID, CFG)
 
 
 @query(
@@ -177,7 +181,7 @@ def alpha_grid(spark, sf):
     _views,
 )
 def best_alpha(spark, sf):
-    errors = ridge.evaluate_candidates(splits.split_last_k(features(spark, sf), CFG), GRID, CFG)
+    errors = ridge.evaluate_candidates(splits.split_last_k(stored_features(spark, sf), CFG), GRID, CFG)
     return errors.orderBy("valid_wape", "candidate").limit(1)
 
 
@@ -193,7 +197,7 @@ _sql, _views = candidate_sql("drops", "tier", as_sql(DROPS))
 )
 def drop_one(spark, sf):
     return ridge.deltas(
-        ridge.evaluate_candidates(splits.split_last_k(features(spark, sf), CFG), DROPS, CFG), "all"
+        ridge.evaluate_candidates(splits.split_last_k(stored_features(spark, sf), CFG), DROPS, CFG), "all"
     )
 
 
@@ -216,17 +220,16 @@ _sql, _views = candidate_sql("adds", "tier18", as_sql(ADDS))
 )
 def add_features(spark, sf):
     """Events, price index and period length added to the lean features; stores with 18 rows only."""
-    wide = replace(CFG, feature_list=(*FEATURES, "Thanksgiving Eve"))
-    rows = _with_thanksgiving(spark, sf, wide)
+    rows = _with_thanksgiving(spark, sf)
     split = splits.split_last_k(rows, CFG, train_min=18, valid_min=18)
     return ridge.deltas(ridge.evaluate_candidates(split, ADDS, CFG), "base")
 
 
-def _with_thanksgiving(spark, sf, cfg):
+def _with_thanksgiving(spark, sf):
     from tillcast.operators.dims import attach_event_flags
 
     flags = period_events(spark).select("event_date", "Thanksgiving Eve")
-    return attach_event_flags(features(spark, sf), flags, ["event_date"])
+    return staged(attach_event_flags(features(spark, sf), flags, ["event_date"]))
 
 
 WEATHER = [ridge.Candidate("base", LEAN), ridge.Candidate("weather", (*LEAN, "avg_temp"))]
@@ -245,7 +248,7 @@ def weather_test(spark, sf):
     from tillcast.operators import dims
 
     rows = dims.attach_state(features(spark, sf), tb.hierarchy(spark, sf))
-    rows = dims.attach_weather(rows, dims.weather_by_period(tb.weather_wide(spark, sf), calendar(spark)))
+    rows = staged(dims.attach_weather(rows, dims.weather_by_period(tb.weather_wide(spark, sf), calendar(spark))))
     split = splits.split_last_k(rows, CFG, train_min=18, valid_min=18)
     return ridge.evaluate_candidates(split, WEATHER, CFG)
 
@@ -264,16 +267,24 @@ _five, _v5 = candidate_sql("ob", "origin5", [("5", FEATURE_SQL, 5)])
     f"{_v6} {_v5}",
 )
 def origin_stability(spark, sf):
-    rows = splits.split_origins(features(spark, sf), [6, 5], CFG)
+    rows = splits.split_origins(stored_features(spark, sf), [6, 5], CFG)
     return ridge.evaluate_origins(rows, CFG)
 
 
+_STD = ridge_views("std", "feats", FEATURE_SQL, 5, standardized=True)
+
+
 @query(
     "std_coefs",
     "term:s value:2",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS term, t[{i + 2}] * (SELECT stddev_pop({c}) FROM feats) AS value FROM std_t"
+        for i, (n, c) in enumerate(zip(FEATURES, FEATURE_SQL))
+    ),
+    f"feats {_STD}",
 )
 def std_coefs(spark, sf):
-    return term_rows(spark, ridge.standardized_coefficients(features(spark, sf), CFG), 0)
+    return term_rows(spark, ridge.standardized_coefficients(stored_features(spark, sf), CFG))
 
 
 # ---- future rows, recursion, scenarios -------------------------------------------------------
@@ -308,7 +319,7 @@ view("grid", "lastrow cal evp", """
     "feats fx_t fx_d",
 )
 def score_fixed_coefs(spark, sf):
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     return fixed_model(spark, sf, feats).score(feats)
 
 
@@ -355,7 +366,7 @@ for _name, _seed, _update in (("actual", "actual", True), ("stale", "lag", True)
     _sql, _views = recursion_sql(f"rec_{_name}", "fx", "actual" if _seed == "actual" else "sales_m1", _update)
 
     def _recursive(spark, sf, seed=_seed, update=_update):
-        feats = features(spark, sf)
+        feats = stored_features(spark, sf)
         grid = fc.future_grid(feats, calendar(spark), CFG, seed=seed)
         return fc.recursive_forecast(fixed_model(spark, sf, feats), grid, CFG, update)
 
@@ -423,7 +434,7 @@ _sql, _views = recursion_sql("rec_sc", "fx", "actual", True, "sgrid", "scenario"
 
 @query("scenario_forecast_fixed", f"{STORE_PERIOD} scenario:s h:i forecast:3", _sql, _views)
 def scenario_forecast_fixed(spark, sf):
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     grid = fc.future_grid(feats, calendar(spark), CFG)
     return fc.scenario_forecast(fixed_model(spark, sf, feats), grid, fc.cpi_paths(_cpi_rows(spark, sf)), CFG)
 
@@ -452,31 +463,42 @@ view("vplace", "vreps", """
     "vplace",
 )
 def permutation_importance(spark, sf):
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     valid = splits.split_last_k(feats, CFG).where("split = 'valid'")
     return importance.permutation_importance(fixed_model(spark, sf, feats), valid, CFG, repeats=3)
 
 
 @query("random_forest", "split:s wape:6 rows:b")
 def random_forest(spark, sf):
-    split = splits.split_last_k(features(spark, sf), CFG)
+    split = splits.split_last_k(stored_features(spark, sf), CFG)
     return forest.forest_errors(forest.fit_forest(split, CFG, trees=40))
 
 
 @query("random_forest_importance", "feature:s mae_increase:3")
 def random_forest_importance(spark, sf):
-    split = splits.split_last_k(features(spark, sf), CFG)
+    split = splits.split_last_k(stored_features(spark, sf), CFG)
     return forest.forest_importance(split, CFG, trees=20, repeats=2)
 
 
-@query("per_store_ridge", "store_number:s wape:6 mae:2 mean_actual_sales:2")
+_SOLO = solo_ridge_views("solo", "tier18", FEATURE_SQL, 5, "split = 'train'")
+_SOLO_ERRORS = f"""SELECT store_number, sum(abs(sales - ({ridge_line('solo', FEATURE_SQL)}))) / sum(abs(sales)) AS wape,
+    avg(abs(sales - ({ridge_line('solo', FEATURE_SQL)}))) AS mae, avg(sales) AS mean_actual_sales
+    FROM tier18 JOIN solo_t USING (store_number) WHERE split = 'valid' GROUP BY 1"""
+
+
+@query("per_store_ridge", "store_number:s wape:6 mae:2 mean_actual_sales:2", _SOLO_ERRORS, f"tier18 {_SOLO}")
 def per_store_ridge(spark, sf):
-    return storewise.store_ridge_errors(features(spark, sf), CFG)
+    return storewise.store_ridge_errors(stored_features(spark, sf), CFG)
 
 
-@query("per_store_ridge_summary", "p10:6 median:6 p90:6 mean:6")
+@query(
+    "per_store_ridge_summary",
+    "p10:6 median:6 p90:6 mean:6",
+    f"SELECT quantile_cont(wape, 0.1) AS p10, quantile_cont(wape, 0.5) AS median, quantile_cont(wape, 0.9) AS p90, avg(wape) AS mean FROM ({_SOLO_ERRORS})",
+    f"tier18 {_SOLO}",
+)
 def per_store_ridge_summary(spark, sf):
-    return metrics.store_error_summary(storewise.store_ridge_errors(features(spark, sf), CFG))
+    return metrics.store_error_summary(staged(storewise.store_ridge_errors(stored_features(spark, sf), CFG)))
 
 
 # ---- peers and choice ------------------------------------------------------------------------
@@ -499,9 +521,8 @@ view("peers", "spots", """
       FROM spots s JOIN spots l ON l.cluster = s.cluster AND l.cohort = 'long' WHERE s.cohort = 'short') WHERE r <= 3""")
 
 
-def _peers(spark, sf, blocks: int = 200):
+def _peers(hist, blocks: int = 200):
     """Peers by mean sales in two id-based groups, so that SQL can repeat the choice."""
-    hist = history(spark, sf)
     spots = hist.groupBy("store_number").agg(F.avg("actual").alias("pc1")).withColumn(
         "cluster", (F.col("store_number").cast("int") % 3 == 0).cast("int")
     )
@@ -510,7 +531,7 @@ def _peers(spark, sf, blocks: int = 200):
 
 @query("peers_long", "store_number:s peer_rank:i peer:s", "SELECT * FROM peers", "peers")
 def peers_long(spark, sf):
-    return peers.peers_long(peers.peers_wide(_peers(spark, sf)))
+    return peers.peers_long(peers.peers_wide(_peers(staged(history(spark, sf)))))
 
 
 @query(
@@ -535,17 +556,17 @@ view("peerfc", "nfc scale peers naxis", """
 
 
 def _next6(spark, sf, feats=None):
-    feats = features(spark, sf) if feats is None else feats
+    feats = stored_features(spark, sf) if feats is None else feats
     return fc.recursive_forecast(fixed_model(spark, sf, feats), fc.future_grid(feats, calendar(spark), CFG), CFG)
 
 
-def _peer_fc(spark, sf, rows):
-    return peers.peer_scaled_forecast(history(spark, sf), rows, _peers(spark, sf), splits.last_axis(rows))
+def _peer_fc(hist, rows):
+    return peers.peer_scaled_forecast(hist, rows, _peers(hist), splits.last_axis(rows))
 
 
 @query("peer_scaled_forecast", f"{STORE_PERIOD} forecast:2 source:s", "SELECT *, 'peer' AS source FROM peerfc", "peerfc")
 def peer_scaled_forecast(spark, sf):
-    return _peer_fc(spark, sf, _next6(spark, sf))
+    return _peer_fc(staged(history(spark, sf)), staged(_next6(spark, sf)))
 
 
 @query(
@@ -557,9 +578,9 @@ def peer_scaled_forecast(spark, sf):
     "nfc peerfc cohorts",
 )
 def finalize_forecasts(spark, sf):
-    rows = _next6(spark, sf)
-    short = splits.history_cohorts(history(spark, sf)).where("cohort = 'short'")
-    return selection.finalize_forecasts(rows, _peer_fc(spark, sf, rows), short)
+    rows, hist = staged(_next6(spark, sf)), staged(history(spark, sf))
+    short = splits.history_cohorts(hist).where("cohort = 'short'")
+    return selection.finalize_forecasts(rows, _peer_fc(hist, rows), short)
 
 
 view("offaxis", "feats axis", "SELECT f.* FROM feats f ANTI JOIN axis USING (fiscal_year, fiscal_period)")
@@ -577,8 +598,9 @@ view("evalh", "hist axis pooled ohp cohorts", """
     LEFT JOIN ohp USING (store_number, fiscal_year, fiscal_period) LEFT JOIN cohorts c ON c.store_number = h.store_number""")
 
 
-def _eval_hist(spark, sf):
-    return selection.backtest(features(spark, sf), history(spark, sf), _peers(spark, sf), CFG)
+def _eval_hist(spark, sf, hist=None):
+    hist = staged(history(spark, sf)) if hist is None else hist
+    return selection.backtest(stored_features(spark, sf), hist, staged(_peers(hist)), CFG)
 
 
 @query(
@@ -620,7 +642,7 @@ def wape_by_group(spark, sf):
     "evalh",
 )
 def wape_percentiles(spark, sf):
-    return metrics.store_error_summary(metrics.store_errors(_eval_hist(spark, sf), "actual", "yhat_pooled"))
+    return metrics.store_error_summary(staged(metrics.store_errors(_eval_hist(spark, sf), "actual", "yhat_pooled")))
 
 
 @query(
@@ -640,8 +662,8 @@ view("assigned", "evalh", f"""
         SELECT store_number, cohort, {_W.format('pooled')}, {_W.format('peer')} FROM evalh GROUP BY 1, 2))""")
 
 
-def _assigned(spark, sf):
-    return selection.assign_store_models(selection.store_wapes(_eval_hist(spark, sf)))
+def _assigned(spark, sf, hist=None):
+    return selection.assign_store_models(selection.store_wapes(_eval_hist(spark, sf, hist)))
 
 
 @query(
@@ -662,8 +684,8 @@ view("finalfc", "nfc naxis peerfc assigned", """
 
 @query("final_forecast", f"{STORE_PERIOD} our_forecast:2 source:s", "SELECT * FROM finalfc", "finalfc")
 def final_forecast(spark, sf):
-    rows = _next6(spark, sf)
-    return selection.final_forecasts(rows, _peer_fc(spark, sf, rows), _assigned(spark, sf))
+    rows, hist = staged(_next6(spark, sf)), staged(history(spark, sf))
+    return selection.final_forecasts(rows, _peer_fc(hist, rows), _assigned(spark, sf, hist))
 
 
 @query(
@@ -674,6 +696,6 @@ def final_forecast(spark, sf):
     "feats fx_t fx_d",
 )
 def join_actuals(spark, sf):
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     past = history(spark, sf).where("fiscal_year < 2000")
     return metrics.join_actuals(fixed_model(spark, sf, feats).score(feats).drop("total_net_sales"), past)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import CFG, calendar, features, history, period_events, query, view
+from catalog.base import CFG, calendar, history, period_events, query, stored_features, view
 from catalog.models import STORE_PERIOD, _next6, fixed_model
 from tillcast.operators import budget, dims, drivers, labor, rollups
 from tillcast.operators import forecast as fc
 from tillcast.operators.features import gated_measures
 from tillcast.sources import testbed as tb
+from tillcast.sources.staging import staged
 
 # ---- drivers ---------------------------------------------------------------------------------
 
@@ -86,9 +87,9 @@ for _d, _expr in _LAGGED.items():
     "evfx advertising_fx",
 )
 def driver_summary(spark, sf):
-    ev = drivers.effect_summary(_event_effects(spark, sf), "percent_effect", ["event"]).withColumnRenamed("event", "driver")
+    ev = drivers.effect_summary(staged(_event_effects(spark, sf)), "percent_effect", ["event"]).withColumnRenamed("event", "driver")
     name = drivers.EFFECTS["advertising"][0]
-    ads = drivers.effect_summary(drivers.driver_effects(tb.sales_period(spark, sf), "advertising"), name)
+    ads = drivers.effect_summary(staged(drivers.driver_effects(tb.sales_period(spark, sf), "advertising")), name)
     return ev.unionByName(ads.withColumn("driver", F.lit("advertising")))
 
 
@@ -114,7 +115,7 @@ def keep_pivot(spark, sf):
     "salesx advertising_fx delivery_fx food_fx",
 )
 def gated_ratios(spark, sf):
-    sales = tb.sales_period(spark, sf, extra=True)
+    sales = staged(tb.sales_period(spark, sf, extra=True))
     flags = [drivers.keep_flags(drivers.driver_effects(sales, d), d) for d in drivers.EFFECTS]
     return gated_measures(drivers.attach_keep_flags(sales, *flags), CFG)
 
@@ -128,7 +129,7 @@ def gated_ratios(spark, sf):
 )
 def top_stores(spark, sf):
     """Most responsive to advertising; most sensitive to food cost."""
-    sales = tb.sales_period(spark, sf, extra=True)
+    sales = staged(tb.sales_period(spark, sf, extra=True))
     parts = []
     for d, ascending in (("advertising", False), ("food", True)):
         name = drivers.EFFECTS[d][0]
@@ -147,7 +148,7 @@ def top_stores(spark, sf):
 )
 def effect_histogram(spark, sf):
     name = drivers.EFFECTS["advertising"][0]
-    return drivers.effect_histogram(drivers.driver_effects(tb.sales_period(spark, sf), "advertising"), name)
+    return drivers.effect_histogram(staged(drivers.driver_effects(tb.sales_period(spark, sf), "advertising")), name)
 
 
 # ---- rollups ---------------------------------------------------------------------------------
@@ -234,7 +235,7 @@ _SCEN = [s.name for s in fc.SCENARIOS]
 def scenario_pivot(spark, sf):
     from catalog.models import _cpi_rows
 
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     grid = fc.future_grid(feats, calendar(spark), CFG)
     rows = fc.scenario_forecast(fixed_model(spark, sf, feats), grid, fc.cpi_paths(_cpi_rows(spark, sf)), CFG)
     return rollups.scenario_pivot(rows, _SCEN).withColumnsRenamed(dict(zip(_SCEN, ("baseline", "low", "high"))))
@@ -260,11 +261,11 @@ GAP = f"{STORE_PERIOD} forecast_baseline:2 budget_total_net_sales:6 gap_value:2
 
 
 def _budget_fc(spark, sf):
-    feats = features(spark, sf)
+    feats = stored_features(spark, sf)
     past = feats.where("fiscal_year = 2000").select(
         "store_number", "fiscal_year", "fiscal_period", (F.col("total_net_sales") * 1.1).alias("forecast")
     )
-    return _next6(spark, sf, feats).drop("h").unionByName(past)
+    return staged(_next6(spark, sf, feats).drop("h").unionByName(past))
 
 
 def _gaps(spark, sf):
@@ -365,16 +366,11 @@ def _labor(spark, sf, gate: float = labor.MIN_COVERAGE):
     "lstore",
 )
 def labor_coverage(spark, sf):
-    return labor.store_hours(labor.daily_hours(tb.labor(spark, sf), tb.fiscal_calendar(spark)))
+    return labor.store_hours(labor.dept_hours(tb.labor(spark, sf), tb.fiscal_calendar(spark)))
 
 
 def _hm_hours(spark, sf):
-    mapping = dims.key_map(tb.hierarchy(spark, sf))
-    daily = labor.daily_hours(tb.labor(spark, sf), tb.fiscal_calendar(spark))
-    period = ["hm_key", "fiscal_year", "fiscal_period"]
-    hours = labor.fold_to_hm(labor.to_hm(labor.store_hours(daily), mapping, None, None), period)
-    depts = labor.fold_to_hm(labor.to_hm(labor.dept_hours(daily), mapping, None, None), [*period, "department"])
-    return hours, depts
+    return labor.hours_by_hm(tb.labor(spark, sf), tb.fiscal_calendar(spark), dims.key_map(tb.hierarchy(spark, sf)))
 
 
 @query(

@@ -1,7 +1,7 @@
 """Labor hours, their split by department, and labor cost from sales forecasts.
 
-Labor rows are the largest input. They are folded to (store, day, department) on the map side right
-after the scan; everything later works on store-periods.
+Labor rows are the largest input. They are read once and folded to (store, period, department) on the
+map side; that small table is staged, and everything later works on it.
 """
 
 from __future__ import annotations
@@ -14,42 +14,49 @@ from tillcast.functions.names import normalize_forecast, normalize_labor
 from tillcast.operators.calendar import daily_calendar, prepare_calendar
 from tillcast.operators.dims import attach_hm_key, attach_state, keep_keys, key_map
 from tillcast.operators.ranking import exact_percentiles
+from tillcast.sources.staging import staged
 
 MIN_COVERAGE = 0.90
 MAX_DEPARTMENTS = 10_000
+MAX_DAYS = 63  # days of a fiscal period fit the bits of one long
 PERIOD = ["fiscal_year", "fiscal_period"]
 STORE_PERIOD = ["store_number", *PERIOD]
 
 
-def daily_hours(labor: DataFrame, calendar: DataFrame) -> DataFrame:
-    """(store, day, department) hours with the fiscal period; days outside the calendar drop out."""
-    rows = normalize_labor(labor)
-    folded = rows.groupBy("store_number", "event_date", "department").agg(sum0("hours").alias("hours"))
-    cal = daily_calendar(prepare_calendar(calendar), "days_in_period")
-    return folded.join(F.broadcast(cal), "event_date")
+def dept_hours(labor: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Hours per store, period and department, with the days worked as a bit set.
 
+    The period lookup is a broadcast join in the scan stage and days are folded into one long, so the
+    only shuffle of labor rows carries one partial sum per store, period and department. Days outside
+    the calendar drop out.
+    """
+    cal = daily_calendar(prepare_calendar(calendar), "days_in_period", "BeginningDate")
+    rows = normalize_labor(labor).join(F.broadcast(cal), "event_date")
+    worked = F.expr(
+        f"IF(days_in_period <= {MAX_DAYS}, shiftleft(1L, datediff(event_date, BeginningDate)),"
+        f" CAST(raise_error('fiscal period longer than {MAX_DAYS} days') AS BIGINT))"
+    )
+    return rows.groupBy(*STORE_PERIOD, "department").agg(
+        sum0("hours").alias("total_hours"),
+        F.bit_or(worked).alias("days"),
+        F.max("days_in_period").alias("days_in_period"),
+    )
 
-def store_hours(daily: DataFrame) -> DataFrame:
+
+def store_hours(depts: DataFrame) -> DataFrame:
     """Hours and share of days with labor per store and period."""
-    per_day = daily.groupBy(*STORE_PERIOD, "event_date").agg(
-        F.sum("hours").alias("hours"), F.max("days_in_period").alias("days_in_period")
-    )
     covered = F.try_divide(F.col("coverage_days").cast("double"), F.col("days_in_period").cast("double"))
     return (
-        per_day.groupBy(*STORE_PERIOD)
+        depts.groupBy(*STORE_PERIOD)
         .agg(
-            sum0("hours").alias("total_hours"),
-            F.count("event_date").alias("coverage_days"),
+            F.sum("total_hours").alias("total_hours"),
+            F.bit_count(F.bit_or("days")).alias("coverage_days"),
             F.max("days_in_period").alias("days_in_period"),
         )
         .withColumn("coverage_pct_active", F.coalesce(clip(covered, 0.0, 1.0), F.lit(0.0)))
     )
 
 
-def dept_hours(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(*STORE_PERIOD, "department").agg(sum0("hours").alias("total_hours"))
-
-
 def to_hm(df: DataFrame, mapping: DataFrame, allowed: DataFrame | None, excluded: DataFrame | None) -> DataFrame:
     return keep_keys(attach_hm_key(df, mapping), "hm_key", allowed, excluded)
 
@@ -66,14 +73,26 @@ def fold_to_hm(hours: DataFrame, by: list[str]) -> DataFrame:
     return hours.groupBy(*by).agg(F.sum("total_hours").alias("total_hours"), *extra)
 
 
+def hours_by_hm(
+    labor: DataFrame, calendar: DataFrame, mapping: DataFrame,
+    allowed: DataFrame | None = None, excluded: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(store hours, department hours) under the sales ids, both from one read of the labor rows."""
+    folded = staged(dept_hours(labor, calendar))
+    hours = fold_to_hm(to_hm(store_hours(folded), mapping, allowed, excluded), ["hm_key", *PERIOD])
+    depts = to_hm(folded.drop("days", "days_in_period"), mapping, allowed, excluded)
+    return staged(hours), staged(fold_to_hm(depts, ["hm_key", *PERIOD, "department"]))
+
+
 def hours_per_sales(hours: DataFrame, sales: DataFrame, min_coverage: float = MIN_COVERAGE) -> tuple[DataFrame, Column]:
     """(store medians of hours per sales, chain ratio as a scalar column).
 
     The chain ratio is the median over all store-periods, total hours over total sales where that is
     not positive, and 0 without any data.
     """
-    joined = gated(hours.join(sales, ["hm_key", *PERIOD]), min_coverage).where(F.col("sales") > 0)
-    rows = joined.withColumn("hrs_per_sales", F.col("total_hours") / F.col("sales"))
+    joined = staged(hours.join(sales, ["hm_key", *PERIOD]))
+    rows = gated(joined, min_coverage).where(F.col("sales") > 0)
+    rows = rows.withColumn("hrs_per_sales", F.col("total_hours") / F.col("sales"))
     per_store = rows.groupBy("hm_key").agg(F.median("hrs_per_sales").alias("ratio_store"))
     median = exact_percentiles(rows, "hrs_per_sales", {"m": 0.5}).scalar()
     overall = rows.agg(F.try_divide(F.sum("total_hours"), F.sum("sales"))).scalar()
@@ -127,9 +146,7 @@ def build_labor_forecasts(
 ) -> tuple[DataFrame, DataFrame]:
     """(store hours, department hours) of the forecast periods."""
     mapping = key_map(hierarchy)
-    daily = daily_hours(labor, calendar)
-    hours = fold_to_hm(to_hm(store_hours(daily), mapping, allowed, excluded), ["hm_key", *PERIOD])
-    depts = fold_to_hm(to_hm(dept_hours(daily), mapping, allowed, excluded), ["hm_key", *PERIOD, "department"])
+    hours, depts = hours_by_hm(labor, calendar, mapping, allowed, excluded)
 
     amount = "sales" if "sales" in sales_history.columns else "total_net_sales"
     require(sales_history, [*STORE_PERIOD, amount], "sales history")
@@ -199,7 +216,7 @@ def build_labor_cost_forecast(
             F.trim(F.col("store_number").cast("string")).alias("store_number"),
             to_double("labor_cost_ratio").alias("labor_cost_ratio"),
         )
-    joined = fc.join(ratios, "store_number", "left")
+    joined = staged(fc.join(ratios, "store_number", "left"))
     median = exact_percentiles(joined, "labor_cost_ratio", {"m": 0.5}).scalar()
     ratio = clip(F.coalesce("labor_cost_ratio", median), 0.0)
     kept = ["source"] if "source" in joined.columns else []

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillcast.functions.casts import finite_sql, to_double
 from tillcast.operators.ranking import block_offsets, quantile_block
 from tillcast.operators.splits import on_axis
+from tillcast.sources.staging import staged
 
 PROFILE = ("avg_net_sales", "std_net_sales", "cv_net_sales", "log_avg_net_sales")
 KEYS = ["store_number", "fiscal_year", "fiscal_period"]
@@ -38,7 +39,7 @@ def pca_scores(profile: DataFrame, k: int = 2) -> DataFrame:
 
     A component's sign is arbitrary, so each is flipped where needed to grow with mean sales.
     """
-    known = profile.na.drop(subset=list(PROFILE))
+    known = staged(profile.na.drop(subset=list(PROFILE)))
     stages = Pipeline(stages=[
         VectorAssembler(inputCols=list(PROFILE), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True),
@@ -47,9 +48,8 @@ def pca_scores(profile: DataFrame, k: int = 2) -> DataFrame:
     loads = stages.stages[-1].pc.toArray()[0]
     pc = vector_to_array("_pc")
     signs = [-1.0 if x < 0 else 1.0 for x in loads]
-    return stages.transform(known).select(
-        "store_number", *[(pc[i] * signs[i]).alias(f"pc{i + 1}") for i in range(k)]
-    )
+    scores = [(pc[i] * signs[i]).alias(f"pc{i + 1}") for i in range(k)]
+    return staged(stages.transform(known).select("store_number", *scores))
 
 
 def locked_clusters(scores: DataFrame, k: int = 3, seed: int = 0) -> DataFrame:
@@ -87,14 +87,14 @@ def nearest_peers(
     spots = shorts.select("cluster", "_x").distinct().select(
         "cluster", "_x", F.lit(None).cast("string").alias("store_number"), F.lit(0).alias("_long")
     )
-    points = quantile_block(longs.unionByName(spots), "_x", ["cluster"], blocks)
+    points = staged(quantile_block(staged(longs.unionByName(spots)), "_x", ["cluster"], blocks))
     order = [F.col("_x"), F.col("_long").desc(), F.col("store_number").desc()]
     local = (
         Window.partitionBy("cluster", "_block").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     offsets = block_offsets(points, ["cluster"], "_block", F.col("_long"))
-    ranked = points.withColumn("_r", F.sum("_long").over(local)).join(offsets, ["cluster", "_block"])
+    ranked = points.withColumn("_r", F.sum("_long").over(local)).join(F.broadcast(offsets), ["cluster", "_block"])
     ranked = ranked.withColumn("_r", F.col("_r") + F.col("_offset"))
 
     ladder = ranked.where("_long = 1").select("cluster", "_r", "store_number", F.col("_x").alias("_px"))

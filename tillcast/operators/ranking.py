@@ -16,11 +16,14 @@ def hash_block(digest: str, blocks_hex: int = 3) -> Column:
 
 
 def quantile_block(df: DataFrame, value: str, by: Sequence[str], blocks: int) -> DataFrame:
-    """Adds _block, which grows with `value` and holds about 1/blocks of each group's rows."""
+    """Adds _block, which grows with `value` and holds about 1/blocks of each group's rows.
+
+    For few groups (cluster numbers, scenarios): their cut points are broadcast.
+    """
     cuts = [i / blocks for i in range(1, blocks)]
     bounds = df.groupBy(*by).agg(F.percentile_approx(value, cuts, 20 * blocks).alias("_cuts"))
     below = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    return df.join(bounds, list(by)).withColumn("_block", below).drop("_cuts")
+    return df.join(F.broadcast(bounds), list(by)).withColumn("_block", below).drop("_cuts")
 
 
 def block_offsets(df: DataFrame, by: Sequence[str], block: str, counted: Column) -> DataFrame:
@@ -37,11 +40,12 @@ def distributed_row_number(
 ) -> DataFrame:
     """row_number over (by, block, order) where `block` grows with the order.
 
-    Numbers are local to a block plus the block's offset, so no task sees more than one block.
+    Numbers are local to a block plus the block's offset, so no task sees more than one block. The
+    offsets, one row per block, are broadcast: the caller chooses how many blocks there are.
     """
     local = F.row_number().over(Window.partitionBy(*by, block).orderBy(*order))
     offsets = block_offsets(df, by, block, F.lit(1))
-    joined = df.withColumn(name, local).join(offsets, [*by, block])
+    joined = df.withColumn(name, local).join(F.broadcast(offsets), [*by, block])
     return joined.withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 

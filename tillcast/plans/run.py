@@ -16,6 +16,7 @@ from tillcast.operators.features import build_feature_table
 from tillcast.operators.forecast import future_grid, recursive_forecast
 from tillcast.operators.labor import build_labor_cost_forecast, build_labor_forecasts, labor_totals
 from tillcast.operators.ridge import RidgeModel, train
+from tillcast.sources.staging import staged
 
 
 def run_pooled_ridge(
@@ -37,7 +38,7 @@ def run_pooled_ridge(
         cfg = ForecastConfig()
         if cpi is None and events is None:
             cfg = replace(cfg, feature_list=LITE_FEATURES)
-    feats = build_feature_table(sales, calendar, cfg, events, cpi)
+    feats = staged(build_feature_table(sales, calendar, cfg, events, cpi))
     model = train(feats, cfg)
     if horizon:
         grid = future_grid(feats, prepare_calendar(calendar), cfg, horizon, seed=seed)
@@ -46,12 +47,6 @@ def run_pooled_ridge(
     return model.score(feats).select(*keys, "forecast"), feats, model
 
 
-def write_back(df: DataFrame, path: str) -> DataFrame:
-    """Writes a table and reads it back: later steps start from files, not from a long lineage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 @dataclass
 class ForecastRun:
     forecasts: DataFrame
@@ -73,7 +68,6 @@ def run_forecast(
     sales: DataFrame,
     calendar: DataFrame,
     hierarchy: DataFrame,
-    work_dir: str,
     cfg: ForecastConfig = ForecastConfig(),
     cpi: DataFrame | None = None,
     events: DataFrame | None = None,
@@ -83,24 +77,23 @@ def run_forecast(
 ) -> ForecastRun:
     """Features, pooled forecasts, peers, backtest, choice per store, rollups, budget and labor.
 
-    The feature table and the chosen forecasts are written under `work_dir` because several later
-    steps read each of them.
+    Tables that several later steps read are staged once.
     """
     cal = prepare_calendar(calendar)
-    feats = write_back(build_feature_table(sales, calendar, cfg, events, cpi), f"{work_dir}/features")
+    feats = staged(build_feature_table(sales, calendar, cfg, events, cpi))
     model = train(feats, cfg)
     grid = future_grid(feats, cal, cfg, horizon)
-    pooled = dims.active_stores(recursive_forecast(model, grid, cfg), hierarchy)
+    pooled = staged(dims.active_stores(recursive_forecast(model, grid, cfg), hierarchy))
 
     placed = sales if {cfg.fy, cfg.fp} <= set(sales.columns) else feats
-    hist = normalize_history(placed)
+    hist = staged(normalize_history(placed))
     cohorts = splits.history_cohorts(hist)
     clusters = peers.locked_clusters(peers.pca_scores(peers.store_profile(hist)))
-    near = write_back(peers.nearest_peers(clusters, cohorts), f"{work_dir}/peers")
-    eval_hist = write_back(selection.backtest(feats, hist, near, cfg), f"{work_dir}/eval_hist")
+    near = staged(peers.nearest_peers(clusters, cohorts))
+    eval_hist = staged(selection.backtest(feats, hist, near, cfg))
     assigned = selection.assign_store_models(selection.store_wapes(eval_hist))
     peer = peers.peer_scaled_forecast(hist, pooled, near, splits.last_axis(pooled))
-    final = write_back(selection.final_forecasts(pooled, peer, assigned, horizon), f"{work_dir}/forecasts")
+    final = staged(selection.final_forecasts(pooled, peer, assigned, horizon))
 
     with_state = dims.attach_state(normalize_forecast(final, "forecast"), hierarchy)
     out = ForecastRun(
