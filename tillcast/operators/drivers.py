@@ -133,12 +133,16 @@ def top_stores(effects: DataFrame, effect: str, n: int = 15, ascending: bool = F
 
 
 def effect_histogram(effects: DataFrame, effect: str, bins: int = 20) -> DataFrame:
-    """(bin, low, high, stores): equal-width bins from minimum to maximum, the last one closed."""
+    """(bin, low, high, stores): equal-width bins from minimum to maximum, the last one closed.
+
+    If all effects are equal the range is widened by half a unit each way.
+    """
     known = effects.where(col(effect).isNotNull())
-    span = known.agg(F.struct(F.min(effect).alias("lo"), F.max(effect).alias("hi"))).scalar()
+    pad = F.when(F.min(effect) == F.max(effect), 0.5).otherwise(0.0)
+    span = known.agg(F.struct((F.min(effect) - pad).alias("lo"), (F.max(effect) + pad).alias("hi"))).scalar()
     width = (F.col("_s.hi") - F.col("_s.lo")) / bins
-    index = F.least(F.floor((col(effect) - F.col("_s.lo")) / F.when(width > 0, width)), F.lit(bins - 1))
-    placed = known.withColumn("_s", span).withColumns({"bin": F.coalesce(index, F.lit(0)).cast("int"), "_w": width})
+    index = F.least(F.floor((col(effect) - F.col("_s.lo")) / width), F.lit(bins - 1))
+    placed = known.withColumn("_s", span).withColumns({"bin": index.cast("int"), "_w": width})
     return placed.groupBy("bin").agg(
         F.max(F.col("_s.lo") + F.col("bin") * F.col("_w")).alias("low"),
         F.max(F.col("_s.lo") + (F.col("bin") + 1) * F.col("_w")).alias("high"),

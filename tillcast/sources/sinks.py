@@ -74,12 +74,11 @@ def save_model(spark: SparkSession, model: RidgeModel, cfg: ForecastConfig, path
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
     spark.createDataFrame([(cfg.to_json(),)], "value string").coalesce(1).write.mode(
         "overwrite"
-    ).option("lineSep", "\u0000").text(f"{path}/config")
+    ).parquet(f"{path}/config")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[RidgeModel, ForecastConfig]:
-    cfg_text = spark.read.option("wholetext", True).text(f"{path}/config").first()["value"]
-    cfg = ForecastConfig.from_json(cfg_text.rstrip("\u0000"))
+    cfg = ForecastConfig.from_json(spark.read.parquet(f"{path}/config").first()["value"])
     terms = {r["term"]: r["value"] for r in spark.read.parquet(f"{path}/coefficients").collect()}
     metrics = {r["metric"]: r["value"] for r in spark.read.parquet(f"{path}/metrics").collect()}
     model = RidgeModel(
