@@ -471,13 +471,13 @@ def permutation_importance(spark, sf):
 @query("random_forest", "split:s wape:6 rows:b")
 def random_forest(spark, sf):
     split = splits.split_last_k(stored_features(spark, sf), CFG)
-    return forest.forest_errors(forest.fit_forest(split, CFG, trees=40))
+    return forest.forest_errors(forest.fit_forest(split, CFG))
 
 
 @query("random_forest_importance", "feature:s mae_increase:3")
 def random_forest_importance(spark, sf):
     split = splits.split_last_k(stored_features(spark, sf), CFG)
-    return forest.forest_importance(split, CFG, trees=20, repeats=2)
+    return forest.forest_importance(split, CFG)
 
 
 _SOLO = solo_ridge_views("solo", "tier18", FEATURE_SQL, 5, "split = 'train'")
@@ -560,8 +560,8 @@ def _next6(spark, sf, feats=None):
     return fc.recursive_forecast(fixed_model(spark, sf, feats), fc.future_grid(feats, calendar(spark), CFG), CFG)
 
 
-def _peer_fc(hist, rows):
-    return peers.peer_scaled_forecast(hist, rows, _peers(hist), splits.last_axis(rows))
+def _peer_fc(hist, rows, near=None):
+    return peers.peer_scaled_forecast(hist, rows, _peers(hist) if near is None else near, splits.last_axis(rows))
 
 
 @query("peer_scaled_forecast", f"{STORE_PERIOD} forecast:2 source:s", "SELECT *, 'peer' AS source FROM peerfc", "peerfc")
@@ -598,8 +598,8 @@ view("evalh", "hist axis pooled ohp cohorts", """
     LEFT JOIN ohp USING (store_number, fiscal_year, fiscal_period) LEFT JOIN cohorts c ON c.store_number = h.store_number""")
 
 
-def _eval_hist(spark, sf, hist=None):
-    hist = staged(history(spark, sf)) if hist is None else hist
+def _eval_hist(spark, sf):
+    hist = staged(history(spark, sf))
     return selection.backtest(stored_features(spark, sf), hist, staged(_peers(hist)), CFG)
 
 
@@ -662,8 +662,8 @@ view("assigned", "evalh", f"""
         SELECT store_number, cohort, {_W.format('pooled')}, {_W.format('peer')} FROM evalh GROUP BY 1, 2))""")
 
 
-def _assigned(spark, sf, hist=None):
-    return selection.assign_store_models(selection.store_wapes(_eval_hist(spark, sf, hist)))
+def _assigned(eval_hist):
+    return selection.assign_store_models(selection.store_wapes(eval_hist))
 
 
 @query(
@@ -673,7 +673,7 @@ def _assigned(spark, sf, hist=None):
     "assigned",
 )
 def assign_models(spark, sf):
-    return _assigned(spark, sf)
+    return _assigned(_eval_hist(spark, sf))
 
 
 view("finalfc", "nfc naxis peerfc assigned", """
@@ -684,8 +684,10 @@ view("finalfc", "nfc naxis peerfc assigned", """
 
 @query("final_forecast", f"{STORE_PERIOD} our_forecast:2 source:s", "SELECT * FROM finalfc", "finalfc")
 def final_forecast(spark, sf):
-    rows, hist = staged(_next6(spark, sf)), staged(history(spark, sf))
-    return selection.final_forecasts(rows, _peer_fc(hist, rows), _assigned(spark, sf, hist))
+    feats, hist = stored_features(spark, sf), staged(history(spark, sf))
+    rows, near = staged(_next6(spark, sf, feats)), staged(_peers(hist))
+    assigned = _assigned(selection.backtest(feats, hist, near, CFG))
+    return selection.final_forecasts(rows, _peer_fc(hist, rows, near), assigned)
 
 
 @query(

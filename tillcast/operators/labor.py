@@ -94,9 +94,9 @@ def hours_per_sales(hours: DataFrame, sales: DataFrame, min_coverage: float = MI
     rows = gated(joined, min_coverage).where(F.col("sales") > 0)
     rows = rows.withColumn("hrs_per_sales", F.col("total_hours") / F.col("sales"))
     per_store = rows.groupBy("hm_key").agg(F.median("hrs_per_sales").alias("ratio_store"))
-    median = exact_percentiles(rows, "hrs_per_sales", {"m": 0.5}).scalar()
-    overall = rows.agg(F.try_divide(F.sum("total_hours"), F.sum("sales"))).scalar()
-    chain = F.when(median > 0, median).otherwise(F.coalesce(overall, F.lit(0.0)))
+    overall = rows.agg(F.coalesce(F.try_divide(F.sum("total_hours"), F.sum("sales")), F.lit(0.0)).alias("overall"))
+    both = overall.withColumn("median", exact_percentiles(rows, "hrs_per_sales", {"m": 0.5}).scalar())
+    chain = both.select(F.when(F.col("median") > 0, F.col("median")).otherwise(F.col("overall"))).scalar()
     return per_store, chain
 
 
@@ -160,7 +160,7 @@ def build_labor_forecasts(
     shares = department_shares(hours, depts, min_coverage)
 
     fc = to_hm(normalize_forecast(final_fc), mapping, allowed, excluded)
-    ratio = clip(F.coalesce("ratio_store", chain), 0.0)
+    ratio = F.greatest(F.lit(0.0), F.coalesce("ratio_store", chain))
     store = (
         fc.withColumn("sales_forecast", F.coalesce("sales_forecast", F.lit(0.0)))
         .join(ratios, "hm_key", "left")
@@ -218,9 +218,9 @@ def build_labor_cost_forecast(
         )
     joined = staged(fc.join(ratios, "store_number", "left"))
     median = exact_percentiles(joined, "labor_cost_ratio", {"m": 0.5}).scalar()
-    ratio = clip(F.coalesce("labor_cost_ratio", median), 0.0)
+    filled = joined.withColumn("labor_cost_ratio", F.coalesce("labor_cost_ratio", median))
     kept = ["source"] if "source" in joined.columns else []
-    return joined.withColumn("labor_cost_ratio", ratio).select(
+    return filled.withColumn("labor_cost_ratio", clip("labor_cost_ratio", 0.0)).select(
         *kept, *STORE_PERIOD, "State", "sales_forecast", "labor_cost_ratio",
         (F.col("sales_forecast") * F.col("labor_cost_ratio")).alias("pred_total_labor_cost"),
     )

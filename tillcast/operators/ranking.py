@@ -84,11 +84,13 @@ def exact_percentiles(
             for i, (name, p) in enumerate(probs.items())
         ]
     )
-    wanted_rows = bounds.select(*keys, "_n", wanted.alias("_w"))
-    one_row = F.broadcast(wanted_rows) if not by else wanted_rows
+    if by:
+        placed = rows.join(bounds.select(*keys, "_n", wanted.alias("_w")), keys)
+    else:
+        whole = bounds.select(F.struct("_n", wanted.alias("_w"))).scalar()
+        placed = rows.withColumn("_b", whole).select("_g", "_v", "_b.*")
     inside = (
-        rows.join(one_row, keys)
-        .select(*keys, "_n", "_v", F.explode("_w").alias("_w"))
+        placed.select(*keys, "_n", "_v", F.explode("_w").alias("_w"))
         .where(F.col("_v") <= F.col("_w.hi"))
         .withColumn("_v", F.when(F.col("_v") >= F.col("_w.lo"), F.col("_v")))
         .groupBy(*keys, "_n", F.col("_w.name").alias("_name"), F.col("_w.p").alias("_p"), "_v")

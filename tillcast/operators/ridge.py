@@ -36,8 +36,15 @@ def number(v: float) -> str:
     return f"({float(v)!r}D)"
 
 
-def linear_sql(intercept: float, features: Sequence[str], weights: Sequence[float]) -> str:
-    return " + ".join([number(intercept)] + [f"{x_sql(f)} * {number(w)}" for f, w in zip(features, weights)])
+def linear_sql(intercept: float, inputs: Sequence[str], weights: Sequence[float]) -> str:
+    """SQL text of intercept + inputs * weights; the inputs are SQL text themselves."""
+    return " + ".join([number(intercept)] + [f"{x} * {number(w)}" for x, w in zip(inputs, weights)])
+
+
+def inputs(df: DataFrame, features: Sequence[str], cfg: ForecastConfig, *keep: str) -> DataFrame:
+    """Store, kept columns, target as _t and model inputs as _x0, _x1, ..., cleaned once."""
+    cells = [f"{x_sql(f)} AS _x{i}" for i, f in enumerate(features)]
+    return df.selectExpr(f"`{cfg.store_col}`", *keep, f"CAST(`{cfg.target}` AS DOUBLE) AS _t", *cells)
 
 
 def store_sums(
@@ -195,7 +202,7 @@ class RidgeModel:
     def linear(self, skip: Sequence[str] = ()) -> Column:
         """Intercept plus weighted features, without the store effect."""
         kept = [(f, w) for f, w in zip(self.features, self.weights) if f not in skip]
-        return F.expr(linear_sql(self.intercept, [f for f, _ in kept], [w for _, w in kept]))
+        return F.expr(linear_sql(self.intercept, [x_sql(f) for f, _ in kept], [w for _, w in kept]))
 
     def attach_effects(self, df: DataFrame, first_in_frame_zero: bool = False) -> DataFrame:
         """Adds _effect; stores the model has not seen get 0.
@@ -300,17 +307,18 @@ def evaluate_candidates(
     rows = split.where(F.col("split").isNotNull())
     sums = store_sums(rows.where(F.col("split") == "train"), features, cfg)
     gram = collect_gram(sums, features, cfg)
-    effects, yhat = [], []
+    effects, errors = [], ["sum(abs(_t)) AS _abs"]
     for i, c in enumerate(candidates):
         theta = gram.solve(c.features, c.alpha)
         effects.append(effect_column(gram, c.features, theta, c.alpha, cfg.store_col).alias(f"_d{i}"))
-        line = linear_sql(theta[0], c.features, theta[1:])
-        yhat.append(F.expr(f"{line} + coalesce(_d{i}, 0D) AS _y{i}"))
-    joined = rows.join(sums.select(cfg.store_col, *effects), cfg.store_col, "left")
-    scored = joined.select("split", col(cfg.target).alias("_t"), *yhat)
-    errors = scored.groupBy("split").agg(*[wape("_t", f"_y{i}").alias(f"w{i}") for i in range(len(candidates))])
+        line = linear_sql(theta[0], [f"_x{features.index(f)}" for f in c.features], theta[1:])
+        errors.append(f"sum(abs(_t - ({line} + coalesce(_d{i}, 0D)))) AS _e{i}")
+    scored = inputs(rows.where(col(cfg.target).isNotNull()), features, cfg, "split").join(
+        sums.select(cfg.store_col, *effects), cfg.store_col, "left"
+    )
+    errors = scored.groupBy("split").agg(*[F.expr(e) for e in errors])
     cells = F.array(*[
-        F.struct(F.lit(c.name).alias("candidate"), F.col(f"w{i}").alias("wape"))
+        F.struct(F.lit(c.name).alias("candidate"), F.try_divide(f"_e{i}", "_abs").alias("wape"))
         for i, c in enumerate(candidates)
     ])
     return (
@@ -356,17 +364,13 @@ def evaluate_origins(rows: DataFrame, cfg: ForecastConfig = ForecastConfig(), by
         theta = gram.solve(features, cfg.alpha)
         here = F.col(by) == F.lit(key)
         d = effect_column(gram, features, theta, cfg.alpha, cfg.store_col)
-        y = F.expr(linear_sql(theta[0], features, theta[1:]))
+        y = F.expr(linear_sql(theta[0], [f"_x{i}" for i in range(len(features))], theta[1:]))
         effect = F.when(here, d) if effect is None else effect.when(here, d)
         line = F.when(here, y) if line is None else line.when(here, y)
     effects = sums.select(by, cfg.store_col, effect.alias("_d"))
-    scored = usable.join(effects, [by, cfg.store_col], "left").withColumn(
-        "_y", line + F.coalesce("_d", F.lit(0.0))
-    )
+    scored = inputs(usable, features, cfg, by, "split").join(effects, [by, cfg.store_col], "left")
+    scored = scored.withColumn("_y", line + F.coalesce("_d", F.lit(0.0)))
     errors = scored.groupBy(by).agg(
-        *[
-            wape(F.when(F.col("split") == s, col(cfg.target)), "_y").alias(f"{s}_wape")
-            for s in ("train", "valid")
-        ]
+        *[wape(F.when(F.col("split") == s, F.col("_t")), "_y").alias(f"{s}_wape") for s in ("train", "valid")]
     )
     return errors.withColumn("gap", F.col("valid_wape") - F.col("train_wape"))

@@ -15,16 +15,16 @@ from tillcast.operators.ridge import RidgeModel
 def write_features(df: DataFrame, path: str, partition_by: str = "fiscal_year") -> None:
     """Overwrites a Parquet folder, one sub-folder per fiscal year.
 
-    Rows are spread over (year, period) first: each task writes few folders, and one big year
-    still goes to many tasks.
+    The rebalance hint gathers a year's rows into few files, while a year that holds much of the data
+    is still split over many tasks.
     """
-    spread = df.repartition(partition_by, "fiscal_period")
+    spread = df.hint("rebalance", partition_by)
     spread.write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
 def append_features(df: DataFrame, path: str) -> None:
     """Adds one batch to the offline feature table."""
-    df.write.mode("append").partitionBy("fiscal_year").parquet(path)
+    df.hint("rebalance", "fiscal_year").write.mode("append").partitionBy("fiscal_year").parquet(path)
 
 
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -44,7 +44,8 @@ def daily_periods(spark: SparkSession) -> DataFrame:
 
 
 def _units(c: str, scale: int) -> Column:
-    return F.round(F.col(c) * scale).cast("bigint")
+    """Nearest whole number of units; floor on doubles is cheap, rounding them goes through decimals."""
+    return F.floor(F.col(c) * scale + 0.5)
 
 
 def store_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,13 +74,13 @@ def sales_period(spark: SparkSession, sf: str, extra: bool = False) -> DataFrame
         sums["total_delivery"] = (price * _units("l_tax", 100), 10000.0)
         sums["total_food_cost"] = (qty * _units("p_retailprice", 100), 10000.0)
         sums["total_labor_cost"] = (qty * 20, 1.0)
-    keys = ["store_number", "event_date", "fiscal_year", "fiscal_period"]
-    return (
+    keys = ["event_date", "fiscal_year", "fiscal_period"]
+    summed = (
         lines.join(F.broadcast(daily_periods(spark)), "_day")
-        .withColumn("store_number", F.col("l_suppkey").cast("string"))
-        .groupBy(*keys)
+        .groupBy("l_suppkey", *keys)
         .agg(*[(F.sum(x) / F.lit(d)).alias(n) for n, (x, d) in sums.items()])
     )
+    return summed.select(F.col("l_suppkey").cast("string").alias("store_number"), *keys, *sums)
 
 
 def hierarchy(spark: SparkSession, sf: str) -> DataFrame:
