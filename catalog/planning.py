@@ -205,7 +205,7 @@ def top_state_periods(spark, sf):
     return rollups.top_state_periods(rollups.by_state(_with_state(spark, sf)))
 
 
-_PERIODS = ["2001-P12", "2001-P13", "2002-P1", "2002-P2", "2002-P3", "2002-P4", "2002-P5"]
+_PERIODS = [f"2001-P{p}" for p in range(1, 14)] + [f"2002-P{p}" for p in range(1, 7)]
 
 
 @query(

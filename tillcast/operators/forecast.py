@@ -25,8 +25,9 @@ def future_grid(
     carry: str = "lag",
     events: DataFrame | None = None,
     by_period: bool = False,
+    min_rows: int = 0,
 ) -> DataFrame:
-    """One design row per store and step 1..horizon after the store's last row.
+    """One design row per store (with min_rows of history) and step 1..horizon after its last row.
 
     seed   'actual' starts the sales lag at the last observed sales, 'lag' at that row's own lag.
     carry  'lag' keeps the last row's adv_m1 and CPI_m1; 'current' takes its advertising and CPI.
@@ -34,7 +35,7 @@ def future_grid(
 
     The steps are exploded per store after the only shuffle, so the rows stay placed by store.
     """
-    last = last_row(history, cfg, by_period)
+    last = last_row(history, cfg, by_period, min_rows)
     sources = {
         SALES_LAG: cfg.target if seed == "actual" else SALES_LAG,
         "adv_m1": "total_advertising" if carry == "current" else "adv_m1",

@@ -43,7 +43,8 @@ def fit_model(
     stages += [
         VectorAssembler(inputCols=inputs, outputCol="features"),
         RandomForestRegressor(
-            numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxBins=max(32, min(stores, MAX_STORE_BINS) + 2)
+            numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed,
+            maxBins=max(32, min(stores, MAX_STORE_BINS) + 2), maxMemoryInMB=1024,
         ),
     ]
     return Pipeline(stages=stages).fit(rows.where("split = 'train'")), rows

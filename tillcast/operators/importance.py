@@ -63,3 +63,7 @@ def permutation_importance(
         F.try_divide(F.sum("e") - F.sum("_base"), F.sum("_abs")).alias("wape"),
     )
     return per_rep.groupBy("feature").agg(F.avg("mae").alias("mae_increase"), F.avg("wape").alias("wape_increase"))
+
+
+def top_features(importances: DataFrame, n: int = 8) -> DataFrame:
+    return importances.orderBy(F.col("mae_increase").desc_nulls_last(), "feature").limit(n)

@@ -374,3 +374,8 @@ def evaluate_origins(rows: DataFrame, cfg: ForecastConfig = ForecastConfig(), by
         *[wape(F.when(F.col("split") == s, F.col("_t")), "_y").alias(f"{s}_wape") for s in ("train", "valid")]
     )
     return errors.withColumn("gap", F.col("valid_wape") - F.col("train_wape"))
+
+
+def best_candidate(errors: DataFrame) -> DataFrame:
+    """The candidate with the lowest validation error, ties to the first name."""
+    return errors.orderBy(F.col("valid_wape").asc_nulls_last(), "candidate").limit(1)

@@ -98,9 +98,12 @@ def eval_coverage(hist: DataFrame, axis: DataFrame) -> DataFrame:
     return counted.where(F.col("n_eval_periods") > 0)
 
 
-def last_row(df: DataFrame, cfg: ForecastConfig = ForecastConfig(), by_period: bool = False) -> DataFrame:
-    """Newest row per store, folded on the map side instead of sorted."""
+def last_row(
+    df: DataFrame, cfg: ForecastConfig = ForecastConfig(), by_period: bool = False, min_rows: int = 0
+) -> DataFrame:
+    """Newest row of each store with at least min_rows rows, folded on the map side instead of sorted."""
     order = [cfg.fy, cfg.fp] if by_period else [cfg.date_col, cfg.fy, cfg.fp]
     rest = [c for c in df.columns if c != cfg.store_col]
     newest = F.max_by(F.struct(*[col(c) for c in rest]), F.struct(*[col(c) for c in order]))
-    return df.groupBy(cfg.store_col).agg(newest.alias("_r")).select(cfg.store_col, "_r.*")
+    folded = df.groupBy(cfg.store_col).agg(newest.alias("_r"), F.count("*").alias("_n"))
+    return folded.where(F.col("_n") >= min_rows).select(cfg.store_col, "_r.*")
