@@ -381,7 +381,7 @@ def _hm_hours(spark, sf):
 )
 def labor_ratio(spark, sf):
     """No store-period reaches 90% coverage, so all of them count."""
-    hours, _ = _hm_hours(spark, sf)
+    hours = labor.hm_totals(_hm_hours(spark, sf))
     sales = tb.sales_period(spark, sf).selectExpr("store_number AS hm_key", "fiscal_year", "fiscal_period", "total_net_sales AS sales")
     per_store, chain = labor.hours_per_sales(hours, sales)
     return per_store.withColumn("ratio_chain", chain)
@@ -395,7 +395,7 @@ def labor_ratio(spark, sf):
 )
 def labor_ratio_gated(spark, sf):
     """With a lower gate only well covered store-periods count."""
-    hours, _ = _hm_hours(spark, sf)
+    hours = labor.hm_totals(_hm_hours(spark, sf))
     sales = tb.sales_period(spark, sf).selectExpr("store_number AS hm_key", "fiscal_year", "fiscal_period", "total_net_sales AS sales")
     per_store, chain = labor.hours_per_sales(hours, sales, 0.60)
     return per_store.withColumn("ratio_chain", chain)
@@ -403,8 +403,7 @@ def labor_ratio_gated(spark, sf):
 
 @query("dept_shares", "hm_key:s department:s share_final:8", "SELECT * FROM labg_s", "labg_s")
 def dept_shares(spark, sf):
-    hours, depts = _hm_hours(spark, sf)
-    return labor.department_shares(hours, depts, 0.60)
+    return labor.department_shares(_hm_hours(spark, sf), 0.60)
 
 
 HM = "hm_key:s fiscal_year:i fiscal_period:i"

@@ -139,9 +139,9 @@ def test_labor(spark):
 
 def test_shares_sum_to_one_even_from_nothing(spark):
     period = "hm_key string, fiscal_year int, fiscal_period int"
-    hours = spark.createDataFrame([("1", 1, 1, 10.0, 1.0), ("2", 1, 1, 5.0, 1.0)], f"{period}, total_hours double, coverage_pct_active double")
-    depts = spark.createDataFrame([("1", 1, 1, "A", 6.0), ("1", 1, 1, "B", 4.0), ("2", 1, 1, "A", 0.0), ("2", 1, 1, "B", 0.0)], f"{period}, department string, total_hours double")
-    got = {(r["hm_key"], r["department"]): r["share_final"] for r in labor.department_shares(hours, depts).collect()}
+    data = [("1", 1, 1, "A", 6.0, 10.0), ("1", 1, 1, "B", 4.0, 10.0), ("2", 1, 1, "A", 0.0, 5.0), ("2", 1, 1, "B", 0.0, 5.0)]
+    depts = spark.createDataFrame([(*r, 1.0) for r in data], f"{period}, department string, total_hours double, store_hours double, coverage_pct_active double")
+    got = {(r["hm_key"], r["department"]): r["share_final"] for r in labor.department_shares(depts).collect()}
     assert got == pytest.approx({("1", "A"): 0.6, ("1", "B"): 0.4, ("2", "A"): 0.5, ("2", "B"): 0.5})
 
 

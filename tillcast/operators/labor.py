@@ -43,17 +43,28 @@ def dept_hours(labor: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
+def coverage(days: Column, length: Column) -> Column:
+    """Share of a period's days that are set in the bit set, 0 if the length is unknown."""
+    share = F.try_divide(F.bit_count(days).cast("double"), length.cast("double"))
+    return F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0)))
+
+
 def store_hours(depts: DataFrame) -> DataFrame:
     """Hours and share of days with labor per store and period."""
-    covered = F.try_divide(F.col("coverage_days").cast("double"), F.col("days_in_period").cast("double"))
     return (
         depts.groupBy(*STORE_PERIOD)
         .agg(
             F.sum("total_hours").alias("total_hours"),
-            F.bit_count(F.bit_or("days")).alias("coverage_days"),
+            F.bit_or("days").alias("_days"),
             F.max("days_in_period").alias("days_in_period"),
         )
-        .withColumn("coverage_pct_active", F.coalesce(clip(covered, 0.0, 1.0), F.lit(0.0)))
+        .withColumns(
+            {
+                "coverage_days": F.bit_count("_days"),
+                "coverage_pct_active": coverage(F.col("_days"), F.col("days_in_period")),
+            }
+        )
+        .drop("_days")
     )
 
 
@@ -67,21 +78,37 @@ def gated(df: DataFrame, min_coverage: float) -> DataFrame:
     return df.where((F.col("coverage_pct_active") >= min_coverage) | (best < min_coverage))
 
 
-def fold_to_hm(hours: DataFrame, by: list[str]) -> DataFrame:
-    """Several labor ids of one store become one row, so later joins cannot fan out."""
-    extra = [F.max("coverage_pct_active").alias("coverage_pct_active")] if "coverage_pct_active" in hours.columns else []
-    return hours.groupBy(*by).agg(F.sum("total_hours").alias("total_hours"), *extra)
-
-
 def hours_by_hm(
     labor: DataFrame, calendar: DataFrame, mapping: DataFrame,
     allowed: DataFrame | None = None, excluded: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(store hours, department hours) under the sales ids, both from one read of the labor rows."""
-    folded = staged(dept_hours(labor, calendar))
-    hours = fold_to_hm(to_hm(store_hours(folded), mapping, allowed, excluded), ["hm_key", *PERIOD])
-    depts = to_hm(folded.drop("days", "days_in_period"), mapping, allowed, excluded)
-    return staged(hours), staged(fold_to_hm(depts, ["hm_key", *PERIOD, "department"]))
+) -> DataFrame:
+    """Staged (hm_key, period, department) hours with the store's total and coverage beside them.
+
+    Several labor ids of one store become one, so later joins cannot fan out. Rows are placed by
+    store-period once, for the fold and for the totals over it.
+    """
+    store_period = ["hm_key", *PERIOD]
+    mapped = to_hm(dept_hours(labor, calendar), mapping, allowed, excluded).repartition(*store_period)
+    folded = mapped.groupBy(*store_period, "department").agg(
+        F.sum("total_hours").alias("total_hours"),
+        F.bit_or("days").alias("days"),
+        F.max("days_in_period").alias("days_in_period"),
+    )
+    whole = Window.partitionBy(*store_period)
+    totals = folded.withColumns(
+        {
+            "store_hours": F.sum("total_hours").over(whole),
+            "coverage_pct_active": coverage(F.bit_or("days").over(whole), F.col("days_in_period")),
+        }
+    )
+    return staged(totals.drop("days", "days_in_period"))
+
+
+def hm_totals(depts: DataFrame) -> DataFrame:
+    """The store totals that `hours_by_hm` repeats on every department row, once per store-period."""
+    return depts.groupBy("hm_key", *PERIOD).agg(
+        F.max("store_hours").alias("total_hours"), F.max("coverage_pct_active").alias("coverage_pct_active")
+    )
 
 
 def hours_per_sales(hours: DataFrame, sales: DataFrame, min_coverage: float = MIN_COVERAGE) -> tuple[DataFrame, Column]:
@@ -100,17 +127,14 @@ def hours_per_sales(hours: DataFrame, sales: DataFrame, min_coverage: float = MI
     return per_store, chain
 
 
-def department_shares(hours: DataFrame, depts: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+def department_shares(depts: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """(hm_key, department, share_final): store medians, chain medians in the gaps, summing to 1 per store.
 
     Every store gets every department the chain knows. The department list is one small array (its
     size is checked) exploded per store; stores whose shares sum to 0 split evenly.
     """
-    totals = hours.withColumnRenamed("total_hours", "store_hours")
-    joined = gated(depts.join(totals, ["hm_key", *PERIOD], "left"), min_coverage)
-    rows = joined.where((F.col("store_hours") > 0) & (F.col("total_hours") >= 0)).withColumn(
-        "share", F.col("total_hours") / F.col("store_hours")
-    )
+    usable = (F.col("store_hours") > 0) & (F.col("total_hours") >= 0)
+    rows = gated(depts, min_coverage).where(usable).withColumn("share", F.col("total_hours") / F.col("store_hours"))
     per_store = rows.groupBy("hm_key", "department").agg(F.median("share").alias("share"))
     per_chain = exact_percentiles(rows, "share", {"share_chain": 0.5}, by=["department"])
     names = F.collect_set("department")
@@ -119,7 +143,7 @@ def department_shares(hours: DataFrame, depts: DataFrame, min_coverage: float =
         .when(F.size(names) <= MAX_DEPARTMENTS, names)
         .otherwise(F.raise_error(F.lit("too many departments")).cast("array<string>"))
     ).scalar()
-    grid = hours.select("hm_key").distinct().withColumn("department", F.explode(known))
+    grid = depts.select("hm_key").distinct().withColumn("department", F.explode(known))
     # Without any department data the only department is Unknown, with all of the hours.
     chain = F.coalesce("share_chain", F.when(F.col("department") == "Unknown", F.lit(1.0)), F.lit(0.0))
     filled = (
@@ -146,7 +170,7 @@ def build_labor_forecasts(
 ) -> tuple[DataFrame, DataFrame]:
     """(store hours, department hours) of the forecast periods."""
     mapping = key_map(hierarchy)
-    hours, depts = hours_by_hm(labor, calendar, mapping, allowed, excluded)
+    depts = hours_by_hm(labor, calendar, mapping, allowed, excluded)
 
     amount = "sales" if "sales" in sales_history.columns else "total_net_sales"
     require(sales_history, [*STORE_PERIOD, amount], "sales history")
@@ -156,8 +180,8 @@ def build_labor_forecasts(
     ).agg(sum0(amount).alias("sales"))
     sales = to_hm(per_store, mapping, allowed, excluded).groupBy("hm_key", *PERIOD).agg(F.sum("sales").alias("sales"))
 
-    ratios, chain = hours_per_sales(hours, sales, min_coverage)
-    shares = department_shares(hours, depts, min_coverage)
+    ratios, chain = hours_per_sales(hm_totals(depts), sales, min_coverage)
+    shares = department_shares(depts, min_coverage)
 
     fc = to_hm(normalize_forecast(final_fc), mapping, allowed, excluded)
     ratio = F.greatest(F.lit(0.0), F.coalesce("ratio_store", chain))
