@@ -81,6 +81,16 @@ def test_choose_forecast(spark):
     assert rows(selection.final_forecasts(fc, peer, picks)) == [("1", 2001, 1, 5.0, "model"), ("2", 2001, 1, 60.0, "peer"), ("3", 2001, 1, 7.0, "model")]
 
 
+def test_wape_is_a_ratio_of_sums_per_group(spark):
+    df = spark.createDataFrame([("x", 10.0, 9.0, 5.0), ("x", 90.0, 90.0, None), ("y", 0.0, 1.0, 1.0)], "g string, y double, a double, b double")
+    got = metrics.wape_by(df, ["g"], "y", {"wa": "a", "wb": "b"})
+    assert rows(got) == [("x", 0.01, 0.5), ("y", None, None)]
+    assert rows(got.select(metrics.as_percent("wb"))) == [(None,), (50.0,)]
+    hist = spark.createDataFrame([("1", 2001, 1, 4.0), ("1", 2001, 1, 4.0)], f"{KEYS}, actual double")
+    fc = spark.createDataFrame([("1", 2001, 1, 5.0), ("1", 2001, 2, 6.0)], f"{KEYS}, forecast double")
+    assert rows(metrics.join_actuals(fc, hist)) == [("1", 2001, 1, 5.0, 4.0), ("1", 2001, 2, 6.0, None)]
+
+
 def test_store_error_summary_skips_undefined(spark):
     df = spark.createDataFrame([("1", 10.0, 9.0), ("2", 0.0, 1.0), ("3", 10.0, 7.0)], "store_number string, y double, f double")
     errors = metrics.store_errors(df, "y", "f")
