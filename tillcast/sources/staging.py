@@ -2,36 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 
-def staging_dir(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder; on a local master without one, a fresh folder.
-
-    A cluster without the setting gets None: a machine-local folder would be lost with its machine.
-    """
-    sc = spark.sparkContext
-    shared = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if shared:
-        return shared
-    if not sc.master.startswith("local"):
-        return None
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tillcast-"))
-    return sc.getCheckpointDir()
+def shared_dir(spark: SparkSession) -> str | None:
+    """The folder named by `spark.checkpoint.dir`, which all executors and the driver see."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The same rows, read back from a table in the staging folder.
+def staged(df: DataFrame, root: str | None = None) -> DataFrame:
+    """The same rows, read back from a table in `root` or else in the shared folder.
 
     Steps that follow prune its columns and start from files, so a lost executor costs one read and
-    not the whole lineage. Without a staging folder the input is returned and simply recomputed.
+    not the whole lineage. Without any folder the rows are persisted, on every master alike: what is
+    lost with an executor is computed again.
     """
-    root = staging_dir(df.sparkSession)
+    root = root or shared_dir(df.sparkSession)
     if root is None:
-        return df
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{root}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
