@@ -1,6 +1,6 @@
 """Imports every operator module, which fills the registry."""
 
-from tillcast.llm import op1_url_filter, op2_quality_rules, op7_language_id, op10_quality_classifier  # noqa: F401
+from tillcast.llm import op1_url_filter, op2_quality_rules, op6_decontamination, op7_language_id, op9_best_fit_packing, op10_quality_classifier  # noqa: F401
 from tillcast.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
