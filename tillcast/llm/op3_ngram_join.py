@@ -18,6 +18,8 @@ doc_id share a component; a null doc_id has a null component; no rows give no ro
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,7 @@ from tillcast.sources.staging import staged
 
 COUNTERS = 1 << 20  # places of the shingle counts
 FREQUENT = 64  # longest list of a shingle that is joined by itself
+MEETING = 200  # members that are verified against one set at one place
 _FLAG = np.uint64(1)  # lowest bit of an indexed shingle: frequent by the counts
 
 
@@ -110,29 +113,50 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     return counted.where((F.col("_c") > 1) | F.col("_salt").isNotNull()).select("token", "doc", "rest", "n")
 
 
-def _sets(documents: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, set) of the documents that `docs` names."""
+def _packed(documents: DataFrame) -> DataFrame:
+    """(doc, z): texts as they travel, compressed."""
 
     def rows(batches):
         for batch in batches:
-            sets: list = []
-            for _, h in row_words(batch["text"], SPACED):
-                sets.append(int64s(shingle_set(h)))
-            cuts = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            values = pa.concat_arrays(sets) if sets else pa.array([], pa.int64())
-            yield pa.record_batch([batch["doc_id"], pa.ListArray.from_arrays(pa.array(cuts), values)], names=["doc", "set"])
+            z = [zlib.compress(t.as_buffer() if t.is_valid else b"", 1) for t in batch["text"].cast(pa.large_binary())]
+            yield pa.record_batch([batch["doc_id"], pa.array(z, pa.binary())], names=["doc", "z"])
+
+    return documents.where("doc_id IS NOT NULL").mapInArrow(rows, "doc long, z binary")
+
+
+def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough.
 
-    wanted = docs.select(F.col("doc").alias("doc_id")).hint("shuffle_hash")
-    return documents.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(rows, "doc long, set array<long>")
+    The sets of the a's meet that of their b as they stream by, at most about `MEETING` at one place:
+    the set of a much wanted b goes to several.
+    """
+    load = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEETING).cast("int").alias("places"))
+    at = F.pmod(F.xxhash64("a"), F.col("places")).cast("int")
+    members = pairs.join(load, "b").select(F.col("a").alias("doc"), "b", at.alias("place"), F.lit(True).alias("member"))
+    hubs = load.select(F.col("b").alias("doc"), "b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.lit(False).alias("member"))
 
+    def sets(batches):
+        for batch in batches:
+            texts = pa.array([zlib.decompress(z.as_buffer()) for z in batch["z"]], pa.large_binary()).cast(pa.large_string())
+            out = [shingle_set(h).tobytes() for _, h in row_words(texts, SPACED)]
+            yield pa.record_batch([batch[c] for c in ("b", "place", "member", "doc")] + [pa.array(out, pa.binary())], names=["b", "place", "member", "doc", "s"])
+
+    def compare(batches):
+        key, known = None, []
+        for batch in batches:
+            got = []
+            for b, place, member, doc, s in zip(*(batch[c].to_pylist() for c in ("b", "place", "member", "doc")), batch["s"]):
+                own = np.frombuffer(s.as_buffer(), np.uint64)
+                if key != (b, place):
+                    key, known = (b, place), []
+                if not member:
+                    known.append(own.copy())
+                elif any(7 * len(np.intersect1d(own, k, assume_unique=True)) >= 3 * (len(own) + len(k)) for k in known):
+                    got.append((doc, b))
+            yield pa.record_batch([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    x = sets.select(F.col("doc").alias("a"), F.col("set").alias("x"))
-    y = sets.select(F.col("doc").alias("b"), F.col("set").alias("y"))
-    met = pairs.join(x, "a").join(y, "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return met.where(7 * shared >= 3 * (F.size("x") + F.size("y"))).select("a", "b")
+    met = _packed(documents).join(members.union(hubs), "doc").mapInArrow(sets, "b long, place int, member boolean, doc long, s binary")
+    return met.repartition("b", "place").sortWithinPartitions("b", "place", "member").mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicate_links(documents: DataFrame) -> DataFrame:
@@ -142,10 +166,8 @@ def near_duplicate_links(documents: DataFrame) -> DataFrame:
     lists = shared.groupBy("token").agg(F.count("*").alias("c"), F.min("n").alias("least_n"), hub.alias("hub")).where("c > 1")
     viable = shared.join(lists, "token").where(_enough("n", "least_n", F.col("rest") + 1))
     viable = staged(viable.select("token", "doc", "rest", "n", "c", (-F.col("hub.neg")).alias("hub"), F.col("hub.rest").alias("hub_rest"), F.col("hub.n").alias("hub_n")))
-    sets = staged(_sets(documents, viable.select("doc").distinct()))
-
     near = viable.where(F.col("doc") != F.col("hub")).where(_enough("n", "hub_n", F.least("rest", "hub_rest") + 1))
-    star = staged(_verified(near.select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct(), sets))
+    star = staged(_verified(documents, staged(near.select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct())))
 
     label = components(star).withColumnRenamed("node", "doc")
     named = viable.join(label, "doc", "left").select("token", "doc", "rest", "n", "c", F.coalesce("component", "doc").alias("label"))
@@ -157,7 +179,7 @@ def near_duplicate_links(documents: DataFrame) -> DataFrame:
     second = F.explode(F.expr("flatten(transform(ts, (s, i) -> transform(slice(ts, i + 2, size(ts)), t -> struct(s.token AS token, t.token AS token2, -t.neg AS rest))))"))
     pairs = own.select("doc", "n", "label", second.alias("p")).select("doc", "n", "label", "p.*")
     rest = rest.union(_across(pairs, ["token", "token2"])).distinct()
-    return star.union(_verified(rest, sets))
+    return star.union(_verified(documents, staged(rest)))
 
 
 def _across(rows: DataFrame, key: list[str]) -> DataFrame:
