@@ -146,3 +146,10 @@ def row_words(column: pa.Array, table: np.ndarray, lower: bool = True) -> Iterat
 def int64s(values) -> pa.Array:
     """Unsigned 64-bit hashes as the signed longs that Spark has."""
     return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
+
+
+def sliced(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, where a task makes more of each row than it reads."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)

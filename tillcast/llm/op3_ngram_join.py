@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.batches import SPACED, int64s, row_words, shingle_set
+from tillcast.llm.batches import SPACED, int64s, row_words, shingle_set, sliced
 from tillcast.llm.components import components
 from tillcast.llm.corpus_sums import corpus_sum
 from tillcast.llm.registry import query, table
@@ -63,7 +63,7 @@ def set_sizes(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, h): size and hash of every row's set."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, marks = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.uint64)
             for r, h in row_words(batch["text"], SPACED):
                 s = shingle_set(h)
@@ -80,7 +80,7 @@ def _prefixes(documents: DataFrame, counts: np.ndarray) -> DataFrame:
 
     def rows(batches):
         counts, seen = known.value, set()
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)
             tokens, docs, rests, sizes = [], [], [], []
             for r, h in row_words(batch["text"], SPACED):
@@ -117,7 +117,7 @@ def _packed(documents: DataFrame) -> DataFrame:
     """(doc, z): texts as they travel, compressed."""
 
     def rows(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             z = [zlib.compress(t.as_buffer() if t.is_valid else b"", 1) for t in batch["text"].cast(pa.large_binary())]
             yield pa.record_batch([batch["doc_id"], pa.array(z, pa.binary())], names=["doc", "z"])
 
@@ -136,14 +136,14 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     hubs = load.select(F.col("b").alias("doc"), "b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.lit(False).alias("member"))
 
     def sets(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = pa.array([zlib.decompress(z.as_buffer()) for z in batch["z"]], pa.large_binary()).cast(pa.large_string())
             out = [shingle_set(h).tobytes() for _, h in row_words(texts, SPACED)]
             yield pa.record_batch([batch[c] for c in ("b", "place", "member", "doc")] + [pa.array(out, pa.binary())], names=["b", "place", "member", "doc", "s"])
 
     def compare(batches):
         key, known = None, []
-        for batch in batches:
+        for batch in sliced(batches):
             got = []
             for b, place, member, doc, s in zip(*(batch[c].to_pylist() for c in ("b", "place", "member", "doc")), batch["s"]):
                 own = np.frombuffer(s.as_buffer(), np.uint64)
