@@ -6,10 +6,11 @@ by one for this. The index holds single shingles; where a shingle is frequent, i
 
 1. Index: each task emits the prefixes of its distinct texts, with the number of shingles from there
    on, which bounds the overlap of a pair that meets there first. Shingles that nobody shares go.
-2. Star: every document is verified against one document of each shingle's list, the one with most
-   shingles left there. That connects whole groups of copies in a number of pairs linear in rows.
-3. Rest: lists that now lie within one component are done. Of others, pairs in different components
-   are verified: by single shingles where they are rare, by pairs of shingles where frequent.
+2. Star: every document is tried with one document of each shingle's list, the one with most shingles
+   left there, if they meet often. That connects whole groups of copies by few pairs, linear in rows.
+3. Rest: lists that now lie within one component are done. Of others, all pairs in different
+   components are tried: by single shingles where they are rare, by pairs of shingles where frequent.
+   Those are verified that can be similar enough by what their prefixes have in common.
 
 Verification intersects the sets of 64-bit shingle hashes. Defined cases: null and empty texts have
 no shingles and are linked with nothing; fewer than five words are one shingle; rows with the same
@@ -33,6 +34,7 @@ from tillcast.sources.staging import staged
 
 COUNTERS = 1 << 20  # places of the shingle counts
 FREQUENT = 64  # longest list of a shingle that is joined by itself
+STAR_SHARE = 20  # a document is tried with a hub that it meets in one of so many of its shingles
 MEETING = 200  # members that are verified against one set at one place
 _FLAG = np.uint64(1)  # lowest bit of an indexed shingle: frequent by the counts
 
@@ -93,7 +95,7 @@ def _prefixes(documents: DataFrame, counts: np.ndarray) -> DataFrame:
                     continue
                 seen.add(mark)
                 count = counts[(s >> np.uint64(44)).astype(np.int64)]
-                first = np.argsort(count, kind="stable")[: min(n, n - -(-3 * n // 4) + 2)]
+                first = np.argsort(count, kind="stable")[: min(n, n // 4 + 2)]
                 tokens.append((s[first] & ~_FLAG) | (count[first] > often).astype(np.uint64))
                 docs.append(np.full(len(first), ids[r]))
                 rests.append(n - np.arange(len(first)))
@@ -167,7 +169,8 @@ def near_duplicate_links(documents: DataFrame) -> DataFrame:
     viable = shared.join(lists, "token").where(_enough("n", "least_n", F.col("rest") + 1))
     viable = staged(viable.select("token", "doc", "rest", "n", "c", (-F.col("hub.neg")).alias("hub"), F.col("hub.rest").alias("hub_rest"), F.col("hub.n").alias("hub_n")))
     near = viable.where(F.col("doc") != F.col("hub")).where(_enough("n", "hub_n", F.least("rest", "hub_rest") + 1))
-    star = staged(_verified(documents, staged(near.select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct())))
+    near = near.groupBy(F.col("doc").alias("a"), F.col("hub").alias("b"), "n").agg(F.count("*").alias("met"))
+    star = staged(_verified(documents, staged(near.where(STAR_SHARE * F.col("met") >= F.col("n")).select("a", "b").distinct())))
 
     label = components(star).withColumnRenamed("node", "doc")
     named = viable.join(label, "doc", "left").select("token", "doc", "rest", "n", "c", F.coalesce("component", "doc").alias("label"))
@@ -179,7 +182,17 @@ def near_duplicate_links(documents: DataFrame) -> DataFrame:
     second = F.explode(F.expr("flatten(transform(ts, (s, i) -> transform(slice(ts, i + 2, size(ts)), t -> struct(s.token AS token, t.token AS token2, -t.neg AS rest))))"))
     pairs = own.select("doc", "n", "label", second.alias("p")).select("doc", "n", "label", "p.*")
     rest = rest.union(_across(pairs, ["token", "token2"])).distinct()
-    return star.union(_verified(documents, staged(rest)))
+    return star.union(_verified(documents, staged(_by_prefix(rest, shared))))
+
+
+def _by_prefix(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pairs that have enough in common when all that lies behind the prefixes is counted as common."""
+    behind = F.col("n") - F.least(F.col("n"), F.floor(F.col("n") / 4) + 2)
+    lists = shared.groupBy("doc", "n").agg(F.collect_set("token").alias("ts")).withColumn("behind", behind)
+    x = lists.select(F.col("doc").alias("a"), "n", "ts", "behind")
+    y = lists.select(F.col("doc").alias("b"), F.col("n").alias("n_"), F.col("ts").alias("ts_"), F.col("behind").alias("behind_"))
+    most = F.size(F.array_intersect("ts", "ts_")) + F.greatest("behind", "behind_")
+    return pairs.join(x, "a").join(y, "b").where(_enough("n", "n_", most)).select("a", "b").distinct()
 
 
 def _across(rows: DataFrame, key: list[str]) -> DataFrame:
