@@ -7,10 +7,10 @@ by one for this. The index holds single shingles; where a shingle is frequent, i
 1. Index: each task emits the prefixes of its distinct texts, with the number of shingles from there
    on, which bounds the overlap of a pair that meets there first. Shingles that nobody shares go.
 2. Star: every document is tried with one document of each shingle's list, the one with most shingles
-   left there, if they meet often. That connects whole groups of copies by few pairs, linear in rows.
+   left there. That connects whole groups of copies by few pairs, in number linear in the rows.
 3. Rest: lists that now lie within one component are done. Of others, all pairs in different
    components are tried: by single shingles where they are rare, by pairs of shingles where frequent.
-   Those are verified that can be similar enough by what their prefixes have in common.
+   Of all pairs, those are verified that what their prefixes have in common still allows.
 
 Verification intersects the sets of 64-bit shingle hashes. Defined cases: null and empty texts have
 no shingles and are linked with nothing; fewer than five words are one shingle; rows with the same
@@ -34,7 +34,6 @@ from tillcast.sources.staging import staged
 
 COUNTERS = 1 << 20  # places of the shingle counts
 FREQUENT = 64  # longest list of a shingle that is joined by itself
-STAR_SHARE = 20  # a document is tried with a hub that it meets in one of so many of its shingles
 MEETING = 200  # members that are verified against one set at one place
 _FLAG = np.uint64(1)  # lowest bit of an indexed shingle: frequent by the counts
 
@@ -157,7 +156,7 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
                     got.append((doc, b))
             yield pa.record_batch([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    met = _packed(documents).join(members.union(hubs), "doc").mapInArrow(sets, "b long, place int, member boolean, doc long, s binary")
+    met = _packed(documents).join(members.union(hubs).hint("merge"), "doc").mapInArrow(sets, "b long, place int, member boolean, doc long, s binary")
     return met.repartition("b", "place").sortWithinPartitions("b", "place", "member").mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -169,8 +168,8 @@ def near_duplicate_links(documents: DataFrame) -> DataFrame:
     viable = shared.join(lists, "token").where(_enough("n", "least_n", F.col("rest") + 1))
     viable = staged(viable.select("token", "doc", "rest", "n", "c", (-F.col("hub.neg")).alias("hub"), F.col("hub.rest").alias("hub_rest"), F.col("hub.n").alias("hub_n")))
     near = viable.where(F.col("doc") != F.col("hub")).where(_enough("n", "hub_n", F.least("rest", "hub_rest") + 1))
-    near = near.groupBy(F.col("doc").alias("a"), F.col("hub").alias("b"), "n").agg(F.count("*").alias("met"))
-    star = staged(_verified(documents, staged(near.where(STAR_SHARE * F.col("met") >= F.col("n")).select("a", "b").distinct())))
+    near = near.select(F.col("doc").alias("a"), F.col("hub").alias("b")).distinct()
+    star = staged(_verified(documents, staged(_by_prefix(near, shared))))
 
     label = components(star).withColumnRenamed("node", "doc")
     named = viable.join(label, "doc", "left").select("token", "doc", "rest", "n", "c", F.coalesce("component", "doc").alias("label"))
