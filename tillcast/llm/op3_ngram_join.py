@@ -19,8 +19,6 @@ doc_id share a component; a null doc_id has a null component; no rows give no ro
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,12 +27,12 @@ from pyspark.sql import functions as F
 from tillcast.llm.batches import SPACED, int64s, row_words, shingle_set, sliced
 from tillcast.llm.components import components
 from tillcast.llm.corpus_sums import corpus_sum
+from tillcast.llm.meeting import meet, met_pairs
 from tillcast.llm.registry import query, table
 from tillcast.sources.staging import staged
 
 COUNTERS = 1 << 20  # places of the shingle counts
 FREQUENT = 64  # longest list of a shingle that is joined by itself
-MEETING = 200  # members that are verified against one set at one place
 _FLAG = np.uint64(1)  # lowest bit of an indexed shingle: frequent by the counts
 
 
@@ -114,50 +112,26 @@ def _shared(prefixes: DataFrame) -> DataFrame:
     return counted.where((F.col("_c") > 1) | F.col("_salt").isNotNull()).select("token", "doc", "rest", "n")
 
 
-def _packed(documents: DataFrame) -> DataFrame:
-    """(doc, z): texts as they travel, compressed."""
-
-    def rows(batches):
-        for batch in sliced(batches):
-            z = [zlib.compress(t.as_buffer() if t.is_valid else b"", 1) for t in batch["text"].cast(pa.large_binary())]
-            yield pa.record_batch([batch["doc_id"], pa.array(z, pa.binary())], names=["doc", "z"])
-
-    return documents.where("doc_id IS NOT NULL").mapInArrow(rows, "doc long, z binary")
-
-
 def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough.
+    """The pairs (a, b) whose sets are similar enough."""
 
-    The sets of the a's meet that of their b as they stream by, at most about `MEETING` at one place:
-    the set of a much wanted b goes to several.
-    """
-    load = pairs.groupBy("b").agg(F.ceil(F.count("*") / MEETING).cast("int").alias("places"))
-    at = F.pmod(F.xxhash64("a"), F.col("places")).cast("int")
-    members = pairs.join(load, "b").select(F.col("a").alias("doc"), "b", at.alias("place"), F.lit(True).alias("member"))
-    hubs = load.select(F.col("b").alias("doc"), "b", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.lit(False).alias("member"))
-
-    def sets(batches):
-        for batch in sliced(batches):
-            texts = pa.array([zlib.decompress(z.as_buffer()) for z in batch["z"]], pa.large_binary()).cast(pa.large_string())
-            out = [shingle_set(h).tobytes() for _, h in row_words(texts, SPACED)]
-            yield pa.record_batch([batch[c] for c in ("b", "place", "member", "doc")] + [pa.array(out, pa.binary())], names=["b", "place", "member", "doc", "s"])
+    def sets(texts):
+        return [shingle_set(h).tobytes() for _, h in row_words(texts, SPACED)]
 
     def compare(batches):
-        key, known = None, []
-        for batch in sliced(batches):
-            got = []
-            for b, place, member, doc, s in zip(*(batch[c].to_pylist() for c in ("b", "place", "member", "doc")), batch["s"]):
-                own = np.frombuffer(s.as_buffer(), np.uint64)
-                if key != (b, place):
-                    key, known = (b, place), []
-                if not member:
-                    known.append(own.copy())
-                elif any(7 * len(np.intersect1d(own, k, assume_unique=True)) >= 3 * (len(own) + len(k)) for k in known):
-                    got.append((doc, b))
-            yield pa.record_batch([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    met = _packed(documents).join(members.union(hubs).hint("merge"), "doc").mapInArrow(sets, "b long, place int, member boolean, doc long, s binary")
-    return met.repartition("b", "place").sortWithinPartitions("b", "place", "member").mapInArrow(compare, "a long, b long").distinct()
+        got = []
+        for a, own, b, known in met_pairs(batches, lambda s: np.frombuffer(s.as_py(), np.uint64)):
+            if any(7 * len(np.intersect1d(own, k, assume_unique=True)) >= 3 * (len(own) + len(k)) for k in known):
+                got.append((a, b))
+            if len(got) == 10_000:
+                yield as_batch(got)
+                got = []
+        yield as_batch(got)
+
+    def as_batch(got):
+        return pa.record_batch([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return meet(documents, pairs, sets).mapInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicate_links(documents: DataFrame) -> DataFrame:
