@@ -1 +1,10 @@
-"""Operators of a training-data pipeline: filters, deduplication, decontamination, packing, scoring."""
+"""Operators of a training-data pipeline: filters, deduplication, decontamination, packing, scoring.
+
+Their functions travel to the executors by value, so these need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -120,7 +120,7 @@ def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def compare(batches):
         got = []
-        for a, own, b, known in met_pairs(batches, lambda s: np.frombuffer(s.as_py(), np.uint64)):
+        for a, own, b, known, _ in met_pairs(batches, lambda s: np.frombuffer(s.as_py(), np.uint64)):
             if any(7 * len(np.intersect1d(own, k, assume_unique=True)) >= 3 * (len(own) + len(k)) for k in known):
                 got.append((a, b))
             if len(got) == 10_000:

@@ -201,7 +201,6 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, keep: tuple[s
 
     `cleaned` adds `clean_text`, the text without the hit spans.
     """
-    spark = documents.sparkSession
     out = documents.select(F.struct(*documents.columns).alias("row"))
     for f in ("starts", "ends"):
         out = out.withColumn(f, F.array().cast("array<long>"))
@@ -209,24 +208,24 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, keep: tuple[s
     blocks = list(_blocks(benchmark, block_words))
     for block in blocks:
         last = block is blocks[-1]
-        out = _scanned(out, spark.sparkContext.broadcast(block), last, cleaned and last)
+        out = _scanned(out, block, last, cleaned and last)
     extra = ["clean_text"] if cleaned else []
     return out.select(*[F.col("row")[c].alias(c) for c in keep], "n_words", "starts", "ends", "items", *extra)
 
 
-def _scanned(df: DataFrame, block, last: bool, cleaned: bool) -> DataFrame:
+def _scanned(df: DataFrame, block: Block, last: bool, cleaned: bool) -> DataFrame:
     def rows(batches):
         for batch in batches:
             texts = batch["row"].field("text")
             for i, j, data, offs in pieces(texts, SHARD_BYTES):
-                w0, w1, wo, hit, pairs = block.value.hits(data, offs)
+                w0, w1, wo, hit, pairs = block.hits(data, offs)
                 starts, ends, items = ([x.as_py() for x in batch[c][i:j]] for c in ("starts", "ends", "items"))
                 for r in np.unique(np.searchsorted(wo, np.flatnonzero(hit), "right") - 1):
                     flags = np.diff(np.concatenate([[0], hit[wo[r] : wo[r + 1]], [0]]).astype(np.int8))
                     merged = _merged(list(zip(starts[r], ends[r])) + list(zip(np.flatnonzero(flags == 1).tolist(), np.flatnonzero(flags == -1).tolist())))
                     starts[r], ends[r] = [s for s, _ in merged], [e for _, e in merged]
                 for r, item in pairs.tolist():
-                    items[r].append(block.value.ids[item])
+                    items[r].append(block.ids[item])
                 longs, names = pa.list_(pa.int64()), pa.list_(pa.string())
                 cols = [batch["row"][i:j], pa.array(starts, longs), pa.array(ends, longs), pa.array(items, names)]
                 if last:

@@ -137,10 +137,8 @@ def train(documents: DataFrame) -> Parser:
 
 def predict_language(documents: DataFrame, parser: Parser) -> DataFrame:
     """doc_id of every row with lang_pred and score, the winner's share of 2 ** -bits."""
-    model = documents.sparkSession.sparkContext.broadcast(parser)
 
     def rows(batches):
-        parser = model.value
         names = np.array([*parser.names, "und"], dtype=object)
         for batch in batches:
             for i, j, data, offs in pieces(batch["text"], 4 << 20):
