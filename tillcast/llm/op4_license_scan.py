@@ -7,8 +7,8 @@ words cover a text in steps of an eighth of it. MinHash bands of a window retrie
 is found with probability above 0.9999. A hit is verified by exact containment: the share of the
 template's shingles that stand in the window, widened by one step to both sides.
 
-Texts that lack the rarest word of every template shingle hold no shingle at all and are not cut into
-windows. The template table is a parameter; its size is checked, as it is broadcast.
+Every template shingle has one of a few anchor words, so windows without one hold no shingle, and are
+not made. The template table is a parameter; its size is checked, as it is broadcast.
 
 Defined cases: null and empty texts, and an empty template table, give no rows; rows with the same
 doc_id are one document; equal containments go to the earliest window.
@@ -41,9 +41,13 @@ TEMPLATES = [
 ]
 
 
-def _words(text: Column) -> Column:
+def _lowered(text: Column) -> Column:
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.array_remove(F.split(F.translate(text, letters, letters.lower()), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+    return F.translate(text, letters, letters.lower())
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(_lowered(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
 def _shingles(words: Column) -> Column:
@@ -52,10 +56,10 @@ def _shingles(words: Column) -> Column:
 
 
 def _bands(shingles: Column) -> Column:
-    def least(k: int) -> Column:
-        return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, F.lit(k))))
+    def least(k: Column) -> Column:
+        return F.array_min(F.transform(shingles, lambda x: F.xxhash64(x, k)))
 
-    return F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(least(2 * b), least(2 * b + 1)).alias("key")) for b in range(BANDS)])
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, least(2 * b), least(2 * b + 1)))
 
 
 def scan_licenses(documents: DataFrame, templates: DataFrame) -> DataFrame:
@@ -67,20 +71,24 @@ def scan_licenses(documents: DataFrame, templates: DataFrame) -> DataFrame:
     known = known.select("license", F.size("w").alias("len"), _shingles(F.col("w")).alias("t"), "w")
     lengths = sorted(r["len"] for r in known.select("len").distinct().collect())
 
-    words = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    words = words.where(_may_hold(known)).select("doc_id", _words(F.col("text")).alias("w"))
+    words = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lowered(F.col("text")).alias("lowered"))
     found = None
     for length in lengths:
         step = max(1, (length - SHINGLE + 1) // 8)
+        anchors = _anchors(known.where(F.col("len") == length))
         last = F.greatest(F.size("w") - length, F.lit(0))
-        starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last)))
-        windows = words.where(F.size("w") > 0).select("doc_id", "w", F.explode(starts).alias("start"))
+        held = words.where(_holds_any(anchors)).select("doc_id", _words(F.col("text")).alias("w")).where(F.size("w") > 0)
+        held = held.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).isin(anchors)))
+        around = F.flatten(F.transform("at", lambda p: F.sequence(F.greatest(p - length + 1, F.lit(0)), p)))
+        starts = F.filter(F.array_distinct(around), lambda i: (i <= last) & ((i % step == 0) | (i == last)))
+        windows = held.select("doc_id", "w", F.explode(starts).alias("start"))
         wide = F.slice("w", F.greatest(F.col("start") - step, F.lit(0)) + 1, length + F.least(F.col("start"), F.lit(step)) + step)
         cut = windows.select("doc_id", "start", F.slice("w", F.col("start") + 1, length).alias("x"), wide.alias("wide"))
         # shorter templates are one shingle of their own length
         k = min(length, SHINGLE)
         s = F.transform(F.sequence(F.lit(1), F.greatest(F.size("wide") - k, F.lit(0)) + 1), lambda i: F.xxhash64(F.slice("wide", i, k)))
-        banded = cut.select("doc_id", "start", s.alias("s"), F.explode(_bands(_shingles(F.col("x")))).alias("b"))
+        cut = cut.select("doc_id", "start", s.alias("s"), _shingles(F.col("x")).alias("xs"))
+        banded = cut.select("doc_id", "start", "s", F.explode(_bands(F.col("xs"))).alias("b"))
         own = known.where(F.col("len") == length).select("license", "t", F.explode(_bands(F.col("t"))).alias("tb"))
         hits = banded.join(F.broadcast(own), F.col("b") == F.col("tb"))
         share = F.size(F.array_intersect("t", "s")) / F.size("t")
@@ -92,24 +100,22 @@ def scan_licenses(documents: DataFrame, templates: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "license").agg(best).select("doc_id", "license", (-F.col("m.c")).alias("containment"), "m.start_word")
 
 
-def _may_hold(known: DataFrame) -> Column:
-    """Whether a text has one of a set of words of which every template shingle has one."""
-    templates = [r["w"] for r in known.select("w").collect()]
-    often: dict[str, int] = {}
-    for w in templates:
-        for word in w:
-            often[word] = often.get(word, 0) + 1
-    anchors = set()
-    for w in templates:
-        for i in range(max(1, len(w) - SHINGLE + 1)):
-            piece = w[i : i + SHINGLE]
+def _anchors(known: DataFrame) -> list[str]:
+    """Words of which every shingle of these templates has one; long words come first."""
+    anchors: set[str] = set()
+    for row in known.select("w").orderBy("w").collect():
+        for i in range(max(1, len(row["w"]) - SHINGLE + 1)):
+            piece = row["w"][i : i + SHINGLE]
             if not anchors & set(piece):
                 anchors.add(max(piece, key=lambda x: (len(x), x)))
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    text = F.translate("text", letters, letters.lower())
+    return sorted(anchors)
+
+
+def _holds_any(anchors: list[str]) -> Column:
+    """Whether a text may have one of these words."""
     held = F.lit(False)
-    for word in sorted(anchors):
-        held = held | text.contains(word)
+    for word in anchors:
+        held = held | F.col("lowered").contains(word)
     return held
 
 
