@@ -72,13 +72,14 @@ def scan_licenses(documents: DataFrame, templates: DataFrame) -> DataFrame:
     lengths = sorted(r["len"] for r in known.select("len").distinct().collect())
 
     words = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lowered(F.col("text")).alias("lowered"))
+    every = sorted({a for length in lengths for a in _anchors(known.where(F.col("len") == length))})
+    words = staged(words.where(_holds_any(every)).select("doc_id", _words(F.col("text")).alias("w")))
     found = None
     for length in lengths:
         step = max(1, (length - SHINGLE + 1) // 8)
         anchors = _anchors(known.where(F.col("len") == length))
         last = F.greatest(F.size("w") - length, F.lit(0))
-        held = words.where(_holds_any(anchors)).select("doc_id", _words(F.col("text")).alias("w")).where(F.size("w") > 0)
-        held = held.withColumn("at", F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).isin(anchors)))
+        held = words.where(F.size("w") > 0).withColumn("at", F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).isin(anchors)))
         around = F.flatten(F.transform("at", lambda p: F.sequence(F.greatest(p - length + 1, F.lit(0)), p)))
         starts = F.filter(F.array_distinct(around), lambda i: (i <= last) & ((i % step == 0) | (i == last)))
         windows = held.select("doc_id", "w", F.explode(starts).alias("start"))
