@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillcast.llm.batches import mix, sliced
 from tillcast.llm.corpus_sums import corpus_sum
 
-MARKS = 1 << 22
+MARKS = 1 << 21
 MEETING = 200  # members that are verified against one text at one place
 
 

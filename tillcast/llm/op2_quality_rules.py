@@ -21,7 +21,7 @@ from tillcast.llm.sample import labelled_ids
 WORD_DIMS = CHAR_DIMS = 1 << 12
 DIMS = WORD_DIMS + CHAR_DIMS
 CHARS = 4
-SAMPLE_PER_CLASS = 1500  # labelled rows that the model is fitted on, per class
+SAMPLE_PER_CLASS = 1000  # labelled rows that the model is fitted on, per class
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 KEEP_FROM = 0.5
@@ -94,13 +94,15 @@ def _sampled(documents: DataFrame, ids: DataFrame):
                         own = feature[cuts[r] : cuts[r + 1]]
                         if len(own):
                             x[r, base : base + WORD_DIMS] = np.bincount(own, minlength=WORD_DIMS) / len(own)
-                yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary()), batch["y"][i:j]], names=["x", "y"])
+                yield pa.record_batch([pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), batch["y"][i:j]], names=["x", "y"])
 
     chosen = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", F.col("y").cast("int").alias("y"))
     got = chosen.mapInArrow(rows, "x binary, y int").toArrow()
-    seen = sorted(zip(got["y"].to_pylist(), got["x"].to_pylist()))
-    x = np.frombuffer(b"".join(v for _, v in seen), np.float32).reshape(-1, DIMS)
-    return x, np.array([y for y, _ in seen], np.float64)
+    y, packed = got["y"].to_numpy().astype(np.float64), got["x"].combine_chunks()
+    x = np.empty((len(y), DIMS), np.float32)
+    for r, k in enumerate(np.lexsort((packed.to_numpy(zero_copy_only=False), y)) if len(y) else []):
+        x[r] = np.frombuffer(packed[int(k)].as_buffer(), np.float16)
+    return x, np.sort(y)
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, float, float, float]:
@@ -109,9 +111,12 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> tu
     if len(y) == 0:
         return np.zeros(DIMS, np.float32), 6.0, 1.0, 0.0
     scale = 1.0 / np.maximum(np.sqrt((x * x).mean(0)), 1e-4)
-    held = np.arange(len(y)) % 5 == 4
-    w, b = fit_logistic(x[~held] * scale, y[~held], l2=3e-3, steps=120, rate=0.02)
-    a, c = fit_platt((x[held] * scale) @ w + b, y[held])
+    x *= scale
+    apart = np.argsort(np.arange(len(y)) % 5 == 4, kind="stable")
+    cut = len(y) - len(y) // 5
+    x, y = x[apart], y[apart]
+    w, b = fit_logistic(x[:cut], y[:cut], l2=3e-3, steps=120, rate=0.02)
+    a, c = fit_platt(x[cut:] @ w + b, y[cut:])
     return (w * scale).astype(np.float32), b, a, c
 
 
