@@ -71,7 +71,7 @@ def scan_licenses(documents: DataFrame, templates: DataFrame) -> DataFrame:
     known = known.select("license", F.size("w").alias("len"), _shingles(F.col("w")).alias("t"), "w")
     lengths = sorted(r["len"] for r in known.select("len").distinct().collect())
 
-    words = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lowered(F.col("text")).alias("lowered"))
+    words = documents.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = sorted({a for length in lengths for a in _anchors(known.where(F.col("len") == length))})
     words = staged(words.where(_holds_any(every)).select("doc_id", _words(F.col("text")).alias("w")))
     found = None
@@ -113,11 +113,15 @@ def _anchors(known: DataFrame) -> list[str]:
 
 
 def _holds_any(anchors: list[str]) -> Column:
-    """Whether a text may have one of these words."""
-    held = F.lit(False)
-    for word in anchors:
-        held = held | F.col("lowered").contains(word)
-    return held
+    """Whether a text may have one of these words; it is lower-cased once for all of them."""
+
+    def held(text: Column) -> Column:
+        out = F.lit(False)
+        for word in anchors:
+            out = out | text.contains(word)
+        return out
+
+    return F.exists(F.array(_lowered(F.col("text"))), held)
 
 
 @query("op4_license_scan")
