@@ -200,3 +200,9 @@ def test_histogram_and_keep_flags(spark):
     assert rows(drivers.effect_histogram(e.where("store_number = '3'"), "e").select("bin", "stores")) == [(10, 1)]
     base = spark.createDataFrame([("0",), ("q",)], "store_number string")
     assert rows(drivers.attach_keep_flags(base, drivers.keep_flags(e, "food"))) == [("0", 1), ("q", 0)]
+
+
+def test_totals_hold_periods_that_are_not_listed(spark):
+    fc = spark.createDataFrame([("A", 2000, 1, 10.0), ("A", 2000, 2, 5.0)], "State string, fiscal_year int, fiscal_period int, forecast double")
+    got = {r["State"]: r for r in rollups.state_period_pivot(fc, ["2000-P1"]).collect()}
+    assert (got["A"]["2000-P1"], got["A"]["Total"], got["All States"]["Total"]) == (10.0, 15.0, 15.0)

@@ -17,7 +17,7 @@ from tillcast.operators.ranking import exact_percentiles
 from tillcast.sources.staging import staged
 
 MIN_COVERAGE = 0.90
-MAX_DEPARTMENTS = 10_000
+SPREAD = 16  # parts of the department list that stores are joined with
 MAX_DAYS = 63  # days of a fiscal period fit the bits of one long
 PERIOD = ["fiscal_year", "fiscal_period"]
 STORE_PERIOD = ["store_number", *PERIOD]
@@ -130,20 +130,18 @@ def hours_per_sales(hours: DataFrame, sales: DataFrame, min_coverage: float = MI
 def department_shares(depts: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """(hm_key, department, share_final): store medians, chain medians in the gaps, summing to 1 per store.
 
-    Every store gets every department the chain knows. The department list is one small array (its
-    size is checked) exploded per store; stores whose shares sum to 0 split evenly.
+    Every store gets every department the chain knows, so the result has stores times departments
+    rows; stores whose shares sum to 0 split evenly.
     """
     usable = (F.col("store_hours") > 0) & (F.col("total_hours") >= 0)
     rows = gated(depts, min_coverage).where(usable).withColumn("share", F.col("total_hours") / F.col("store_hours"))
     per_store = rows.groupBy("hm_key", "department").agg(F.median("share").alias("share"))
     per_chain = exact_percentiles(rows, "share", {"share_chain": 0.5}, by=["department"])
-    names = F.collect_set("department")
-    known = per_store.agg(
-        F.when(F.size(names) == 0, F.array(F.lit("Unknown")))
-        .when(F.size(names) <= MAX_DEPARTMENTS, names)
-        .otherwise(F.raise_error(F.lit("too many departments")).cast("array<string>"))
-    ).scalar()
-    grid = depts.select("hm_key").distinct().withColumn("department", F.explode(known))
+    none = depts.sparkSession.range(1).where(per_store.agg(F.count("*")).scalar() == 0).select(F.lit("Unknown").alias("department"))
+    names = per_store.select("department").distinct().union(none)
+    spread = F.pmod(F.xxhash64("department"), F.lit(SPREAD)).cast("int")
+    stores = depts.select("hm_key").distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    grid = stores.join(names.withColumn("_part", spread), "_part").select("hm_key", "department")
     # Without any department data the only department is Unknown, with all of the hours.
     chain = F.coalesce("share_chain", F.when(F.col("department") == "Unknown", F.lit(1.0)), F.lit(0.0))
     filled = (

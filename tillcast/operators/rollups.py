@@ -62,11 +62,13 @@ def period_labels(fc: DataFrame) -> list[str]:
 def state_period_pivot(fc: DataFrame, labels: Sequence[str] | None = None, forecast: str = "forecast") -> DataFrame:
     """States by periods with a Total column and an 'All States' row; absent cells are 0.
 
+    The labels choose the columns only: totals are over all periods.
+
     The extra row falls out of the same aggregation through grouping sets.
     """
     labels = list(labels or period_labels(fc))
     small = fc.groupBy("State", *PERIOD).agg(F.sum(col(forecast)).alias("f"))
-    labelled = small.withColumn("period", period_label(*PERIOD)).where(F.col("period").isin(labels))
+    labelled = small.withColumn("period", period_label(*PERIOD))
     cells = [F.coalesce(F.sum(F.when(F.col("period") == p, F.col("f"))), F.lit(0.0)).alias(p) for p in labels]
     return (
         labelled.groupingSets([["State"], []], "State")

@@ -92,7 +92,7 @@ def run_forecast(
     near = staged(peers.nearest_peers(clusters, cohorts))
     eval_hist = staged(selection.backtest(feats, hist, near, cfg))
     assigned = selection.assign_store_models(selection.store_wapes(eval_hist))
-    peer = peers.peer_scaled_forecast(hist, pooled, near, splits.last_axis(pooled))
+    peer = peers.peer_scaled_forecast(hist, pooled, near, splits.last_axis(pooled, horizon))
     final = staged(selection.final_forecasts(pooled, peer, assigned, horizon))
 
     with_state = dims.attach_state(normalize_forecast(final, "forecast"), hierarchy)

@@ -49,13 +49,13 @@ def read_first_table(
         return read_any(spark, path, schema)
     first = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.{csv,CSV,parquet,PARQUET}")
+        .option("pathGlobFilter", "*.{csv,CSV,parquet,PARQUET,xls,XLS,xlsx,XLSX}")
         .load(path)
         .agg(F.min("path").alias("path"))
         .first()["path"]
     )
     if first is None:
-        raise ValueError(f"no CSV or Parquet file in {path}")
+        raise ValueError(f"no table file in {path}")
     return read_any(spark, first, schema)
 
 
