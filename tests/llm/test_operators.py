@@ -247,3 +247,12 @@ def test_pipeline_stages_take_effect(spark):
     kept = corpus_pipeline.quality_rules(spark, docs, sf)
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
     assert corpus_pipeline.run(spark, sf).columns[:2] == ["doc_id", "piece"]
+
+
+def test_passages_behind_a_common_notice(spark):
+    """Documents between the first and the last of a list are tried with each other, also of lists longer than a block."""
+    notice, passage = prose(40, 900), prose(20, 901)
+    texts = [prose(60, 1000 + i) + " " + notice + " " + (passage + " " if i in (5, 9) else "") + prose(60, 2000 + i) for i in range(160)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r["doc_id"], r["start_word"], r["end_word"], r["kept_doc_id"], r["removed"]) for r in op8.repeated_passages(docs).collect()}
+    assert got == {(5, 60, 120, 5, False), (9, 60, 120, 5, True)}
