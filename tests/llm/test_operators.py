@@ -256,3 +256,16 @@ def test_passages_behind_a_common_notice(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     got = {(r["doc_id"], r["start_word"], r["end_word"], r["kept_doc_id"], r["removed"]) for r in op8.repeated_passages(docs).collect()}
     assert got == {(5, 60, 120, 5, False), (9, 60, 120, 5, True)}
+
+
+def test_near_copies_share_a_band(spark):
+    """One shared band makes a pair: 221 of these 300 passages of 51 words with one changed word have one, 185 have two."""
+    rows = []
+    for i in range(300):
+        passage = prose(51, 5000 + i).split()
+        rows += [(2 * i, " ".join(passage))]
+        passage[6 + i % 39] = "changed"
+        rows += [(2 * i + 1, " ".join(passage))]
+    pairs = op8.candidate_pairs(op8.band_lists(spark.createDataFrame(rows, "doc_id long, text string")))
+    met = {tuple(sorted(r)) for r in pairs.collect()}
+    assert sum((2 * i, 2 * i + 1) in met for i in range(300)) >= 210
