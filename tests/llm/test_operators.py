@@ -17,7 +17,7 @@ from tillcast.llm import op7_language_id as op7
 from tillcast.llm import op8_substring_dedup as op8
 from tillcast.llm import op9_best_fit_packing as op9
 from tillcast.llm import op10_quality_classifier as op10
-from tillcast.llm.batches import SPACED, flat, hashes, spans
+from tillcast.llm.batches import SPACED, flat, hashes, row_words, spans
 from tillcast.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -269,3 +269,20 @@ def test_near_copies_share_a_band(spark):
     pairs = op8.candidate_pairs(op8.band_lists(spark.createDataFrame(rows, "doc_id long, text string")))
     met = {tuple(sorted(r)) for r in pairs.collect()}
     assert sum((2 * i, 2 * i + 1) in met for i in range(300)) >= 210
+
+
+def test_passages_with_a_word_more_or_less():
+    passage = prose(100, 70).split()
+
+    def found(x, y):
+        words = [op8.Words(h) for _, h in row_words(pa.array([" ".join(x), " ".join(y)]), SPACED)]
+        return op8.common_passages(*words)
+
+    gap = passage[:50] + passage[51:]
+    before, after = prose(9, 71).split(), prose(30, 72).split()
+    assert found(before + passage + after, gap) == [(9, 109, 0, 99)]
+    assert found(gap, before + passage + after) == [(0, 99, 9, 109)]
+    assert found(passage[:51], passage[:20] + before + passage[:51]) == [(0, 51, 29, 80)]
+    assert found(passage[:50], before + passage[:50]) == []
+    assert found(["a", "b"] * 60, ["a", "b"] * 80) == [(0, 120, 0, 160)]
+    assert found(["a"] * 20_000, ["a"] * 300) == [(0, 20_000, 0, 300)]
