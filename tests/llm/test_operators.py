@@ -286,3 +286,14 @@ def test_passages_with_a_word_more_or_less():
     assert found(passage[:50], before + passage[:50]) == []
     assert found(["a", "b"] * 60, ["a", "b"] * 80) == [(0, 120, 0, 160)]
     assert found(["a"] * 20_000, ["a"] * 300) == [(0, 20_000, 0, 300)]
+
+
+def test_languages_with_few_letters_win_nothing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    tiny = spark.createDataFrame([(10**6 + i, t, lang) for i, (t, lang) in enumerate([("12 34", "digits"), ("", "none"), ("xq", "tiny")] * 9)], docs.schema)
+    parser = op7.train(docs.union(tiny))
+    assert "digits" not in parser.names and "none" not in parser.names and {"de", "en", "es", "fr", "tiny"} <= set(parser.names)
+    rows = op7.predict_language(docs, parser).join(docs.select("doc_id", "lang"), "doc_id").where(op7.held_out()).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
+    late = spark.createDataFrame([(i, "1 " * 5000 + "word", "xx") for i in range(8)], docs.schema)
+    assert op7.train(late).names == ["xx"]

@@ -1,11 +1,14 @@
 """Language identification by cross-parsing.
 
 A suffix automaton per language holds a sample of its text. A text is cut into the longest phrases
-that the automaton knows; the language whose phrases, weighted with the bits that name a place in
-its sample, come out fewest wins. Texts are parsed whole, as bytes, A-Z lower-cased and everything
+that the automaton knows; the language with the fewest phrases wins. A phrase costs the bits that name
+a place in the longest sample, whatever the language, so a small sample gains nothing. Texts are parsed whole, as bytes, A-Z lower-cased and everything
 in ASCII that is no letter folded to one blank, in strips of `STRIP` symbols that advance together:
 a step is one table lookup for all strips and languages at once.
 
+Samples hold `LETTERS` letters of each language, from as many slices of texts outside the test fold as
+that takes, or all slices where there are fewer; a language without a letter is not learned.
+
 Defined cases: null texts, texts without a letter, and a training set without any language give
 `und` with score 0; equal costs go to the first language name; repeated rows are parsed row by row.
 """
@@ -14,14 +17,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm.batches import LOWER, pieces
 from tillcast.llm.registry import query, table
 from tillcast.llm.sample import held_out
 
-DOCS_PER_LANGUAGE = 64  # training texts per language, the first by hash of the id
+LETTERS = 20_000  # letters learned of each language, from the texts that come first by hash
 SLICE = 400  # characters taken of each, from a place that depends on the id
 MAX_LANGUAGES = 500
 STRIP = 512
@@ -80,7 +83,7 @@ class Parser:
         self.symbol = np.full(256, len(used), np.int64)  # unknown bytes
         self.symbol[used] = np.arange(len(used))
         self.width = len(used) + 1
-        tables, self.roots, self.bits, base = [], [], [], 0
+        tables, self.roots, base = [], [], 0
         for name in self.names:
             edges = _Automaton(texts[name]).next
             t = np.full((len(edges), self.width), base | int(_RESTART), np.int32)
@@ -91,10 +94,9 @@ class Parser:
                     t[state, self.symbol[c]] = base + to
             tables.append(t)
             self.roots.append(base)
-            self.bits.append(np.log2(len(texts[name]) + 2))
             base += len(edges)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.bits = np.array(self.bits)
+        self.bits = np.full(len(self.names), np.log2(max(map(len, texts.values()), default=0) + 2))
 
     def costs(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """Bits of each row's phrases, by language: (rows, languages)."""
@@ -125,14 +127,28 @@ def train(documents: DataFrame) -> Parser:
     chars = F.char_length("text")
     place = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.greatest(chars - SLICE + 1, F.lit(1))) + 1
     rows = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    piece = rows.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", place.cast("int"), F.lit(SLICE)).alias("piece"))
-    by_lang = Window.partitionBy("lang").orderBy("h", "piece")
-    first = piece.withColumn("nth", F.row_number().over(by_lang)).where(F.col("nth") <= DOCS_PER_LANGUAGE)
-    texts: dict[str, bytes] = {}
-    for r in first.orderBy("lang", "nth").limit(DOCS_PER_LANGUAGE * MAX_LANGUAGES).collect():
-        data = np.frombuffer((r["piece"] + "\n").encode(), np.uint8)
-        texts[r["lang"]] = texts.get(r["lang"], b"") + _folded(data, np.array([0, len(data)]))[0].tobytes()
-    return Parser(texts)
+    at_place = F.substring("text", place.cast("int"), F.lit(SLICE))
+    first_letter = F.regexp_extract("text", rf"\p{{L}}[\s\S]{{0,{SLICE - 1}}}", 0)
+    piece = rows.select("lang", F.xxhash64("doc_id", "text").alias("h"), F.when(at_place.rlike(r"\p{L}"), at_place).otherwise(first_letter).alias("piece"))
+    piece = piece.withColumn("letters", F.char_length(F.regexp_replace("piece", r"\P{L}+", ""))).where("letters > 0")
+    piece = piece.withColumn("level", F.char_length(F.bin(F.shiftrightunsigned(F.col("h").bitwiseXOR(F.lit(-(1 << 63))), 1))))
+    sums = piece.groupBy("lang", "level").agg(F.sum("letters").alias("letters")).orderBy("lang", "level").limit(64 * MAX_LANGUAGES).collect()
+    upto: dict[str, int] = {}  # by language, the least level under which there are enough letters
+    have: dict[str, int] = {}
+    for r in sums:
+        if have.get(r["lang"], 0) < LETTERS:
+            have[r["lang"]] = have.get(r["lang"], 0) + r["letters"]
+            upto[r["lang"]] = r["level"]
+    levels = documents.sparkSession.createDataFrame(list(upto.items()), "lang string, top int")
+    near = piece.join(F.broadcast(levels), "lang").where("level <= top")
+    parts: dict[str, list[bytes]] = {}
+    have = {}
+    for r in near.select("lang", "piece", "letters").orderBy("lang", "h", "piece").collect():
+        if have.get(r["lang"], 0) < LETTERS:
+            have[r["lang"]] = have.get(r["lang"], 0) + r["letters"]
+            data = np.frombuffer((r["piece"] + "\n").encode(), np.uint8)
+            parts.setdefault(r["lang"], []).append(_folded(data, np.array([0, len(data)]))[0].tobytes())
+    return Parser({lang: b"".join(p) for lang, p in parts.items()})
 
 
 def predict_language(documents: DataFrame, parser: Parser) -> DataFrame:
