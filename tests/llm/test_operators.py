@@ -297,3 +297,9 @@ def test_languages_with_few_letters_win_nothing(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
     late = spark.createDataFrame([(i, "1 " * 5000 + "word", "xx") for i in range(8)], docs.schema)
     assert op7.train(late).names == ["xx"]
+
+
+def test_too_many_languages_are_an_error(spark):
+    rows = [(i, "some words", f"l{i // 8}") for i in range(8 * (op7.MAX_LANGUAGES + 1))]
+    with pytest.raises(ValueError):
+        op7.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))

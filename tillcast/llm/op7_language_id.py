@@ -2,12 +2,14 @@
 
 A suffix automaton per language holds a sample of its text. A text is cut into the longest phrases
 that the automaton knows; the language with the fewest phrases wins. A phrase costs the bits that name
-a place in the longest sample, whatever the language, so a small sample gains nothing. Texts are parsed whole, as bytes, A-Z lower-cased and everything
-in ASCII that is no letter folded to one blank, in strips of `STRIP` symbols that advance together:
-a step is one table lookup for all strips and languages at once.
+a place in the longest sample, whatever the language, so a small sample gains nothing. Texts are
+parsed whole, as bytes, A-Z lower-cased and everything in ASCII that is no letter folded to one blank,
+in strips of `STRIP` symbols that advance together: a step is one table lookup for all strips and
+languages at once.
 
 Samples hold `LETTERS` letters of each language, from as many slices of texts outside the test fold as
-that takes, or all slices where there are fewer; a language without a letter is not learned.
+that takes, or all slices where there are fewer; a language without a letter is not learned. More than
+`MAX_LANGUAGES` languages are an error.
 
 Defined cases: null texts, texts without a letter, and a training set without any language give
 `und` with score 0; equal costs go to the first language name; repeated rows are parsed row by row.
@@ -139,6 +141,8 @@ def train(documents: DataFrame) -> Parser:
         if have.get(r["lang"], 0) < LETTERS:
             have[r["lang"]] = have.get(r["lang"], 0) + r["letters"]
             upto[r["lang"]] = r["level"]
+    if len(upto) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     levels = documents.sparkSession.createDataFrame(list(upto.items()), "lang string, top int")
     near = piece.join(F.broadcast(levels), "lang").where("level <= top")
     parts: dict[str, list[bytes]] = {}
