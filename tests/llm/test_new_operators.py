@@ -17,12 +17,18 @@ SCHEMA = "doc_id long, text string"
 
 # --- op11
 
+def mixed(x):
+    for _ in range(2):
+        x = (x ^ x >> 16) * 0x45D9F3B % 2**32
+    return x ^ x >> 16
+
+
 def shard_by_hand(key, weights):
+    digest = hashlib.md5(f"{'' if key is None else key}".encode()).hexdigest()
     drawn = []
     for s, w in enumerate(weights):
-        digest = hashlib.md5(f"{'' if key is None else key}:{s // 4}".encode()).hexdigest()
-        u = (int(digest[s % 4 * 8 : s % 4 * 8 + 8], 16) + 0.5) / 2**32
-        drawn.append((-math.log(u) / w, s))
+        x = mixed(mixed((int(digest[:8], 16) + s * 0x9E3779B9) % 2**32) ^ int(digest[8:16], 16))
+        drawn.append((-math.log((x + 0.5) / 2**32) / w, s))
     return min(drawn)[1]
 
 

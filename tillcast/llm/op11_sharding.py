@@ -1,9 +1,9 @@
 """Sharding by rendezvous hashing of stable record keys over weighted shards.
 
-Every shard draws a number for a key from a digest of both, and the key goes to the shard with the
-smallest draw, where a draw is -ln(u) / weight. So key and shards alone decide; a shard gets its
-weight's part of the keys, and one more shard takes keys only into itself. One md5 serves four
-shards. Nothing is shuffled to find shards.
+Every shard draws a number for a key, and the key goes to the shard with the smallest draw, where a
+draw is -ln(u) / weight and u mixes two words of the key's md5 with the shard's number. So key and
+shards alone decide; a shard gets its weight's part of the keys, and one more shard takes keys only
+into itself. Nothing is shuffled to find shards.
 
 Places within a shard (`slotted`) need an order. Equal rows fold to one with a count before they
 travel; the rest is ordered by a digest of the row and cut by its leading bits into blocks of about
@@ -27,31 +27,36 @@ from tillcast.llm.registry import query, table
 from tillcast.sources.staging import staged
 
 SHARDS = 40
-PER_DIGEST = 4  # shards that draw from one digest, 32 bits each
+MASK = (1 << 32) - 1
+MULTIPLIER = 0x45D9F3B  # times 32 bits stays within a long
+STRIDE = 0x9E3779B9  # between the salts of neighbouring shards
 BLOCK_ROWS = 4096
 ROW_BYTES = 16  # what a record takes besides its text
 
 
-def _number(hexed: Column, first: Column | int) -> Column:
+def _number(hexed: Column, first: int = 1) -> Column:
     """32 bits of a digest as a long."""
     return F.conv(F.substring(hexed, first, 8), 16, 10).cast("long")
 
 
+def _mixed(numbers: Column) -> Column:
+    """Each 32-bit number with every input bit spread over all bits."""
+    for _ in range(2):
+        numbers = F.transform(numbers, lambda x: (x.bitwiseXOR(F.shiftright(x, 16)) * MULTIPLIER).bitwiseAND(MASK))
+    return F.transform(numbers, lambda x: x.bitwiseXOR(F.shiftright(x, 16)))
+
+
 def draws(key: Column, weights: Sequence[float]) -> Column:
     """One (draw, shard) per shard, in the order of the shards."""
     if not weights or min(weights) <= 0:
         raise ValueError("weights must be positive")
-    stable = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"))
-    digests = F.transform(
-        F.sequence(F.lit(0), F.lit((len(weights) - 1) // PER_DIGEST)), lambda g: F.md5(F.concat(stable, g.cast("string")).cast("binary"))
-    )
-    hexed = F.array_join(digests, "")
-
-    def draw(weight: Column, shard: Column) -> Column:
-        u = (_number(hexed, shard * 8 + 1) + 0.5) / 2.0**32
-        return F.struct((-F.log(u) / weight).alias("draw"), shard.alias("shard"))
-
-    return F.transform(F.array(*[F.lit(float(w)) for w in weights]), draw)
+    n = len(weights)
+    digest = F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+    salts = F.array(*[F.lit(s * STRIDE & MASK).cast("long") for s in range(n)])
+    salted = F.zip_with(F.array_repeat(_number(digest), n), salts, lambda x, c: (x + c).bitwiseAND(MASK))
+    mixed = _mixed(F.zip_with(_mixed(salted), F.array_repeat(_number(digest, 9), n), lambda x, y: x.bitwiseXOR(y)))
+    drawn = F.zip_with(mixed, F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: -F.log((x + 0.5) / 2.0**32) / w)
+    return F.transform(drawn, lambda d, s: F.struct(d.alias("draw"), s.alias("shard")))
 
 
 def sharded(rows: DataFrame, key: str, weights: Sequence[float], more: Sequence[float] = ()) -> DataFrame:
@@ -107,9 +112,16 @@ m AS (
            xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: CAST('0x' || x AS BIGINT))),
                            lambda a, b: xor(a >> 8, crc.t[CAST(xor(a, b) & 255 AS BIGINT) + 1])), CAST(4294967295 AS BIGINT)) AS text_crc32
     FROM d, crc),
-draw AS (
-    SELECT r, s, -ln((CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(s // 4 AS VARCHAR)), CAST(s % 4 * 8 + 1 AS BIGINT), 8) AS BIGINT) + 0.5) / 4294967296.0) AS x
-    FROM d, (SELECT range AS s FROM range(41))),
+k AS (
+    SELECT r, s, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS k1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS k2
+    FROM (SELECT r, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM d), (SELECT range AS s FROM range(41))),
+m0 AS (SELECT r, s, k2, (k1 + (s * 2654435769 & 4294967295)) & 4294967295 AS x FROM k),
+m1 AS (SELECT r, s, k2, xor(x, x >> 16) * 73244475 & 4294967295 AS x FROM m0),
+m2 AS (SELECT r, s, k2, xor(x, x >> 16) * 73244475 & 4294967295 AS x FROM m1),
+m3 AS (SELECT r, s, xor(xor(x, x >> 16), k2) AS x FROM m2),
+m4 AS (SELECT r, s, xor(x, x >> 16) * 73244475 & 4294967295 AS x FROM m3),
+m5 AS (SELECT r, s, xor(x, x >> 16) * 73244475 & 4294967295 AS x FROM m4),
+draw AS (SELECT r, s, -ln((xor(x, x >> 16) + 0.5) / 4294967296.0) AS x FROM m5),
 best AS (SELECT r, s AS shard FROM draw WHERE s < 40 QUALIFY row_number() OVER (PARTITION BY r ORDER BY x, s) = 1),
 grown AS (SELECT r, s AS grown_shard FROM draw QUALIFY row_number() OVER (PARTITION BY r ORDER BY x, s) = 1)
 SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
