@@ -7,19 +7,29 @@ from conftest import rows
 from tillcast.operators import peers, ranking
 
 
-@pytest.mark.parametrize("accuracy", [50, 1000, 50_000])
-def test_exact_percentiles(spark, accuracy):
+@pytest.mark.parametrize("accuracy,small", [(100, 300), (10_000, 100), (10_000, 10_000)])
+def test_exact_percentiles_with_any_sketch(spark, accuracy, small):
+    """A coarse sketch misses its ranks by far; rounds of narrowing still end at the exact values."""
     rng = np.random.default_rng(accuracy)
     vals = np.concatenate([rng.normal(0, 1e6, 4000), np.full(3000, 7.0), rng.integers(0, 9, 2001).astype(float)])
     pdf = pd.DataFrame({"g": rng.integers(0, 3, len(vals)), "v": vals})
-    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([(0, None)], "g long, v double")).repartition(5)
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([(0, None), (None, 2.0), (None, 4.0), (9, 5.0)], "g long, v double")).repartition(5)
     probs = {"p10": 0.1, "m": 0.5, "p90": 0.9, "lo": 0.0, "hi": 1.0}
-    got = ranking.exact_percentiles(df, "v", probs, accuracy=accuracy).first()
-    assert list(got) == pytest.approx(list(np.percentile(vals, [10, 50, 90, 0, 100])), rel=1e-12)
-    per = {r["g"]: r for r in ranking.exact_percentiles(df, "v", {"m": 0.5, "q": 0.25}, ["g"], accuracy).collect()}
+    got = ranking.exact_percentiles(df, "v", probs, (), accuracy, small).first()
+    assert list(got) == pytest.approx(list(np.percentile([*vals, 2.0, 4.0, 5.0], [10, 50, 90, 0, 100])), rel=1e-12)
+    per = {r["g"]: r for r in ranking.exact_percentiles(df, "v", {"m": 0.5, "q": 0.25}, ["g"], accuracy, small).collect()}
     for g, part in pdf.groupby("g"):
         assert per[g]["m"] == pytest.approx(np.median(part.v), rel=1e-12)
         assert per[g]["q"] == pytest.approx(np.percentile(part.v, 25), rel=1e-12)
+    assert (per[None]["m"], per[None]["q"], per[9]["m"], len(per)) == (3.0, 2.5, 5.0, 5)
+
+
+def test_percentiles_of_large_even_group(spark):
+    """Two ranks on both sides of a cut, a value that half of all rows share, and a value on either end."""
+    vals = [1.0] * 30_000 + [2.0] * 30_000 + [float(i) for i in range(-500, 0)] + [float(i) for i in range(10, 510)]
+    df = spark.createDataFrame(pd.DataFrame({"v": vals})).repartition(4)
+    got = ranking.exact_percentiles(df, "v", {"m": 0.5, "p1": 0.01}, (), 100, 50).first()
+    assert list(got) == pytest.approx(list(np.percentile(vals, [50, 1])))
 
 
 def test_percentiles_of_nothing(spark):

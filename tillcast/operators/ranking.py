@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions.casts import col
+from tillcast.sources.staging import staged
+
+SMALL = 10_000  # rows of a bracket that are ranked together
+GRID = 200  # quantiles that propose the cuts of a larger one
 
 
 def hash_block(digest: str, blocks_hex: int = 3) -> Column:
@@ -54,67 +58,88 @@ def exact_percentiles(
     value: str,
     probs: dict[str, float],
     by: Sequence[str] = (),
-    accuracy: int = 50_000,
+    accuracy: int = 10_000,
+    small: int = SMALL,
 ) -> DataFrame:
     """Linear-interpolated percentiles for groups of any size, one column per name in `probs`.
 
-    The built-in exact percentile keeps every distinct value of a group in one buffer. Here a
-    mergeable sketch brackets each wanted rank, everything below the bracket folds to one count on
-    the map side, and only the values inside it are ranked. The sketch decides how much is ranked,
-    never the answer: if a rank fell outside its bracket, the job would stop with an error.
+    The built-in exact percentile keeps every distinct value of a group in one buffer. Here each
+    wanted rank has a bracket of values, at first the whole group. Brackets of more than `small` rows
+    are narrowed: a mergeable sketch proposes two cuts around the rank, the rows below, between and
+    above them are counted, and the part that holds the rank is the next bracket. The sketch decides
+    how fast brackets shrink, never where a rank lies; a cut pair that spans the bracket becomes its
+    middle, so that every round takes a good part away. Only the rows of small brackets are ranked, equal values
+    as one row. A group whose key is null is a group of its own.
     """
-    rows = df.where(col(value).isNotNull()).select(*by, col(value).cast("double").alias("_v"))
-    if not by:
-        rows = rows.withColumn("_g", F.lit(0))
-    keys = list(by) or ["_g"]
-    eps = 4.0 / accuracy
-    edges = [e for p in probs.values() for e in (max(0.0, p - eps), min(1.0, p + eps))]
-    bounds = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", edges, accuracy).alias("_e"), F.count("*").alias("_n")
-    )
-    few = F.col("_n") < accuracy  # a group this small is ranked as a whole
-    wanted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(p).alias("p"),
-                F.when(few, float("-inf")).otherwise(F.col("_e")[2 * i]).alias("lo"),
-                F.when(few, float("inf")).otherwise(F.col("_e")[2 * i + 1]).alias("hi"),
-            )
-            for i, (name, p) in enumerate(probs.items())
-        ]
-    )
-    if by:
-        placed = rows.join(bounds.select(*keys, "_n", wanted.alias("_w")), keys)
-    else:
-        whole = bounds.select(F.struct("_n", wanted.alias("_w"))).scalar()
-        placed = rows.withColumn("_b", whole).select("_g", "_v", "_b.*")
-    inside = (
-        placed.select(*keys, "_n", "_v", F.explode("_w").alias("_w"))
-        .where(F.col("_v") <= F.col("_w.hi"))
-        .withColumn("_v", F.when(F.col("_v") >= F.col("_w.lo"), F.col("_v")))
-        .groupBy(*keys, "_n", F.col("_w.name").alias("_name"), F.col("_w.p").alias("_p"), "_v")
-        .agg(F.count("*").alias("_c"))
-    )
-    upto = (
-        Window.partitionBy(*keys, "_name")
-        .orderBy(F.col("_v").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    pos = F.col("_p") * (F.col("_n") - 1)
-    ranked = inside.withColumn("_hi", F.sum("_c").over(upto)).withColumn("_lo", F.col("_hi") - F.col("_c"))
-    at = lambda r: F.max(F.when((F.col("_lo") <= r) & (r < F.col("_hi")), F.col("_v")))
-    found = ranked.groupBy(*keys, "_name", "_p", "_n").agg(
-        at(F.floor(pos)).alias("a"), at(F.ceil(pos)).alias("b")
-    )
-    value_at = F.col("a") + (F.col("b") - F.col("a")) * (pos - F.floor(pos))
-    checked = F.when(value_at.isNotNull(), value_at).otherwise(
-        F.raise_error(F.lit("percentile rank outside its bracket"))
+    key = F.struct(*by) if by else F.lit(0)
+    rows = df.where(col(value).isNotNull()).select(key.alias("_g"), col(value).cast("double").alias("_v"))
+
+    def within(brackets: DataFrame) -> DataFrame:
+        """Rows with the bracket they lie in; without groups there are no more brackets than ranks."""
+        near = brackets if by else F.broadcast(brackets)
+        return rows.join(near, "_g").where(F.col("_v").between(F.col("lo"), F.col("hi")))
+
+    def wanted(p: float) -> Column:
+        return F.lit(p) * (F.col("n") - 1)
+
+    ranks = F.array_distinct(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(upper).alias("upper"), (F.ceil(wanted(p)) if upper else F.floor(wanted(p))).alias("r"))
+        for name, p in probs.items() for upper in (False, True)
+    ]))
+    brackets = rows.groupBy("_g").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("n"))
+    brackets = staged(brackets.select("_g", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("m"), "n", ranks.alias("ranks")))
+    large = (F.col("m") > small) & (F.col("lo") < F.col("hi"))
+    while not brackets.where(large).isEmpty():
+        parts = brackets.where(~large).unionByName(_narrowed(brackets.where(large), within, accuracy))
+        same = parts.groupBy("_g", "lo", "hi", "below", "m", "n")  # ranks that came by different ways
+        brackets = staged(same.agg(F.flatten(F.collect_list("ranks")).alias("ranks")))
+
+    of_bracket = ["_g", "lo", "hi"]
+    folded = within(brackets).groupBy(*of_bracket, "_v").agg(
+        F.count("*").alias("c"), F.first("below").alias("below"), F.first("n").alias("n"), F.first("ranks").alias("ranks")
     )
-    wide = found.withColumn("_x", checked).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_name") == n, F.col("_x"))).alias(n) for n in probs]
+    upto = Window.partitionBy(*of_bracket).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.col("below") + F.sum("c").over(upto)
+    placed = folded.withColumn("end", end).withColumn("start", F.col("end") - F.col("c"))
+    here = F.filter("ranks", lambda w: (w["r"] >= F.col("start")) & (w["r"] < F.col("end")))
+    found = placed.select("_g", "n", "_v", F.explode(here).alias("w"))
+
+    def at(name: str, upper: bool) -> Column:
+        return F.max(F.when((F.col("w.name") == name) & (F.col("w.upper") == upper), F.col("_v")))
+
+    def between(name: str, p: float) -> Column:
+        low, share = at(name, False), wanted(p) - F.floor(wanted(p))
+        return (low + (at(name, True) - low) * share).alias(name)
+
+    wide = found.groupBy("_g", "n").agg(*[between(name, p) for name, p in probs.items()])
+    return wide.select(*(["_g.*"] if by else []), *probs)
+
+
+def _narrowed(brackets: DataFrame, within, accuracy: int) -> DataFrame:
+    """For every rank the part of its bracket that holds it."""
+    of_bracket = ["_g", "lo", "hi"]
+    grid = [i / GRID for i in range(GRID + 1)]
+    sketched = within(brackets.select(*of_bracket)).groupBy(*of_bracket).agg(F.percentile_approx("_v", grid, max(accuracy, 100)).alias("q"))
+    each = brackets.join(sketched, of_bracket).withColumn("w", F.explode("ranks"))
+    i = F.least(F.floor((F.col("w.r") - F.col("below") + 0.5) / F.col("m") * GRID), F.lit(GRID - 1)).cast("int")
+    cell = lambda j: F.get("q", F.greatest(F.lit(0), F.least(F.lit(GRID), j)))
+    spans = (cell(i - 1) <= F.col("q")[0]) & (cell(i + 2) >= F.col("q")[GRID])
+    middle = F.col("q")[GRID // 2]
+    cut = each.withColumns({"c1": F.when(spans, middle).otherwise(cell(i - 1)), "c2": F.when(spans, middle).otherwise(cell(i + 2))})
+    pairs = cut.groupBy(*of_bracket, "below", "m", "n", "c1", "c2").agg(F.collect_list("w").alias("ranks"))
+    v, c1, c2 = F.col("_v"), F.col("c1"), F.col("c2")
+    counted = within(pairs).groupBy(*of_bracket, "c1", "c2").agg(
+        *[F.first(c).alias(c) for c in ("below", "m", "n", "ranks")],
+        F.count(F.when(v < c1, 1)).alias("lt"), F.count(F.when(v <= c2, 1)).alias("le"),
+        F.max(F.when(v < c1, v)).alias("max_lt"), F.min(F.when(v > c2, v)).alias("min_gt"),
     )
-    return wide if by else wide.drop("_g")
+    k = F.col("w.r") - F.col("below")
+    part = F.when(k < F.col("lt"), F.struct("lo", F.col("max_lt").alias("hi"), "below", F.col("lt").alias("m"))).when(
+        k < F.col("le"),
+        F.struct(c1.alias("lo"), c2.alias("hi"), (F.col("below") + F.col("lt")).alias("below"), (F.col("le") - F.col("lt")).alias("m")),
+    ).otherwise(F.struct(F.col("min_gt").alias("lo"), "hi", (F.col("below") + F.col("le")).alias("below"), (F.col("m") - F.col("le")).alias("m")))
+    moved = counted.withColumn("w", F.explode("ranks")).select("_g", "n", "w", part.alias("part"))
+    return moved.select("_g", "part.*", "n", F.array("w").alias("ranks"))
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
