@@ -518,30 +518,67 @@ def per_store_ridge_summary(spark, sf):
 
 # ---- peers and choice ------------------------------------------------------------------------
 
-def _profile(spark, sf):
-    return peers.store_profile(history(spark, sf))
+_P = range(1, 5)
+
+
+def _power_views(name: str, matrix: str) -> None:
+    """View <name>: leading eigenvector v (first entry not negative) and eigenvalue of a 4 x 4 matrix, by squaring it 16 times."""
+    cell = "list_sum(list_transform(range(1, 5), lambda c: m[a][c] * m[c][b]))"
+    trace = "list_sum(list_transform(range(1, 5), lambda a: list_sum(list_transform(range(1, 5), lambda c: m[a][c] * m[a][c]))))"
+    view(f"{name}_p", matrix, f"""
+        SELECT 0 AS i, m FROM {matrix} UNION ALL
+        SELECT i + 1, list_transform(range(1, 5), lambda a: list_transform(range(1, 5), lambda b: {cell} / {trace})) FROM {name}_p WHERE i < 16""")
+    view(name, f"{name}_p", f"""
+        SELECT v, list_sum(list_transform(range(1, 5), lambda a: list_sum(list_transform(range(1, 5), lambda b: v[a] * k.m[a][b] * v[b])))) AS e, k.m
+        FROM (SELECT list_transform(range(1, 5), lambda a: m[a][1] / sqrt(m[1][1])) AS v FROM {name}_p WHERE i = 16), {matrix} k""")
+
+
+view("prof", "hist", """
+    SELECT store_number, avg(actual) AS p1, stddev_samp(actual) AS p2, stddev_samp(actual) / nullif(avg(actual), 0) AS p3, ln(1 + avg(actual)) AS p4
+    FROM hist GROUP BY 1 HAVING stddev_samp(actual) / nullif(avg(actual), 0) IS NOT NULL""")
+view("profz", "prof", f"SELECT store_number, [{', '.join(f'(p{i} - avg(p{i}) OVER ()) / stddev_samp(p{i}) OVER ()' for i in _P)}] AS z FROM prof")
+view("corm", "profz", """
+    SELECT list(r ORDER BY j) AS m FROM (SELECT j, list(v ORDER BY k) AS r FROM (
+        SELECT j, k, sum(z[j] * z[k]) / (count(*) - 1) AS v FROM profz, range(1, 5) a(j), range(1, 5) b(k) GROUP BY j, k) GROUP BY j)""")
+_power_views("comp1", "corm")
+view("corm2", "comp1", "SELECT list_transform(range(1, 5), lambda a: list_transform(range(1, 5), lambda b: m[a][b] - e * v[a] * v[b])) AS m FROM comp1")
+_power_views("comp2", "corm2")
+view("scores", "profz comp1 comp2", f"""
+    SELECT store_number, {' + '.join(f'z[{i}] * comp1.v[{i}]' for i in _P)} AS pc1, {' + '.join(f'z[{i}] * comp2.v[{i}]' for i in _P)} AS pc2
+    FROM profz, comp1, comp2""")
+view("centre0", "scores", f"""
+    SELECT unnest([0, 1, 2]) AS i, unnest(quantile_cont(pc1, [{0.5 / 3!r}, {1.5 / 3!r}, {2.5 / 3!r}])) AS x, CAST(0 AS DOUBLE) AS y FROM scores""")
+for _r in range(7):
+    view(f"near{_r}", f"scores centre{_r}", f"""
+        SELECT store_number, pc1, pc2, i FROM scores, centre{_r}
+        QUALIFY row_number() OVER (PARTITION BY store_number ORDER BY (pc1 - x) * (pc1 - x) + (pc2 - y) * (pc2 - y), i) = 1""")
+    if _r < 6:
+        view(f"centre{_r + 1}", f"near{_r}", f"""
+            SELECT c.i, coalesce(avg(pc1), any_value(x)) AS x, coalesce(avg(pc2), any_value(y)) AS y
+            FROM centre{_r} c LEFT JOIN near{_r} n ON n.i = c.i GROUP BY c.i""")
+view("clusters", "near6", """
+    SELECT store_number, pc1, pc2, CAST(place AS INTEGER) AS cluster
+    FROM near6 JOIN (SELECT i, row_number() OVER (ORDER BY x, y, i) - 1 AS place FROM centre6) USING (i)""")
+view("peers", "clusters cohorts", """
+    SELECT store_number, CAST(r AS INTEGER) AS peer_rank, peer FROM (
+      SELECT s.store_number, l.store_number AS peer,
+             row_number() OVER (PARTITION BY s.store_number ORDER BY (l.pc1 - s.pc1) * (l.pc1 - s.pc1) + (l.pc2 - s.pc2) * (l.pc2 - s.pc2), l.store_number) AS r
+      FROM clusters s JOIN clusters l ON l.cluster = s.cluster JOIN cohorts cs ON cs.store_number = s.store_number AND cs.cohort = 'short'
+      JOIN cohorts cl ON cl.store_number = l.store_number AND cl.cohort = 'long') WHERE r <= 3""")
 
 
-@query("store_clusters", "store_number:s pc1:4 pc2:4 cluster:i")
-def store_clusters(spark, sf):
-    return peers.locked_clusters(peers.pca_scores(_profile(spark, sf)))
+def _clusters(hist):
+    return peers.locked_clusters(peers.pca_scores(peers.store_profile(hist)))
 
 
-view("spots", "hist cohorts", """
-    SELECT h.store_number, avg(actual) AS x, CAST(CAST(h.store_number AS INTEGER) % 3 = 0 AS INTEGER) AS cluster, min(cohort) AS cohort
-    FROM hist h JOIN cohorts USING (store_number) GROUP BY 1""")
-view("peers", "spots", """
-    SELECT store_number, CAST(r AS INTEGER) AS peer_rank, peer FROM (
-      SELECT s.store_number, l.store_number AS peer, row_number() OVER (PARTITION BY s.store_number ORDER BY abs(l.x - s.x), l.store_number) AS r
-      FROM spots s JOIN spots l ON l.cluster = s.cluster AND l.cohort = 'long' WHERE s.cohort = 'short') WHERE r <= 3""")
+@query("store_clusters", "store_number:s pc1:4 pc2:4 cluster:i", "SELECT * FROM clusters", "clusters")
+def store_clusters(spark, sf):
+    return _clusters(history(spark, sf))
 
 
-def _peers(hist, blocks: int = 200):
-    """Peers by mean sales in two id-based groups, so that SQL can repeat the choice."""
-    spots = hist.groupBy("store_number").agg(F.avg("actual").alias("pc1")).withColumn(
-        "cluster", (F.col("store_number").cast("int") % 3 == 0).cast("int")
-    )
-    return peers.nearest_peers(spots, splits.history_cohorts(hist), blocks=blocks)
+def _peers(hist):
+    """Each short store's peers: profile, components, clusters, nearest long stores of the cluster."""
+    return peers.nearest_peers(_clusters(hist), splits.history_cohorts(hist))
 
 
 @query("peers_long", "store_number:s peer_rank:i peer:s", "SELECT * FROM peers", "peers")
@@ -560,7 +597,7 @@ def early_mean(spark, sf):
 
 
 view("early", "hist", """SELECT store_number, avg(actual) AS m FROM (SELECT *, row_number() OVER (PARTITION BY store_number ORDER BY fiscal_year, fiscal_period) AS r FROM hist) WHERE r <= 10 GROUP BY 1""")
-_nxt, _nv = recursion_sql("nxt", "fx", "actual", True)
+_nxt, _nv = recursion_sql("nxt", "final", "actual", True)
 view("nfc", _nv, f"SELECT store_number, fiscal_year, fiscal_period, forecast FROM ({_nxt})")
 view("scale", "peers early", """
     SELECT p.store_number, e.m / avg(pe.m) AS scale FROM peers p JOIN early pe ON pe.store_number = p.peer JOIN early e ON e.store_number = p.store_number GROUP BY 1, e.m HAVING avg(pe.m) <> 0""")
@@ -571,8 +608,9 @@ view("peerfc", "nfc scale peers naxis", """
 
 
 def _next6(spark, sf, feats=None):
+    """Six periods ahead by the fitted model."""
     feats = stored_features(spark, sf) if feats is None else feats
-    return fc.recursive_forecast(fixed_model(spark, sf, feats), fc.future_grid(feats, calendar(spark), CFG), CFG)
+    return fc.recursive_forecast(ridge.train(feats, CFG), fc.future_grid(feats, calendar(spark), CFG), CFG)
 
 
 def _peer_fc(hist, rows, near=None):

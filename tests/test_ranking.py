@@ -46,28 +46,71 @@ def test_distributed_row_number(spark):
 def brute(clusters, cohorts, k=3):
     long = {s for s, c in cohorts.items() if c == "long"}
     out = []
-    for s, (x, g) in clusters.items():
+    for s, (x, y, g) in clusters.items():
         if cohorts[s] == "short":
-            near = sorted((abs(clusters[p][0] - x), p) for p in long if clusters[p][1] == g)[:k]
+            near = sorted(((clusters[p][0] - x) ** 2 + (clusters[p][1] - y) ** 2, p) for p in long if clusters[p][2] == g)[:k]
             out += [(s, i + 1, p) for i, (_, p) in enumerate(near)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("seed,blocks", [(0, 4), (1, 50), (2, 200)])
-def test_nearest_peers_equals_brute_force(spark, seed, blocks):
+def peers_of(spark, clusters, cohorts):
+    cl = spark.createDataFrame([(s, *v) for s, v in clusters.items()], "store_number string, pc1 double, pc2 double, cluster int")
+    return peers.nearest_peers(cl, spark.createDataFrame(list(cohorts.items()), "store_number string, cohort string"))
+
+
+@pytest.mark.parametrize("seed,leaf", [(0, 8), (1, 1)])
+def test_nearest_peers_equals_brute_force(spark, seed, leaf, monkeypatch):
+    """Piles on one place, a lattice with many equal distances, a dense clump, a far store, a small cluster."""
+    monkeypatch.setattr(peers, "LEAF", leaf)
     rng = np.random.default_rng(seed)
     clusters, cohorts = {}, {}
-    for i in range(400):
-        # a third of the stores sit on one spot, many others share few spots
-        x = 0.5 if i % 3 == 0 else float(rng.integers(0, 40)) / 4 if i % 3 == 1 else float(rng.normal(5, 3))
-        clusters[f"s{i:03d}"] = (x, int(rng.integers(0, 2)) if i < 390 else 2)
+    for i in range(500):
+        if i % 4 == 0:
+            x, y = 0.5, -0.25
+        elif i % 4 == 1:
+            x, y = float(rng.integers(0, 8)) / 4, float(rng.integers(0, 8)) / 4
+        elif i % 4 == 2:
+            x, y = float(rng.normal(5, 3)), float(rng.normal(0, 1))
+        else:
+            x, y = 2 + float(rng.normal(0, 1e-6)), 1 + float(rng.normal(0, 1e-6))
+        clusters[f"s{i:03d}"] = (x, y, int(rng.integers(0, 2)) if i < 490 else 2)
         cohorts[f"s{i:03d}"] = "short" if rng.random() < 0.4 else "long"
-    cl = spark.createDataFrame([(s, x, g) for s, (x, g) in clusters.items()], "store_number string, pc1 double, cluster int")
-    co = spark.createDataFrame(list(cohorts.items()), "store_number string, cohort string")
-    got = rows(peers.nearest_peers(cl, co, blocks=blocks))
+    clusters["far"], cohorts["far"] = (1e9, -1e9, 0), "long"
+    clusters["lone"], cohorts["lone"] = (0.0, 0.0, 7), "short"
+    got = rows(peers_of(spark, clusters, cohorts))
     assert got == brute(clusters, cohorts)
 
 
+def test_nearest_peers_of_equal_stores(spark):
+    """A cluster of 5,000 equal stores: every short one gets the first three long ids."""
+    clusters = {f"s{i:04d}": (1.5, 2.5, 0) for i in range(5000)}
+    cohorts = {s: "short" if i % 3 == 0 else "long" for i, s in enumerate(sorted(clusters))}
+    got = peers_of(spark, clusters, cohorts).groupBy("peer_rank", "peer").count().collect()
+    assert sorted((r["peer_rank"], r["peer"], r["count"]) for r in got) == [(i + 1, f"s000{j}", 1667) for i, j in enumerate((1, 2, 4))]
+
+
+def test_peers_of_nothing(spark):
+    cl = spark.createDataFrame([("a", 1.0, None, 0), ("b", 1.0, 1.0, 0)], "store_number string, pc1 double, pc2 double, cluster int")
+    co = spark.createDataFrame([("a", "short"), ("b", "long")], "store_number string, cohort string")
+    assert peers.nearest_peers(cl, co).collect() == []
+    assert peers.nearest_peers(cl.limit(0), co).collect() == []
+
+
+def test_components_match_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(100, 30, (60, 1)) * [1, 0.2, 0, 0] + rng.normal(0, 5, (60, 4))
+    df = spark.createDataFrame([(f"s{i}", *map(float, v)) for i, v in enumerate(x)], ["store_number", *peers.PROFILE])
+    got = {r["store_number"]: (r["pc1"], r["pc2"]) for r in peers.pca_scores(df).collect()}
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    values, vectors = np.linalg.eigh(np.corrcoef(x.T))
+    loads = vectors[:, ::-1][:, :2]
+    want = z @ (loads * np.where(loads[0] < 0, -1, 1))
+    for i in range(60):
+        assert got[f"s{i}"] == pytest.approx(tuple(want[i]), rel=1e-9, abs=1e-9)
+    flat = df.withColumn(peers.PROFILE[1], F.lit(3.0))
+    assert peers.pca_scores(flat).where("isnan(pc1) OR pc1 IS NULL").count() == 0
+
+
 def test_clusters_are_ordered_and_complete(spark):
     rng = np.random.default_rng(3)
     data = [(f"s{i}", float(m + rng.normal(0, 5))) for i, m in enumerate([100] * 20 + [500] * 20 + [900] * 20) for _ in range(15)]
