@@ -112,8 +112,7 @@ VIEWS: dict[str, tuple[str, str]] = {
                CASE WHEN i = 51 THEN 35 ELSE 28 END AS days, CASE WHEN i = 51 THEN 1 ELSE 0 END AS is_5w, i
         FROM range(0, 104) t(i)"""),
     "lines": ("", """
-        SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem
-        WHERE l_suppkey % 5 <> 0 OR CAST(l_shipdate AS DATE) >= DATE '2000-11-05'"""),
+        SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem"""),
     "sales": ("cal lines", f"""
         SELECT CAST(l_suppkey AS VARCHAR) AS store_number, c.beg AS event_date, c.fiscal_year, c.fiscal_period,
                CAST(sum({_MONEY} * (100 - {_DISC})) AS DOUBLE) / CAST(10000 AS DOUBLE) AS sales,
@@ -154,9 +153,9 @@ VIEWS: dict[str, tuple[str, str]] = {
     "feats": ("feats0", "SELECT * FROM feats0 WHERE sales IS NOT NULL AND sales_m1 IS NOT NULL"),
     "states": ("", "SELECT CAST(s_suppkey AS VARCHAR) AS store_number, n_name AS state FROM supplier JOIN nation ON s_nationkey = n_nationkey"),
     "hist": ("kept", "SELECT store_number, event_date, fiscal_year, fiscal_period, sales AS actual FROM kept"),
-    "cohorts": ("hist", """
+    "cohorts": ("hist", f"""
         SELECT store_number, count(DISTINCT fiscal_year * 100 + fiscal_period) AS n_hist_periods,
-               CASE WHEN count(DISTINCT fiscal_year * 100 + fiscal_period) >= 18 THEN 'long' ELSE 'short' END AS cohort
+               CASE WHEN count(DISTINCT fiscal_year * 100 + fiscal_period) >= {tb.SHORT_BELOW} THEN 'long' ELSE 'short' END AS cohort
         FROM hist GROUP BY 1"""),
     "axis": ("feats", "SELECT DISTINCT fiscal_year, fiscal_period FROM feats ORDER BY fiscal_year DESC, fiscal_period DESC LIMIT 6"),
     "ranked": ("feats", """

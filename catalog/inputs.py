@@ -339,7 +339,7 @@ def state_mode(spark, sf):
 )
 def history_cohorts(spark, sf):
     hist = history(spark, sf)
-    return splits.history_cohorts(hist).join(splits.history_length(hist), "store_number")
+    return splits.history_cohorts(hist, tb.SHORT_BELOW).join(splits.history_length(hist), "store_number")
 
 
 @query(
@@ -404,12 +404,12 @@ def origin_stability_split(spark, sf):
     f"{STORE_PERIOD} missing_periods:i",
     """SELECT store_number, fiscal_year, fiscal_period, m AS missing_periods FROM (
          SELECT *, fiscal_year * 13 + fiscal_period - lag(fiscal_year * 13 + fiscal_period) OVER (PARTITION BY store_number ORDER BY event_date) - 1 AS m
-         FROM sales WHERE fiscal_period NOT IN (3, 7, 8)) WHERE m > 0""",
+         FROM sales) WHERE m > 0""",
     "sales",
 )
 def gaps(spark, sf):
-    """Periods 3, 7 and 8 are taken out, so the positional lag skips them."""
-    return gap_check(tb.sales_period(spark, sf).where(~F.col("fiscal_period").isin(3, 7, 8)), CFG)
+    """Stores without sales in a period: the positional lag skips it."""
+    return gap_check(tb.sales_period(spark, sf), CFG)
 
 
 @query(

@@ -44,8 +44,9 @@ def term_rows(spark, terms: dict[str, float]):
 def gram_stats(spark, sf):
     feats = features(spark, sf)
     two = ridge.store_sums(feats, [FEATURES[0]], CFG)
-    sine = ridge.store_sums(feats, ["p13_sin"], CFG).selectExpr("store_number", "q0_0 AS q2_2")
-    return two.join(sine, "store_number")
+    sine = ridge.store_sums(feats, ["p13_sin"], CFG).selectExpr("store_number", "c0_0 + n * m0 * m0 AS q2_2")
+    raw = [f"c{j}_{k} + n * m{j} * m{k} AS q{j}_{k}" for j, k in ((0, 0), (0, 1), (1, 1))]
+    return two.selectExpr("store_number", "n", "n * m0 AS s0", "n * m1 AS s1", *raw).join(sine, "store_number")
 
 
 @query(
@@ -578,7 +579,7 @@ def store_clusters(spark, sf):
 
 def _peers(hist):
     """Each short store's peers: profile, components, clusters, nearest long stores of the cluster."""
-    return peers.nearest_peers(_clusters(hist), splits.history_cohorts(hist))
+    return peers.nearest_peers(_clusters(hist), splits.history_cohorts(hist, tb.SHORT_BELOW))
 
 
 @query("peers_long", "store_number:s peer_rank:i peer:s", "SELECT * FROM peers", "peers")
@@ -632,7 +633,7 @@ def peer_scaled_forecast(spark, sf):
 )
 def finalize_forecasts(spark, sf):
     rows, hist = staged(_next6(spark, sf)), staged(history(spark, sf))
-    short = splits.history_cohorts(hist).where("cohort = 'short'")
+    short = splits.history_cohorts(hist, tb.SHORT_BELOW).where("cohort = 'short'")
     return selection.finalize_forecasts(rows, _peer_fc(hist, rows), short)
 
 
@@ -653,7 +654,7 @@ view("evalh", "hist axis pooled ohp cohorts", """
 
 def _eval_hist(spark, sf):
     hist = staged(history(spark, sf))
-    return selection.backtest(stored_features(spark, sf), hist, staged(_peers(hist)), CFG)
+    return selection.backtest(stored_features(spark, sf), hist, staged(_peers(hist)), CFG, short_below=tb.SHORT_BELOW)
 
 
 @query(
@@ -739,18 +740,20 @@ view("finalfc", "nfc naxis peerfc assigned", """
 def final_forecast(spark, sf):
     feats, hist = stored_features(spark, sf), staged(history(spark, sf))
     rows, near = staged(_next6(spark, sf, feats)), staged(_peers(hist))
-    assigned = _assigned(selection.backtest(feats, hist, near, CFG))
+    assigned = _assigned(selection.backtest(feats, hist, near, CFG, short_below=tb.SHORT_BELOW))
     return selection.final_forecasts(rows, _peer_fc(hist, rows, near), assigned)
 
 
 @query(
     "join_actuals",
     f"{STORE_PERIOD} forecast:3 actual:4",
-    f"""SELECT f.store_number, f.fiscal_year, f.fiscal_period, {ridge_line('fx', FEATURE_SQL)} + effect AS forecast, CASE WHEN f.fiscal_year < 2000 THEN f.sales END AS actual
+    f"""SELECT f.store_number, f.fiscal_year, f.fiscal_period, {ridge_line('fx', FEATURE_SQL)} + effect AS forecast, f.sales AS actual
         FROM feats f JOIN fx_d USING (store_number), fx_t""",
     "feats fx_t fx_d",
 )
 def join_actuals(spark, sf):
+    """Every store-period's sales come in two rows."""
     feats = stored_features(spark, sf)
-    past = history(spark, sf).where("fiscal_year < 2000")
+    hist = history(spark, sf)
+    past = hist.withColumn("actual", F.col("actual") * 0.25).unionByName(hist.withColumn("actual", F.col("actual") * 0.75))
     return metrics.join_actuals(fixed_model(spark, sf, feats).score(feats).drop("total_net_sales"), past)

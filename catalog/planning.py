@@ -369,6 +369,44 @@ def labor_coverage(spark, sf):
     return labor.store_hours(labor.dept_hours(tb.labor(spark, sf), tb.fiscal_calendar(spark)))
 
 
+def _quarters(spark):
+    """Calendar quarters as periods: 90 to 92 days."""
+    return spark.range(0, 32, 1, 1).selectExpr(
+        "CAST(1995 + id DIV 4 AS INT) AS Year", "CAST(id % 4 + 1 AS INT) AS Period",
+        "add_months(DATE'1995-01-01', CAST(3 * id AS INT)) AS BeginningDate",
+        "date_sub(add_months(DATE'1995-01-01', CAST(3 * id + 3 AS INT)), 1) AS EndingDate",
+    )
+
+
+@query(
+    "labor_coverage_quarters",
+    f"{STORE_PERIOD} total_hours:4 coverage_days:b days_in_period:i coverage_pct_active:6",
+    """SELECT CAST(l_suppkey + 1000000000000 AS VARCHAR) AS store_number, year(d) AS fiscal_year, quarter(d) AS fiscal_period, sum(l_quantity * CAST(0.1 AS DOUBLE)) AS total_hours,
+              count(DISTINCT d) AS coverage_days, max(n) AS days_in_period, count(DISTINCT d) / CAST(max(n) AS DOUBLE) AS coverage_pct_active
+       FROM (SELECT *, date_diff('day', date_trunc('quarter', d), date_trunc('quarter', d) + INTERVAL 3 MONTH) AS n FROM lines) GROUP BY 1, 2, 3""",
+    "lines",
+)
+def labor_coverage_quarters(spark, sf):
+    """Periods longer than a block of days."""
+    return labor.store_hours(labor.dept_hours(tb.labor(spark, sf), _quarters(spark)))
+
+
+@query(
+    "labor_ratio_keys",
+    "hm_key:s ratio_store:8 ratio_chain:8",
+    "SELECT hm_key, ratio AS ratio_store, (SELECT median(r) FROM lab_j) AS ratio_chain FROM lab_r",
+    "lab_r lab_j",
+)
+def labor_ratio_keys(spark, sf):
+    """Labor that carries fiscal keys and no dates: coverage is unknown and all store-periods count."""
+    days = tb.daily_periods(spark).select(F.col("_day").alias("work_date"), F.col("fiscal_year").cast("string"), F.col("fiscal_period").cast("string"))
+    keyed = tb.labor(spark, sf).join(F.broadcast(days), "work_date").drop("work_date")
+    hours = labor.hm_totals(labor.hours_by_hm(keyed, None, dims.key_map(tb.hierarchy(spark, sf))))
+    sales = tb.sales_period(spark, sf).selectExpr("store_number AS hm_key", "fiscal_year", "fiscal_period", "total_net_sales AS sales")
+    per_store, chain = labor.hours_per_sales(hours, sales)
+    return per_store.withColumn("ratio_chain", chain)
+
+
 def _hm_hours(spark, sf):
     return labor.hours_by_hm(tb.labor(spark, sf), tb.fiscal_calendar(spark), dims.key_map(tb.hierarchy(spark, sf)))
 
@@ -438,7 +476,7 @@ def labor_totals(spark, sf):
     "labor_keys",
     f"{HM} sales_forecast:2 hours_forecast:4",
     """SELECT f.store_number AS hm_key, f.fiscal_year, f.fiscal_period, forecast AS sales_forecast, forecast * ratio AS hours_forecast
-       FROM nfc f JOIN lab_r r ON r.hm_key = f.store_number WHERE CAST(f.store_number AS INTEGER) % 2 = 0 AND f.store_number NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal < 0)""",
+       FROM nfc f JOIN lab_r r ON r.hm_key = f.store_number WHERE f.store_number IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_nationkey < 13 AND NOT s_acctbal < 0)""",
     "nfc lab_r",
 )
 def labor_keys(spark, sf):
@@ -447,7 +485,7 @@ def labor_keys(spark, sf):
     key = F.col("s_suppkey").cast("string")
     return labor.build_labor_forecasts(
         tb.hierarchy(spark, sf), tb.labor(spark, sf), tb.fiscal_calendar(spark), tb.sales_period(spark, sf), _next6(spark, sf),
-        allowed=sup.where("s_suppkey % 2 = 0").select(key), excluded=sup.where("s_acctbal < 0").select(key),
+        allowed=sup.where("s_nationkey < 13").select(key), excluded=sup.where("s_acctbal < 0").select(key),
     )[0]
 
 
@@ -456,12 +494,11 @@ def labor_keys(spark, sf):
     f"{STORE_PERIOD} State:s sales_forecast:2 labor_cost_ratio:8 pred_total_labor_cost:4",
     """SELECT store_number, fiscal_year, fiscal_period, state AS "State", forecast AS sales_forecast, coalesce(ratio, med) AS labor_cost_ratio, forecast * coalesce(ratio, med) AS pred_total_labor_cost FROM (
          SELECT f.*, ratio, median(ratio) OVER () AS med, coalesce(state, 'Unknown') AS state FROM nfc f LEFT JOIN states USING (store_number)
-         LEFT JOIN (SELECT store_number, sum(labor) / sum(sales) AS ratio FROM salesx WHERE CAST(store_number AS INTEGER) % 7 <> 0 GROUP BY 1) USING (store_number))""",
+         LEFT JOIN (SELECT store_number, sum(labor) / sum(sales) AS ratio FROM salesx GROUP BY 1) USING (store_number))""",
     "nfc states salesx",
 )
 def labor_cost(spark, sf):
-    """Every seventh store has no cost history and takes the median ratio."""
-    costs = tb.sales_period(spark, sf, extra=True).where(F.col("store_number").cast("int") % 7 != 0)
+    costs = tb.sales_period(spark, sf, extra=True)
     return labor.build_labor_cost_forecast(_next6(spark, sf), tb.hierarchy(spark, sf), costs)
 
 

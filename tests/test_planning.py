@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tillcast.config import FEATURES, SALES_LAG, ForecastConfig
-from tillcast.operators import budget, drivers, forecast, labor, metrics, rollups, selection
+from tillcast.operators import budget, dims, drivers, forecast, labor, metrics, rollups, selection
 from tillcast.operators.calendar import prepare_calendar
 from tillcast.operators.ridge import RidgeModel
 from tillcast.sources import testbed as tb
@@ -147,6 +147,39 @@ def test_labor(spark):
     assert rows(labor.build_labor_forecasts(geo, hours, tb.fiscal_calendar(spark), sales, fc, excluded=only)[0].select("hm_key")) == [("2",), ("4",)]
 
 
+def test_coverage_of_long_periods(spark):
+    """A period of 90 days is two blocks of days; several ids and departments of a store share its days."""
+    cal = spark.createDataFrame([(2000, 1, dt.date(2000, 1, 1), dt.date(2000, 3, 30)), (2000, 2, dt.date(2000, 3, 31), dt.date(2000, 4, 6))], "Year int, Period int, BeginningDate date, EndingDate date")
+    day = lambda i: (dt.date(2000, 1, 1) + dt.timedelta(days=i)).isoformat()
+    data = [("901", day(i), "A" if i % 2 else "B", 1.0) for i in range(0, 90, 2)] + [("901", day(i), "A", 1.0) for i in (0, 62, 63, 64, 65, 89)]
+    data += [("911", day(i), "C", 2.0) for i in (1, 64, 67)] + [("901", day(91), "A", 5.0)]
+    hours = spark.createDataFrame(data, "Store_Number string, date string, dept string, total_hours double")
+    cover = {(r["store_number"], r["fiscal_period"]): r for r in labor.store_hours(labor.dept_hours(hours, cal)).collect()}
+    worked = set(range(0, 90, 2)) | {0, 62, 63, 64, 65, 89}
+    assert cover[("901", 1)]["coverage_days"] == len(worked) and cover[("901", 1)]["coverage_pct_active"] == pytest.approx(len(worked) / 90)
+    assert cover[("901", 2)]["coverage_days"] == 1
+    geo = spark.createDataFrame([("901", "1"), ("911", "1")], "Store_Number string, Heatmap_Store_Number string")
+    per_dept = labor.hours_by_hm(hours, cal, dims.key_map(geo)).where("fiscal_period = 1").collect()
+    assert {(r["department"], r["total_hours"]) for r in per_dept} == {("A", 6.0), ("B", 45.0), ("C", 6.0)}
+    assert {(r["store_hours"], round(r["coverage_pct_active"] * 90, 6)) for r in per_dept} == {(57.0, len(worked | {1, 64, 67}))}
+
+
+def test_labor_with_fiscal_keys_only(spark):
+    geo = spark.createDataFrame([("901", "1"), ("902", "2")], "Store_Number string, Heatmap_Store_Number string")
+    data = [("901", "2000", "1", "A", 30.0), ("901", "2000", "1.0", "B", 10.0), ("902", "2000", "1", "A", 5.0), ("901", "x", "1", "A", 9.0), ("901", "1e12", "1", "A", 9.0), ("901", "2000", "1.5", "A", 9.0)]
+    hours = spark.createDataFrame(data, "Store_Number string, fiscal_year string, fiscal_period string, department string, total_hours double")
+    cover = labor.store_hours(labor.dept_hours(hours, None)).collect()
+    assert {(r["store_number"], r["total_hours"], r["coverage_days"], r["coverage_pct_active"]) for r in cover} == {("901", 40.0, None, None), ("902", 5.0, None, None)}
+    sales = spark.createDataFrame([("1", 2000, 1, 400.0), ("2", 2000, 1, 10.0)], f"{KEYS}, total_net_sales double")
+    fc = spark.createDataFrame([("1", 2000, 2, 100.0), ("2", 2000, 2, 100.0)], f"{KEYS}, forecast double")
+    store, dept = labor.build_labor_forecasts(geo, hours, None, sales, fc)
+    assert rows(store) == [("1", 2000, 2, 100.0, pytest.approx(10.0)), ("2", 2000, 2, 100.0, pytest.approx(50.0))]
+    got = {(r["hm_key"], r["department"]): r["hours_forecast_dept"] for r in dept.collect()}
+    assert got[("1", "A")] == pytest.approx(7.5)
+    with pytest.raises(KeyError):
+        labor.dept_hours(hours.drop("fiscal_year"), None)
+
+
 def test_shares_sum_to_one_even_from_nothing(spark):
     period = "hm_key string, fiscal_year int, fiscal_period int"
     data = [("1", 1, 1, "A", 6.0, 10.0), ("1", 1, 1, "B", 4.0, 10.0), ("2", 1, 1, "A", 0.0, 5.0), ("2", 1, 1, "B", 0.0, 5.0)]

@@ -54,6 +54,24 @@ def test_block_elimination_equals_dense(spark, seed, stores, low, high, alpha):
     assert got == pytest.approx(effects, rel=1e-6, abs=1e-6)
 
 
+@pytest.mark.parametrize("apart", [0.0, 1e6])
+def test_amounts_far_from_zero_keep_their_digits(spark, apart):
+    """Sales of 1e9 plus or minus 1, with a lag of that size as a feature: the same fit as around zero."""
+    near = frame(7, 6, 10, 25, 0.0)
+    rng = np.random.default_rng(7)
+    near["x1"] = np.round(rng.normal(0, 1, len(near)), 3)
+    near["total_net_sales"] = np.round(0.5 * near["x1"] + 0.01 * near["x2"] + rng.uniform(-0.5, 0.5, len(near)), 3)
+    level = 1e9 + apart * near["store_number"].str[1:].astype(int)
+    far = near.assign(x1=near["x1"] + 1e9, total_net_sales=near["total_net_sales"] + level)
+    model = ridge.fit(spark.createDataFrame(far), CFG)
+    b, w, _, effects = dense(near.assign(total_net_sales=far["total_net_sales"] - 1e9), CFG.feature_list, 5.0)
+    assert model.weights == pytest.approx(tuple(w), rel=1e-4 if apart == 0 else 0.1, abs=1e-5)
+    assert model.intercept + model.weights[0] * 1e9 - 1e9 == pytest.approx(b, rel=1e-3, abs=1e-3)
+    got = {r["store_number"]: r["effect"] for r in model.effects.collect()}
+    got.pop(min(got))
+    assert got == pytest.approx(effects, rel=1e-3, abs=1e-3)
+
+
 def test_standardized_coefficients(spark):
     pdf = frame(4, 6, 5, 20)
     got = ridge.standardized_coefficients(spark.createDataFrame(pdf), CFG)

@@ -30,6 +30,12 @@ def to_int(c: str) -> Column:
     return F.expr(f"try_cast(try_cast(`{c}` AS DOUBLE) AS INT)")
 
 
+def to_key(c: str) -> Column:
+    """Whole number or NULL: text, fractions and what an integer cannot hold are no keys."""
+    x = f"try_cast(`{c}` AS DOUBLE)"
+    return F.expr(f"CASE WHEN rint({x}) = {x} THEN try_cast({x} AS INT) END")
+
+
 def to_day(c: str) -> Column:
     """Date without its time of day, or NULL."""
     return F.expr(f"to_date(try_cast(`{c}` AS TIMESTAMP))")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.functions.casts import col, to_day, to_double
+from tillcast.functions.casts import col, to_day, to_double, to_key
 
 # Accepted spellings, first match wins.
 FISCAL_YEAR_NAMES = ("fiscal_year", "year", "fy", "fiscalyear")
@@ -58,11 +58,21 @@ def store_column(df: DataFrame) -> str:
     raise KeyError(f"no store number column in {df.columns}")
 
 
-def normalize_labor(df: DataFrame) -> DataFrame:
-    """(store_number, event_date, department, hours) whatever the source calls them."""
-    day = first_named(df, LABOR_DATE_NAMES)
-    if day is None:
-        raise KeyError(f"labor needs a date column, one of {LABOR_DATE_NAMES}")
+def normalize_labor(df: DataFrame, by_date: bool = True) -> DataFrame:
+    """(store_number, event_date, department, hours) whatever the source calls them.
+
+    Without `by_date` the rows carry fiscal_year and fiscal_period of their own in place of a date.
+    """
+    if by_date:
+        day = first_named(df, LABOR_DATE_NAMES)
+        if day is None:
+            raise KeyError(f"labor needs a date column, one of {LABOR_DATE_NAMES}")
+        placed = [to_day(day).alias("event_date")]
+    else:
+        missing = {"fiscal_year", "fiscal_period"} - set(df.columns)
+        if missing:
+            raise KeyError(f"labor without a calendar needs columns {sorted(missing)}")
+        placed = [to_key(c).alias(c) for c in ("fiscal_year", "fiscal_period")]
     store = first_named(df, LABOR_STORE_NAMES)
     if store is None:
         raise KeyError(f"labor needs a store column, one of {LABOR_STORE_NAMES}")
@@ -74,7 +84,7 @@ def normalize_labor(df: DataFrame) -> DataFrame:
         hours = sum(parts[1:], parts[0]) if parts else F.lit(0.0)
     return df.select(
         F.trim(col(store).cast("string")).alias("store_number"),
-        to_day(day).alias("event_date"),
+        *placed,
         (col(dept).cast("string") if dept else F.lit("Unknown")).alias("department"),
         hours.alias("hours"),
     )
@@ -92,8 +102,8 @@ def normalize_budget(df: DataFrame, key_fn) -> DataFrame:
         raise KeyError(f"budget needs year, period and amount columns; it has {df.columns}")
     return df.select(
         key_fn(store).alias("store_key"),
-        to_double(fy).cast("int").alias("fiscal_year"),
-        to_double(fp).cast("int").alias("fiscal_period"),
+        to_key(fy).alias("fiscal_year"),
+        to_key(fp).alias("fiscal_period"),
         to_double(amount).alias("budget_total_net_sales"),
     ).where(F.col("fiscal_year").isNotNull() & F.col("fiscal_period").isNotNull())
 
@@ -107,8 +117,8 @@ def normalize_forecast(df: DataFrame, out: str = "sales_forecast") -> DataFrame:
     return df.select(
         *kept,
         F.trim(F.col("store_number").cast("string")).alias("store_number"),
-        to_double("fiscal_year").cast("int").alias("fiscal_year"),
-        to_double("fiscal_period").cast("int").alias("fiscal_period"),
+        to_key("fiscal_year").alias("fiscal_year"),
+        to_key("fiscal_period").alias("fiscal_period"),
         to_double(name).alias(out),
     )
 
@@ -121,8 +131,8 @@ def normalize_history(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "store_number": F.trim(F.col("store_number").cast("string")),
-            "fiscal_year": to_double("fiscal_year").cast("int"),
-            "fiscal_period": to_double("fiscal_period").cast("int"),
+            "fiscal_year": to_key("fiscal_year"),
+            "fiscal_period": to_key("fiscal_period"),
             "actual": to_double("total_net_sales"),
         }
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import SALES_LAG, ForecastConfig
-from tillcast.functions.casts import col, gate, ratio, require, to_day, to_double
+from tillcast.functions.casts import col, gate, ratio, require, to_day, to_double, to_key
 from tillcast.functions.fiscal import period_index, seasonality
 from tillcast.functions.keys import drop_stores, store_id
 from tillcast.operators.calendar import attach_period_attributes, map_dates, prepare_calendar
@@ -53,7 +53,7 @@ def place_in_calendar(df: DataFrame, cal: DataFrame, cfg: ForecastConfig) -> Dat
     """Fiscal keys (kept if the input has them) and is_5w."""
     df = df.drop("is_5w")
     if {cfg.fy, cfg.fp} <= set(df.columns):
-        keyed = df.withColumns({cfg.fy: to_double(cfg.fy).cast("int"), cfg.fp: to_double(cfg.fp).cast("int")})
+        keyed = df.withColumns({cfg.fy: to_key(cfg.fy), cfg.fp: to_key(cfg.fp)})
         return attach_period_attributes(keyed, cal, "is_5w")
     return map_dates(df, cal, "is_5w", date_col=cfg.date_col)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.functions.casts import clip, finite_sql, require, sum0, to_double
+from tillcast.functions.casts import clip, finite_sql, require, sum0, to_double, to_key
 from tillcast.functions.names import normalize_forecast, normalize_labor
 from tillcast.operators.calendar import daily_calendar, prepare_calendar
 from tillcast.operators.dims import attach_hm_key, attach_state, keep_keys, key_map
@@ -18,54 +18,55 @@ from tillcast.sources.staging import staged
 
 MIN_COVERAGE = 0.90
 SPREAD = 16  # parts of the department list that stores are joined with
-MAX_DAYS = 63  # days of a fiscal period fit the bits of one long
+BLOCK_DAYS = 63  # days that share the bits of one long
 PERIOD = ["fiscal_year", "fiscal_period"]
 STORE_PERIOD = ["store_number", *PERIOD]
 
 
-def dept_hours(labor: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Hours per store, period and department, with the days worked as a bit set.
+def dept_hours(labor: DataFrame, calendar: DataFrame | None) -> DataFrame:
+    """Hours per store, period and department, with the days worked as bit sets.
 
-    The period lookup is a broadcast join in the scan stage and days are folded into one long, so the
-    only shuffle of labor rows carries one partial sum per store, period and department. Days outside
-    the calendar drop out.
+    The period lookup is a broadcast join in the scan stage and days are folded into longs, so the
+    only shuffle of labor rows carries one partial sum per store, period and department. Periods of
+    any length fit: each `BLOCK_DAYS` days are a block with a row and a bit set of its own, so a usual
+    period has one. Days outside the calendar drop out. Without a calendar rows keep the fiscal keys
+    they carry, and their days are unknown.
     """
-    cal = daily_calendar(prepare_calendar(calendar), "days_in_period", "BeginningDate")
-    rows = normalize_labor(labor).join(F.broadcast(cal), "event_date")
-    worked = F.expr(
-        f"IF(days_in_period <= {MAX_DAYS}, shiftleft(1L, datediff(event_date, BeginningDate)),"
-        f" CAST(raise_error('fiscal period longer than {MAX_DAYS} days') AS BIGINT))"
-    )
-    return rows.groupBy(*STORE_PERIOD, "department").agg(
+    if calendar is None:
+        rows = normalize_labor(labor, by_date=False).na.drop(subset=PERIOD)
+        rows = rows.withColumns({"day_block": F.lit(0), "_bit": F.lit(None).cast("long"), "days_in_period": F.lit(None).cast("int")})
+    else:
+        cal = daily_calendar(prepare_calendar(calendar), "days_in_period", "BeginningDate")
+        rows = normalize_labor(labor).join(F.broadcast(cal), "event_date")
+        day = F.date_diff("event_date", "BeginningDate")
+        rows = rows.withColumns({"day_block": F.floor(day / BLOCK_DAYS).cast("int"), "_bit": F.call_function("shiftleft", F.lit(1).cast("long"), day % BLOCK_DAYS)})
+    return rows.groupBy(*STORE_PERIOD, "department", "day_block").agg(
         sum0("hours").alias("total_hours"),
-        F.bit_or(worked).alias("days"),
+        F.bit_or("_bit").alias("days"),
         F.max("days_in_period").alias("days_in_period"),
     )
 
 
 def coverage(days: Column, length: Column) -> Column:
-    """Share of a period's days that are set in the bit set, 0 if the length is unknown."""
-    share = F.try_divide(F.bit_count(days).cast("double"), length.cast("double"))
-    return F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0)))
+    """Share of a period's days that were worked; 0 if the length is unknown, NULL if the days are."""
+    share = F.try_divide(days.cast("double"), length.cast("double"))
+    return F.when(days.isNotNull(), F.least(F.lit(1.0), F.coalesce(share, F.lit(0.0))))
 
 
 def store_hours(depts: DataFrame) -> DataFrame:
-    """Hours and share of days with labor per store and period."""
-    return (
-        depts.groupBy(*STORE_PERIOD)
-        .agg(
-            F.sum("total_hours").alias("total_hours"),
-            F.bit_or("days").alias("_days"),
-            F.max("days_in_period").alias("days_in_period"),
-        )
-        .withColumns(
-            {
-                "coverage_days": F.bit_count("_days"),
-                "coverage_pct_active": coverage(F.col("_days"), F.col("days_in_period")),
-            }
-        )
-        .drop("_days")
+    """Hours and share of days with labor per store and period.
+
+    Rows are placed by store and period once, for the blocks and for the sums over them.
+    """
+    blocks = depts.repartition(*STORE_PERIOD).groupBy(*STORE_PERIOD, "day_block").agg(
+        F.sum("total_hours").alias("total_hours"), F.bit_or("days").alias("days"), F.max("days_in_period").alias("days_in_period")
     )
+    whole = blocks.groupBy(*STORE_PERIOD).agg(
+        F.sum("total_hours").alias("total_hours"),
+        F.sum(F.bit_count("days")).alias("coverage_days"),
+        F.max("days_in_period").alias("days_in_period"),
+    )
+    return whole.withColumn("coverage_pct_active", coverage(F.col("coverage_days"), F.col("days_in_period")))
 
 
 def to_hm(df: DataFrame, mapping: DataFrame, allowed: DataFrame | None, excluded: DataFrame | None) -> DataFrame:
@@ -73,13 +74,13 @@ def to_hm(df: DataFrame, mapping: DataFrame, allowed: DataFrame | None, excluded
 
 
 def gated(df: DataFrame, min_coverage: float) -> DataFrame:
-    """Rows with enough coverage; all rows if none has it."""
+    """Rows with enough coverage; all rows if none has it or none is known."""
     best = df.agg(F.max("coverage_pct_active")).scalar()
-    return df.where((F.col("coverage_pct_active") >= min_coverage) | (best < min_coverage))
+    return df.where((F.col("coverage_pct_active") >= min_coverage) | F.coalesce(best < min_coverage, F.lit(True)))
 
 
 def hours_by_hm(
-    labor: DataFrame, calendar: DataFrame, mapping: DataFrame,
+    labor: DataFrame, calendar: DataFrame | None, mapping: DataFrame,
     allowed: DataFrame | None = None, excluded: DataFrame | None = None,
 ) -> DataFrame:
     """Staged (hm_key, period, department) hours with the store's total and coverage beside them.
@@ -89,19 +90,23 @@ def hours_by_hm(
     """
     store_period = ["hm_key", *PERIOD]
     mapped = to_hm(dept_hours(labor, calendar), mapping, allowed, excluded).repartition(*store_period)
-    folded = mapped.groupBy(*store_period, "department").agg(
+    folded = mapped.groupBy(*store_period, "department", "day_block").agg(
         F.sum("total_hours").alias("total_hours"),
         F.bit_or("days").alias("days"),
         F.max("days_in_period").alias("days_in_period"),
     )
+    block = Window.partitionBy(*store_period, "day_block")
     whole = Window.partitionBy(*store_period)
-    totals = folded.withColumns(
-        {
-            "store_hours": F.sum("total_hours").over(whole),
-            "coverage_pct_active": coverage(F.bit_or("days").over(whole), F.col("days_in_period")),
-        }
+    days = F.when(F.row_number().over(block.orderBy("department")) == 1, F.bit_count(F.bit_or("days").over(block)))
+    totals = folded.withColumn("days", days).withColumns(
+        {"store_hours": F.sum("total_hours").over(whole), "worked": F.sum("days").over(whole)}
+    )
+    per_dept = totals.groupBy(*store_period, "department").agg(
+        F.sum("total_hours").alias("total_hours"),
+        F.max("store_hours").alias("store_hours"),
+        F.max(coverage(F.col("worked"), F.col("days_in_period"))).alias("coverage_pct_active"),
     )
-    return staged(totals.drop("days", "days_in_period"))
+    return staged(per_dept)
 
 
 def hm_totals(depts: DataFrame) -> DataFrame:
@@ -159,14 +164,17 @@ def department_shares(depts: DataFrame, min_coverage: float = MIN_COVERAGE) -> D
 def build_labor_forecasts(
     hierarchy: DataFrame,
     labor: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | None,
     sales_history: DataFrame,
     final_fc: DataFrame,
     allowed: DataFrame | None = None,
     excluded: DataFrame | None = None,
     min_coverage: float = MIN_COVERAGE,
 ) -> tuple[DataFrame, DataFrame]:
-    """(store hours, department hours) of the forecast periods."""
+    """(store hours, department hours) of the forecast periods.
+
+    Without a calendar labor carries its own fiscal keys; coverage is then unknown and all rows count.
+    """
     mapping = key_map(hierarchy)
     depts = hours_by_hm(labor, calendar, mapping, allowed, excluded)
 
@@ -174,7 +182,7 @@ def build_labor_forecasts(
     require(sales_history, [*STORE_PERIOD, amount], "sales history")
     per_store = sales_history.groupBy(
         F.trim(F.col("store_number").cast("string")).alias("store_number"),
-        *[to_double(c).cast("int").alias(c) for c in PERIOD],
+        *[to_key(c).alias(c) for c in PERIOD],
     ).agg(sum0(amount).alias("sales"))
     sales = to_hm(per_store, mapping, allowed, excluded).groupBy("hm_key", *PERIOD).agg(F.sum("sales").alias("sales"))
 

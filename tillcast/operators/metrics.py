@@ -13,9 +13,9 @@ from tillcast.operators.ranking import exact_percentiles
 
 
 def join_actuals(fc: DataFrame, hist: DataFrame) -> DataFrame:
-    """Forecast rows with the observed sales of the same store and period, if any."""
+    """Forecast rows with the observed sales of the same store and period, if any; several rows add up."""
     keys = ["store_number", "fiscal_year", "fiscal_period"]
-    observed = hist.groupBy(*keys).agg(F.max("actual").alias("actual"))
+    observed = hist.groupBy(*keys).agg(F.sum("actual").alias("actual"))
     return fc.join(observed, keys, "left")
 
 

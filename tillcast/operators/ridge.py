@@ -7,6 +7,10 @@ the normal equations by hand leaves a system as wide as the feature list:
     r = sum zy      - sum_{s != first} Z_s y_s  / (n_s + penalty_s)
     effect_s = (y_s - Z_s theta) / (n_s + penalty_s),  0 for the first store
 
+Everything is kept as co-moments: row counts, means and centred products, which Spark's covariance
+merges pairwise, so digits do not cancel however long the histories or large the amounts are. With
+m_s the store's means less the grand mean, a store adds C_s + (n_s penalty_s / (n_s + penalty_s)) m_s m_s'.
+
 Stores with the same number of rows share their divisor, so the cluster returns one row per history
 length and any penalty, feature subset or scaling can be solved from it without another pass.
 """
@@ -50,68 +54,66 @@ def inputs(df: DataFrame, features: Sequence[str], cfg: ForecastConfig, *keep: s
 def store_sums(
     df: DataFrame, features: Sequence[str], cfg: ForecastConfig, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Per store: n, first sums s<j> and upper-triangle products q<j>_<k>; the target comes last."""
+    """Per store: n, means m<j> and upper-triangle centred products c<j>_<k>; the target comes last."""
     z = [x_sql(f) for f in features] + [f"CAST(`{cfg.target}` AS DOUBLE)"]
     cells = df.selectExpr(*by, cfg.store_col, *[f"{x} AS z{j}" for j, x in enumerate(z)])
     m = len(z)
-    sums = [f"sum(z{j}) AS s{j}" for j in range(m)]
-    prods = [f"sum(z{j} * z{k}) AS q{j}_{k}" for j in range(m) for k in range(j, m)]
+    means = [f"avg(z{j}) AS m{j}" for j in range(m)]
+    prods = [f"covar_pop(z{j}, z{k}) * count(*) AS c{j}_{k}" for j in range(m) for k in range(j, m)]
     return cells.groupBy(*by, cfg.store_col).agg(
-        F.count("*").alias("n"), *[F.expr(e) for e in sums + prods]
+        F.count("*").alias("n"), *[F.expr(e) for e in means + prods]
     )
 
 
 @dataclass
 class Gram:
-    """What the driver needs to solve: totals, and outer products of store sums by history length."""
+    """What the driver needs to solve, with z = (1, features, target) less its grand mean but for the 1."""
 
     features: tuple[str, ...]
-    total: np.ndarray  # sum zz' with z = (1, features, target)
-    outer: dict[int, np.ndarray]  # n -> sum over stores with n rows of Z Z'
+    within: np.ndarray  # sum over stores of the centred products
+    means: dict[int, np.ndarray]  # n -> sum over stores with n rows of m m', m the store's mean of z
+    centre: np.ndarray  # grand mean of (1, features, target)
+    rows: float
     stores: int
     first_store: str
     first_n: int
-    first_sums: np.ndarray
+    first_mean: np.ndarray
 
     def sub(self, features: Sequence[str]) -> list[int]:
         return [0] + [1 + self.features.index(f) for f in features]
 
-    @property
-    def rows(self) -> float:
-        return float(self.total[0, 0])
-
     def store_penalty(self, n, alpha: float, standardized: bool):
         share = n / self.rows
         return alpha * share * (1.0 - share) if standardized else alpha
 
     def feature_sd(self, features: Sequence[str]) -> np.ndarray:
         i = self.sub(features)[1:]
-        mean = self.total[0, i] / self.rows
-        return np.sqrt(np.maximum(self.total[i, i] / self.rows - mean**2, 0.0))
+        around = self.within + sum(n * mm for n, mm in self.means.items())
+        return np.sqrt(np.maximum(around[i, i] / self.rows, 0.0))
 
     def solve(self, features: Sequence[str], alpha: float, standardized: bool = False) -> np.ndarray:
         """(intercept, weights). Standardized penalties act as if every column had unit variance."""
         i = self.sub(features)
         y = len(self.features) + 1
-        a = self.total[np.ix_(i, i)].copy()
-        r = self.total[i, y].copy()
-        blocks = [(n, zz) for n, zz in self.outer.items()]
-        blocks.append((self.first_n, -np.outer(self.first_sums, self.first_sums)))
-        for n, zz in blocks:
-            shrink = n + self.store_penalty(n, alpha, standardized)
-            a -= zz[np.ix_(i, i)] / shrink
-            r -= zz[i, y] / shrink
+        whole = self.within.copy()
+        for n, mm in self.means.items():
+            p = self.store_penalty(n, alpha, standardized)
+            whole += n * p / (n + p) * mm
+        p = self.store_penalty(self.first_n, alpha, standardized)
+        whole += self.first_n**2 / (self.first_n + p) * np.outer(self.first_mean, self.first_mean)
+        a, r = whole[np.ix_(i, i)], whole[i, y]
         penalty = np.full(len(features), float(alpha))
         if standardized:
             penalty *= self.feature_sd(features) ** 2
         a[np.arange(1, len(i)), np.arange(1, len(i))] += penalty
         # A column that never varies carries no information and no penalty of its own: weight 0.
         diag = np.diag(a)
-        live = np.flatnonzero(diag > 1e-12 * np.maximum(np.diag(self.total)[i], 1e-300))
+        live = np.flatnonzero(diag > 1e-20 * np.maximum(self.rows * self.centre[i] ** 2, 1e-280))
         scale = 1.0 / np.sqrt(diag[live])
         theta = np.zeros(len(i))
         scaled = a[np.ix_(live, live)] * np.outer(scale, scale)
         theta[live] = scale * np.linalg.solve(scaled, r[live] * scale)
+        theta[0] += self.centre[y] - theta[1:] @ self.centre[i[1:]]
         return theta
 
 
@@ -123,10 +125,10 @@ def collect_grams(
     pairs = [(j, k) for j in range(m) for k in range(j, m)]
     cells = (
         ["count(*) AS stores"]
-        + [f"min(struct(`{cfg.store_col}` AS id, n, array({', '.join(f's{j}' for j in range(m))}) AS s)) AS first"]
-        + [f"sum(s{j}) AS s{j}" for j in range(m)]
-        + [f"sum(q{j}_{k}) AS q{j}_{k}" for j, k in pairs]
-        + [f"sum(s{j} * s{k}) AS o{j}_{k}" for j, k in pairs]
+        + [f"min(struct(`{cfg.store_col}` AS id, n, array({', '.join(f'm{j}' for j in range(m))}) AS m)) AS first"]
+        + [f"avg(m{j}) AS m{j}" for j in range(m)]
+        + [f"sum(c{j}_{k}) AS c{j}_{k}" for j, k in pairs]
+        + [f"covar_pop(m{j}, m{k}) * count(*) AS b{j}_{k}" for j, k in pairs]
     )
     keys = [by, "n"] if by else ["n"]
     rows = sums.groupBy(*keys).agg(*[F.expr(c) for c in cells]).collect()
@@ -144,26 +146,29 @@ def collect_gram(sums: DataFrame, features: Sequence[str], cfg: ForecastConfig)
 
 def _gram(rows: list, features: tuple[str, ...], pairs: list[tuple[int, int]]) -> Gram:
     m = len(features) + 1
-    total, outer = np.zeros((m + 1, m + 1)), {}
+    count = float(sum(r["n"] * r["stores"] for r in rows))
+    average = {r["n"]: np.array([1.0] + [r[f"m{j}"] for j in range(m)]) for r in rows}
+    centre = sum(r["n"] * r["stores"] / count * average[r["n"]] for r in rows)
+    zero = centre * (np.arange(m + 1) > 0)  # the 1 stays as it is
+    within, means = np.zeros((m + 1, m + 1)), {}
     for row in rows:
-        n, stores = row["n"], row["stores"]
-        q, o = np.zeros((m + 1, m + 1)), np.zeros((m + 1, m + 1))
-        q[0, 0], o[0, 0] = n * stores, float(n) * n * stores
-        for j in range(m):
-            q[0, j + 1], o[0, j + 1] = row[f"s{j}"], n * row[f"s{j}"]
+        c, b = np.zeros((m + 1, m + 1)), np.zeros((m + 1, m + 1))
         for j, k in pairs:
-            q[j + 1, k + 1], o[j + 1, k + 1] = row[f"q{j}_{k}"], row[f"o{j}_{k}"]
-        total += q + np.triu(q, 1).T
-        outer[n] = o + np.triu(o, 1).T
+            c[j + 1, k + 1], b[j + 1, k + 1] = row[f"c{j}_{k}"], row[f"b{j}_{k}"]
+        within += c + np.triu(c, 1).T
+        d = average[row["n"]] - zero
+        means[row["n"]] = b + np.triu(b, 1).T + row["stores"] * np.outer(d, d)
     top = min((r["first"] for r in rows), key=lambda s: s["id"])
     return Gram(
         features=features,
-        total=total,
-        outer=outer,
+        within=within,
+        means=means,
+        centre=centre,
+        rows=count,
         stores=sum(r["stores"] for r in rows),
         first_store=top["id"],
         first_n=top["n"],
-        first_sums=np.array([top["n"], *top["s"]], dtype=float),
+        first_mean=np.array([1.0, *top["m"]]) - zero,
     )
 
 
@@ -172,14 +177,14 @@ def effect_column(
     standardized: bool = False,
 ) -> Column:
     """Store effect from the columns of `store_sums`."""
-    fitted = [f"n * {number(theta[0])}"]
-    fitted += [f"s{i - 1} * {number(w)}" for i, w in zip(gram.sub(features)[1:], theta[1:])]
+    fitted = [number(theta[0])]
+    fitted += [f"m{i - 1} * {number(w)}" for i, w in zip(gram.sub(features)[1:], theta[1:])]
     share = f"(n / {number(gram.rows)})"
     penalty = f"{number(alpha)} * {share} * (1 - {share})" if standardized else number(alpha)
     first = gram.first_store.replace("'", "\\'")
     return F.expr(
         f"CASE WHEN `{store_col}` = '{first}' THEN 0D "
-        f"ELSE (s{len(gram.features)} - ({' + '.join(fitted)})) / (n + {penalty}) END"
+        f"ELSE n * (m{len(gram.features)} - ({' + '.join(fitted)})) / (n + {penalty}) END"
     )
 
 

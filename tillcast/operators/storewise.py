@@ -23,15 +23,13 @@ def _solver(p: int, alpha: float):
     upper = np.triu_indices(p + 1)
 
     @F.pandas_udf("array<double>")
-    def solve(n: pd.Series, sums: pd.Series, prods: pd.Series) -> pd.Series:
-        if len(n) == 0:
+    def solve(means: pd.Series, prods: pd.Series) -> pd.Series:
+        if len(means) == 0:
             return pd.Series([], dtype=object)
-        rows = n.to_numpy(dtype=float)
-        mean = np.stack(sums.to_numpy()) / rows[:, None]
-        gram = np.zeros((len(rows), p + 1, p + 1))
+        mean = np.stack(means.to_numpy())
+        gram = np.zeros((len(mean), p + 1, p + 1))
         gram[:, upper[0], upper[1]] = np.stack(prods.to_numpy())
         gram[:, upper[1], upper[0]] = gram[:, upper[0], upper[1]]
-        gram -= rows[:, None, None] * mean[:, :, None] * mean[:, None, :]
         a = gram[:, :p, :p] + alpha * np.eye(p)
         scale = 1.0 / np.sqrt(a[:, range(p), range(p)])
         a *= scale[:, :, None] * scale[:, None, :]
@@ -46,10 +44,10 @@ def store_ridges(train: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> Da
     """(store, theta): intercept and weights of each store's own fit; the intercept is not penalized."""
     m = len(cfg.feature_list) + 1
     sums = store_sums(train, cfg.feature_list, cfg)
-    s = F.array(*[f"s{j}" for j in range(m)])
-    q = F.array(*[f"q{j}_{k}" for j in range(m) for k in range(j, m)])
+    mean = F.array(*[f"m{j}" for j in range(m)])
+    prods = F.array(*[f"c{j}_{k}" for j in range(m) for k in range(j, m)])
     solve = _solver(m - 1, cfg.alpha)
-    return sums.select(cfg.store_col, solve(F.col("n").cast("double"), s, q).alias("theta"))
+    return sums.select(cfg.store_col, solve(mean, prods).alias("theta"))
 
 
 def store_ridge_errors(

@@ -74,6 +74,7 @@ def run_forecast(
     budget: DataFrame | None = None,
     labor: DataFrame | None = None,
     horizon: int = 6,
+    short_below: int = splits.SHORT_BELOW,
 ) -> ForecastRun:
     """Features, pooled forecasts, peers, backtest, choice per store, rollups, budget and labor.
 
@@ -87,10 +88,10 @@ def run_forecast(
 
     placed = sales if {cfg.fy, cfg.fp} <= set(sales.columns) else feats
     hist = staged(normalize_history(placed))
-    cohorts = splits.history_cohorts(hist)
+    cohorts = splits.history_cohorts(hist, short_below)
     clusters = peers.locked_clusters(peers.pca_scores(peers.store_profile(hist)))
     near = staged(peers.nearest_peers(clusters, cohorts))
-    eval_hist = staged(selection.backtest(feats, hist, near, cfg))
+    eval_hist = staged(selection.backtest(feats, hist, near, cfg, short_below=short_below))
     assigned = selection.assign_store_models(selection.store_wapes(eval_hist))
     peer = peers.peer_scaled_forecast(hist, pooled, near, splits.last_axis(pooled, horizon))
     final = staged(selection.final_forecasts(pooled, peer, assigned, horizon))

@@ -14,7 +14,7 @@ from tillcast.config import MONTHS, ForecastConfig
 FIRST_DAY = "1995-01-01"
 N_PERIODS = 104  # FY1995 to FY2002
 LONG_PERIOD = 51  # FY1998 P13 lasts five weeks
-SHORT_FROM = "2000-11-05"  # begin of the last 14 periods with sales, the history of short stores
+SHORT_BELOW = 89  # periods of history; 87 to 90 of them have sales, so about a tenth of the stores are short
 LABOR_ID_BASE = 10**12  # labor systems number stores apart from sales systems
 CFG = ForecastConfig(exclude_stores=("1", "2"))
 
@@ -49,10 +49,8 @@ def _units(c: str, scale: int) -> Column:
 
 
 def store_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Sales lines; every fifth store only has its last 14 periods."""
-    li = table(spark, sf, "lineitem").withColumn("_day", F.to_date("l_shipdate"))
-    recent = F.col("l_shipdate") >= F.lit(SHORT_FROM).cast("timestamp_ntz")
-    return li.where((F.col("l_suppkey") % 5 != 0) | recent)
+    """Sales lines with their day."""
+    return table(spark, sf, "lineitem").withColumn("_day", F.to_date("l_shipdate"))
 
 
 def sales_period(spark: SparkSession, sf: str, extra: bool = False) -> DataFrame:
