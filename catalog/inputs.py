@@ -11,6 +11,7 @@ from tillcast.operators import dims, peers, quality, splits
 from tillcast.operators.features import gap_check
 from tillcast.sources import sinks, tables
 from tillcast.sources import testbed as tb
+from tillcast.sources.staging import scratch, staged
 
 STORE_PERIOD = "store_number:s fiscal_year:i fiscal_period:i"
 
@@ -37,7 +38,7 @@ def feature_table(spark, sf):
 def excluded_stores(spark, sf):
     """Config list, numeric range, and a table-driven list matched on digits."""
     sales = tb.sales_period(spark, sf)
-    kept = keys.drop_store_range(keys.drop_stores(sales, "store_number", CFG.excluded_set()), "store_number", 3, 5)
+    kept = keys.drop_store_range(keys.drop_stores(sales, "store_number", CFG.exclude_stores), "store_number", 3, 5)
     listed = tb.table(spark, sf, "supplier").where("s_acctbal < 0")
     kept = keys.drop_stores_by_digits(kept, "store_number", listed, "s_suppkey")
     return kept.groupBy("store_number").agg(F.count("*").alias("rows"))
@@ -122,6 +123,65 @@ def latest_per_key(spark, sf):
     return sinks.latest_per_key(li, "l_suppkey", ["l_shipdate", "l_orderkey", "l_linenumber"])
 
 
+_KEYED = """SELECT store_number || '_' || lpad(CAST(fiscal_year AS VARCHAR), 4, '0') || '_' || lpad(CAST(fiscal_period AS VARCHAR), 2, '0') AS record_id,
+              {0} AS event_time, fiscal_year, fiscal_period, {1} AS total_net_sales FROM sales"""
+
+
+def _keyed(spark, sf):
+    keyed = keys.with_record_keys(tb.sales_period(spark, sf), "store_number", "event_date", "fiscal_year", "fiscal_period")
+    return keyed.select("record_id", "event_time", "fiscal_year", "fiscal_period", "total_net_sales")
+
+
+@query(
+    "feature_upsert",
+    "record_id:s event_time:b fiscal_year:i fiscal_period:i total_net_sales:4",
+    _KEYED.format(
+        "epoch(event_date) + CASE WHEN fiscal_year >= 2000 AND fiscal_period > 6 THEN 60 ELSE 0 END",
+        "CASE WHEN fiscal_year >= 2000 AND fiscal_period > 6 THEN 1.1 ELSE 1 END * sales",
+    ),
+    "sales",
+)
+def feature_upsert(spark, sf):
+    """All records, a later correction of some, the same correction again, and an older batch that changes nothing."""
+    path = scratch(spark, "features")
+    all_rows = staged(_keyed(spark, sf))
+    sinks.upsert_features(all_rows, path)
+    fixed = all_rows.where("fiscal_year >= 2000 AND fiscal_period > 6").withColumns(
+        {"event_time": F.col("event_time") + 60, "total_net_sales": F.col("total_net_sales") * 1.1}
+    )
+    stale = all_rows.where("fiscal_year >= 2001").withColumns({"event_time": F.col("event_time") - 60, "total_net_sales": F.lit(0.0)})
+    for batch in (fixed, fixed.unionByName(fixed), stale):
+        sinks.upsert_features(batch, path)
+    return spark.read.schema(all_rows.schema).parquet(path)
+
+
+@query(
+    "feature_files",
+    "store_number:s fiscal_year:i fiscal_period:i total_net_sales:4",
+    "SELECT store_number, fiscal_year, fiscal_period, sales AS total_net_sales FROM sales",
+    "sales",
+)
+def feature_files(spark, sf):
+    """The Parquet feature sink, read back as engineered features whose store column has another name."""
+    path = scratch(spark, "sales") + ".parquet"
+    sinks.write_features(tb.sales_period(spark, sf).withColumnRenamed("store_number", "Store Number"), path)
+    return tables.read_features(spark, path)
+
+
+@query(
+    "report_file",
+    "store_number:s fiscal_year:i fiscal_period:i total_net_sales:4",
+    "SELECT store_number, fiscal_year, fiscal_period, sales AS total_net_sales FROM sales",
+    "sales",
+)
+def report_file(spark, sf):
+    """A sorted CSV report, read back."""
+    path = scratch(spark, "report")
+    report = tb.sales_period(spark, sf).select("store_number", "fiscal_year", "fiscal_period", "total_net_sales")
+    sinks.write_report(report, path, ["store_number", "fiscal_year", "fiscal_period"])
+    return tables.read_any(spark, path + "/*.csv", "store_number string, fiscal_year int, fiscal_period int, total_net_sales double")
+
+
 @query(
     "feature_definitions",
     "feature:s feature_type:s rows:b",

@@ -10,12 +10,13 @@ from catalog.base import (
     CFG, FEATURE_SQL, calendar, features, history, period_events, query, ridge_line, ridge_views,
     solo_ridge_views, stored_features, view,
 )
-from tillcast.config import FEATURES, LITE_FEATURES
+from tillcast.config import FEATURES, LITE_FEATURES, retrain_needed
 from tillcast.operators import forecast as fc
 from tillcast.operators import forest, importance, metrics, peers, ridge, selection, splits, storewise
 from tillcast.plans.run import run_pooled_ridge
+from tillcast.sources import sinks
 from tillcast.sources import testbed as tb
-from tillcast.sources.staging import staged
+from tillcast.sources.staging import scratch, staged
 
 STORE_PERIOD = "store_number:s fiscal_year:i fiscal_period:i"
 FSQL = dict(zip(FEATURES, FEATURE_SQL)) | {"Thanksgiving Eve": "te"}
@@ -36,17 +37,17 @@ def term_rows(spark, terms: dict[str, float]):
 
 @query(
     "gram_stats",
-    "store_number:s n:b s0:4 s1:4 q0_0:0 q0_1:0 q1_1:0 q2_2:6",
-    """SELECT store_number, count(*) AS n, sum(sales_m1) AS s0, sum(sales) AS s1, sum(sales_m1 * sales_m1) AS q0_0, sum(sales_m1 * sales) AS q0_1,
-              sum(sales * sales) AS q1_1, sum(p13_sin * p13_sin) AS q2_2 FROM feats GROUP BY 1""",
+    "store_number:s n:b m0:4 m1:4 c0_0:0 c0_1:0 c1_1:0 c2_2:6",
+    """SELECT store_number, count(*) AS n, avg(sales_m1) AS m0, avg(sales) AS m1, var_pop(sales_m1) * count(*) AS c0_0, covar_pop(sales_m1, sales) * count(*) AS c0_1,
+              var_pop(sales) * count(*) AS c1_1, var_pop(p13_sin) * count(*) AS c2_2 FROM feats GROUP BY 1""",
     "feats",
 )
 def gram_stats(spark, sf):
+    """Counts, means and centred products of each store."""
     feats = features(spark, sf)
     two = ridge.store_sums(feats, [FEATURES[0]], CFG)
-    sine = ridge.store_sums(feats, ["p13_sin"], CFG).selectExpr("store_number", "c0_0 + n * m0 * m0 AS q2_2")
-    raw = [f"c{j}_{k} + n * m{j} * m{k} AS q{j}_{k}" for j, k in ((0, 0), (0, 1), (1, 1))]
-    return two.selectExpr("store_number", "n", "n * m0 AS s0", "n * m1 AS s1", *raw).join(sine, "store_number")
+    sine = ridge.store_sums(feats, ["p13_sin"], CFG).selectExpr("store_number", "c0_0 AS c2_2")
+    return two.join(sine, "store_number")
 
 
 @query(
@@ -387,6 +388,22 @@ def forecast_h6(spark, sf):
     return out
 
 
+@query(
+    "model_round_trip",
+    f"{STORE_PERIOD} forecast:3",
+    f"SELECT f.store_number, fiscal_year, fiscal_period, {ridge_line('final', FEATURE_SQL)} + coalesce(effect, 0) AS forecast FROM feats f LEFT JOIN final_d USING (store_number), final_t",
+    f"feats {_FINAL}",
+)
+def model_round_trip(spark, sf):
+    """A model that was saved and loaded scores like the fitted one."""
+    feats, path = stored_features(spark, sf), scratch(spark, "model")
+    sinks.save_model(spark, ridge.train(feats, CFG), CFG, path)
+    model, cfg = sinks.load_model(spark, path)
+    if retrain_needed(cfg, CFG):
+        raise ValueError("the saved configuration differs")
+    return model.score(feats)
+
+
 _LITE = ridge_views("lite", "gated", sql_cols(LITE_FEATURES), 5)
 
 

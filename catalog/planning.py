@@ -83,14 +83,18 @@ for _d, _expr in _LAGGED.items():
     "driver_summary",
     "driver:s total_stores:b stores_with_effect:b percent_stores_with_effect:4 median_effect:6",
     """SELECT event AS driver, count(DISTINCT store_number) AS total_stores, sum(keep) AS stores_with_effect, avg(keep) * 100 AS percent_stores_with_effect, median((exp(coef) - 1) * 100) AS median_effect FROM evfx GROUP BY 1
-       UNION ALL SELECT 'advertising', count(DISTINCT store_number), sum(keep), avg(keep) * 100, median(coef * 100) FROM advertising_fx""",
-    "evfx advertising_fx",
+    """ + "".join(
+        f" UNION ALL SELECT '{d}', count(DISTINCT store_number), sum(keep), avg(keep) * 100, median(coef * {drivers.EFFECTS[d][1]}) FROM {d}_fx" for d in _LAGGED
+    ),
+    "evfx " + " ".join(f"{d}_fx" for d in _LAGGED),
 )
 def driver_summary(spark, sf):
     ev = drivers.effect_summary(staged(_event_effects(spark, sf)), "percent_effect", ["event"]).withColumnRenamed("event", "driver")
-    name = drivers.EFFECTS["advertising"][0]
-    ads = drivers.effect_summary(staged(drivers.driver_effects(tb.sales_period(spark, sf), "advertising")), name)
-    return ev.unionByName(ads.withColumn("driver", F.lit("advertising")))
+    sales = staged(tb.sales_period(spark, sf, extra=True))
+    for d in _LAGGED:
+        one = drivers.effect_summary(staged(drivers.driver_effects(sales, d)), drivers.EFFECTS[d][0])
+        ev = ev.unionByName(one.withColumn("driver", F.lit(d)))
+    return ev
 
 
 @query(

@@ -1,13 +1,15 @@
 import datetime as dt
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tillcast.config import DEFAULT_EXCLUDED, ForecastConfig
+from tillcast.config import ForecastConfig, retrain_needed
 from tillcast.functions import casts, fiscal, keys, names, stats
+from tillcast.sources.sinks import config_of, config_table
 
 
 def one(spark, **cols):
@@ -60,13 +62,16 @@ def test_record_keys_skip_unplaced_rows(spark):
     assert rows(keys.with_record_keys(df, "s", "d", "y", "p").select("record_id", "event_time")) == [("1_1970_03", 86400)]
 
 
-def test_config_keys():
+def test_config_settings(spark):
     cfg = ForecastConfig(exclude_stores=[" 007 "])
-    assert cfg.excluded_set() == {"007", "7"}
-    assert ForecastConfig().excluded_set() == set(DEFAULT_EXCLUDED) and len(DEFAULT_EXCLUDED) == 10
-    assert not ForecastConfig().needs_retrain() and ForecastConfig().needs_retrain(alpha=9)
-    assert ForecastConfig().needs_retrain(feature_list=["adv_m1"])
-    assert ForecastConfig.from_json(cfg.to_json()).excluded_set() == cfg.excluded_set()
+    base = ForecastConfig()
+    assert cfg.fit_settings().excluded == {"7"} and ForecastConfig(exclude_stores=()).fit_settings().excluded == set()
+    assert len(base.fit_settings().excluded) == 10
+    assert not retrain_needed(base, replace(base, holdout_k=3)) and retrain_needed(base, replace(base, alpha=9))
+    assert retrain_needed(base, replace(base, feature_list=["adv_m1"])) and retrain_needed(base, cfg)
+    assert not retrain_needed(cfg, replace(cfg, exclude_stores=("7",)))
+    assert config_of(config_table(spark, cfg)).fit_settings() == cfg.fit_settings()
+    assert config_of(config_table(spark, ForecastConfig(exclude_stores=()))).exclude_stores == ()
 
 
 def test_fiscal_rollover(spark):

@@ -157,5 +157,5 @@ def test_model_round_trip(spark, tmp_path):
     sinks.save_model(spark, model, CFG, str(tmp_path / "m"))
     back, cfg = sinks.load_model(spark, str(tmp_path / "m"))
     assert back.coefficients() == model.coefficients() and back.metrics == model.metrics
-    assert cfg.model_key() == CFG.model_key()
+    assert cfg.fit_settings() == CFG.fit_settings()
     assert rows(back.score(df).select("store_number", "event_date", "forecast")) == rows(model.score(df).select("store_number", "event_date", "forecast"))

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.config import bare_id
 from tillcast.functions.casts import col
 
 
@@ -28,7 +29,7 @@ def unpadded(c: str | Column) -> Column:
 
 def drop_stores(df: DataFrame, key: str, ids: Iterable[object]) -> DataFrame:
     """Rows whose unpadded id is not listed. The list is configuration, so it stays a literal."""
-    listed = sorted({str(i).strip() for i in ids} | {str(i).strip().lstrip("0") for i in ids})
+    listed = sorted(set(map(bare_id, ids)))
     if not listed:
         return df
     return df.where(F.coalesce(~unpadded(key).isin(listed), F.lit(True)))

@@ -45,7 +45,7 @@ def clean_sales(
     }
     if "total_advertising" in base.columns:
         casts["total_advertising"] = F.coalesce(to_double("total_advertising"), F.lit(0.0))
-    ids = cfg.excluded_set() if exclude_stores is None else exclude_stores
+    ids = cfg.exclude_stores if exclude_stores is None else exclude_stores
     return drop_stores(base.withColumns(casts), cfg.store_col, ids)
 
 

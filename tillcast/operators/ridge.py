@@ -255,7 +255,7 @@ def train(df: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> RidgeModel:
 
     Both fits come from one pass: a training row counts for the measured and for the final fit.
     """
-    rows = drop_stores(df, cfg.store_col, cfg.excluded_set())
+    rows = drop_stores(df, cfg.store_col, cfg.exclude_stores)
     split = split_last_k(
         rows, cfg, cfg.holdout_k, cfg.min_history_train, cfg.min_history_eval, train_rest=True
     ).where(F.col("split").isNotNull())

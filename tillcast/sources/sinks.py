@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillcast.config import ForecastConfig
 from tillcast.operators.ridge import RidgeModel
+from tillcast.sources.staging import staged
 
 
 def write_features(df: DataFrame, path: str, partition_by: str = "fiscal_year") -> None:
@@ -27,6 +29,37 @@ def append_features(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "fiscal_year").write.mode("append").partitionBy("fiscal_year").parquet(path)
 
 
+def upsert_features(df: DataFrame, path: str, key: str = "record_id", order: str = "event_time", partition_by: str = "fiscal_year") -> None:
+    """Brings a batch into the feature table: the newest row of every key, each key once.
+
+    Only the partitions that the batch touches are read and replaced, so the work grows with them and
+    not with the table, and the same batch once more leaves the table as it is. Of rows equally new,
+    the batch's wins. The key decides the partition (a record's fiscal year is part of its id). The
+    merged rows are staged before old files go, so a job that fails can run again.
+    """
+    spark = df.sparkSession
+    batch = staged(latest_per_key(df, key, [order]).withColumn("_new", F.lit(1)))
+    touched = [r[0] for r in batch.select(partition_by).distinct().collect()]  # fiscal years
+    if not touched:
+        return
+    merged = batch
+    if not _nothing_at(spark, path):
+        old = spark.read.schema(df.schema).parquet(path).where(F.col(partition_by).isin(touched))
+        merged = batch.unionByName(old.withColumn("_new", F.lit(0)))
+    newest = staged(latest_per_key(merged, key, [order, "_new"]).select(*df.columns))
+    spread = newest.hint("rebalance", partition_by)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+
+
+def _nothing_at(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return True
+        raise
+
+
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The newest row of every key: what an online feature store serves.
 
@@ -62,6 +95,22 @@ def write_report(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
+_SCALARS = {"target": "string", "store_col": "string", "alpha": "double", "min_history_train": "int", "min_history_eval": "int", "holdout_k": "int", "super_bowl_col": "string"}
+_LISTS = ("feature_list", "time_cols", "exclude_stores")
+
+
+def config_table(spark: SparkSession, cfg: ForecastConfig) -> DataFrame:
+    """A configuration as a table of one typed row."""
+    cells = [F.lit(getattr(cfg, n)).cast(t).alias(n) for n, t in _SCALARS.items()]
+    lists = [F.array(*[F.lit(str(v)) for v in getattr(cfg, n)]).cast("array<string>").alias(n) for n in _LISTS]
+    return spark.range(1).select(*cells, *lists)
+
+
+def config_of(table: DataFrame) -> ForecastConfig:
+    row = table.first()
+    return ForecastConfig(**{n: row[n] for n in _SCALARS}, **{n: tuple(row[n]) for n in _LISTS})
+
+
 def save_model(spark: SparkSession, model: RidgeModel, cfg: ForecastConfig, path: str) -> None:
     """Coefficients, store effects, metrics and config as four small tables."""
     terms = list(model.coefficients().items())
@@ -72,13 +121,11 @@ def save_model(spark: SparkSession, model: RidgeModel, cfg: ForecastConfig, path
     spark.createDataFrame(
         list(model.metrics.items()), "metric string, value double"
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
-    spark.createDataFrame([(cfg.to_json(),)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/config")
+    config_table(spark, cfg).write.mode("overwrite").parquet(f"{path}/config")
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[RidgeModel, ForecastConfig]:
-    cfg = ForecastConfig.from_json(spark.read.parquet(f"{path}/config").first()["value"])
+    cfg = config_of(spark.read.parquet(f"{path}/config"))
     terms = {r["term"]: r["value"] for r in spark.read.parquet(f"{path}/coefficients").collect()}
     metrics = {r["metric"]: r["value"] for r in spark.read.parquet(f"{path}/metrics").collect()}
     model = RidgeModel(

@@ -13,6 +13,11 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one; below the warehouse, which is shared too, where there is none."""
+    return f"{shared_dir(spark) or spark.conf.get('spark.sql.warehouse.dir')}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, root: str | None = None) -> DataFrame:
     """The same rows, read back from a table in `root` or else in the shared folder.
 
