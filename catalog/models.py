@@ -513,6 +513,38 @@ def random_forest_importance(spark, sf):
     return forest.forest_importance(split, CFG)
 
 
+_TREE_X = ", ".join([f"coalesce({c}, 0)" for c in FEATURE_SQL] + ["avg(sales) OVER (PARTITION BY store_number)"])
+view("tree_x", "ranked", f"""
+    SELECT row_number() OVER () AS row, sales AS y, [{_TREE_X}] AS x FROM ranked WHERE r <= n - 6 AND n >= 12""")
+view("tree_c", "tree_x", f"SELECT f, quantile_cont(x[f], [{', '.join(repr(i / 8) for i in range(1, 8))}]) AS c FROM tree_x, range(1, {len(FEATURE_SQL) + 2}) t(f) GROUP BY f")
+view("tree_b0", "tree_x tree_c", "SELECT row, y, f, len(list_filter(c, lambda v: v < x[f])) AS b, 1 AS node FROM tree_x, tree_c")
+for _l in range(4):
+    _fits = "nl >= 4 AND n - nl >= 4" if _l < 3 else "FALSE"
+    view(f"tree_h{_l}", f"tree_b{_l} tree_c", f"""
+        SELECT node, n, t / n AS mean, CASE WHEN gain > 0 THEN f END AS f, CASE WHEN gain > 0 THEN b END AS b, CASE WHEN gain > 0 THEN gain END AS gain, CASE WHEN gain > 0 THEN c[b + 1] END AS threshold
+        FROM (SELECT *, CASE WHEN {_fits} THEN round((sl * sl / nl + (t - sl) * (t - sl) / nullif(n - nl, 0) - t * t / n) / nullif(tq - t * t / n, 0), 9) END AS gain FROM (
+            SELECT *, sum(cnt) OVER w AS nl, sum(s) OVER w AS sl, sum(cnt) OVER v AS n, sum(s) OVER v AS t, sum(q) OVER v AS tq
+            FROM (SELECT node, f, b, count(*) AS cnt, sum(y) AS s, sum(y * y) AS q FROM tree_b{_l} WHERE node IS NOT NULL GROUP BY 1, 2, 3)
+            WINDOW w AS (PARTITION BY node, f ORDER BY b ROWS UNBOUNDED PRECEDING), v AS (PARTITION BY node, f))) JOIN tree_c USING (f)
+        QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC NULLS LAST, f, b) = 1""")
+    if _l < 3:
+        view(f"tree_b{_l + 1}", f"tree_b{_l} tree_h{_l}", f"""
+            SELECT t.row, y, t.f, t.b, CASE WHEN h.f IS NOT NULL THEN 2 * t.node + CASE WHEN o.b <= h.b THEN 0 ELSE 1 END END AS node
+            FROM tree_b{_l} t LEFT JOIN tree_h{_l} h ON h.node = t.node LEFT JOIN (SELECT row, f, b FROM tree_b{_l}) o ON o.row = t.row AND o.f = h.f""")
+
+
+@query(
+    "tree_splits",
+    "node:i n:b mean:2 feature:s threshold:4 gain:6",
+    f"""SELECT node, n, mean, ([{', '.join(repr(f) for f in (*FEATURES, 'store mean'))}])[f] AS feature, threshold, gain
+        FROM ({' UNION ALL '.join(f'SELECT * FROM tree_h{i}' for i in range(4))})""",
+    "tree_h0 tree_h1 tree_h2 tree_h3",
+)
+def tree_splits(spark, sf):
+    """One tree of depth 3 on all training rows of the forest's design."""
+    return forest.tree_table(splits.split_last_k(stored_features(spark, sf), CFG), CFG)
+
+
 _SOLO = solo_ridge_views("solo", "tier18", FEATURE_SQL, 5, "split = 'train'")
 _SOLO_ERRORS = f"""SELECT store_number, sum(abs(sales - ({ridge_line('solo', FEATURE_SQL)}))) / sum(abs(sales)) AS wape,
     avg(abs(sales - ({ridge_line('solo', FEATURE_SQL)}))) AS mae, avg(sales) AS mean_actual_sales

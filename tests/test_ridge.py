@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tillcast.config import ForecastConfig
-from tillcast.operators import importance, ridge, splits, storewise
+from tillcast.operators import forest, importance, ridge, splits, storewise
 from tillcast.sources import sinks
 
 CFG = ForecastConfig(feature_list=("x1", "x2"), exclude_stores=("none",))
@@ -159,3 +159,45 @@ def test_model_round_trip(spark, tmp_path):
     assert back.coefficients() == model.coefficients() and back.metrics == model.metrics
     assert cfg.fit_settings() == CFG.fit_settings()
     assert rows(back.score(df).select("store_number", "event_date", "forecast")) == rows(model.score(df).select("store_number", "event_date", "forecast"))
+
+
+def tree_by_hand(x, y, node, depth, leaf, cuts, out):
+    base = ((y - y.mean()) ** 2).sum()
+    best = None
+    for f in range(x.shape[1]):
+        for c in sorted(set(cuts[f])):
+            left = x[:, f] <= c
+            if depth and leaf <= left.sum() <= len(y) - leaf:
+                sse = sum(((p - p.mean()) ** 2).sum() for p in (y[left], y[~left]))
+                gain = round((base - sse) / base, 9)
+                if gain > 0 and (best is None or gain > best[0] + 1e-9):
+                    best = (gain, f, c, left)
+    out[node] = (len(y), y.mean(), best and best[1], best and best[2], best and best[0])
+    if best:
+        tree_by_hand(x[best[3]], y[best[3]], 2 * node, depth - 1, leaf, cuts, out)
+        tree_by_hand(x[~best[3]], y[~best[3]], 2 * node + 1, depth - 1, leaf, cuts, out)
+
+
+def test_split_table_equals_brute_force(spark):
+    rng = np.random.default_rng(21)
+    x = np.column_stack([rng.normal(0, 1, 400), rng.integers(0, 3, 400), np.full(400, 2.0)])
+    y = 1000 + 5 * (x[:, 0] > 0.3) + 3 * x[:, 1] * (x[:, 0] < 0) + rng.normal(0, 0.5, 400)
+    df = spark.createDataFrame(pd.DataFrame({"label": y, "f0": x[:, 0], "f1": x[:, 1], "f2": x[:, 2]}))
+    want = {}
+    tree_by_hand(x, y, 1, 3, 4, [np.percentile(x[:, i], [12.5 * j for j in range(1, 8)]) for i in range(3)], want)
+    got = {r["node"]: tuple(r)[1:] for r in forest.split_table(df, 3).collect()}
+    assert got.keys() == want.keys()
+    for node, (n, mean, f, c, gain) in want.items():
+        assert got[node][0] == n and got[node][1] == pytest.approx(mean) and got[node][2] == f
+        assert got[node][3:] == ((None, None) if f is None else (pytest.approx(c), pytest.approx(gain, abs=1e-6)))
+    assert forest.split_table(df.limit(0), 3).count() == 0
+
+
+def test_forest_with_more_stores_than_bins(spark):
+    """Stores are coded by their training mean, whatever their number."""
+    df = spark.createDataFrame(frame(22, 60, 20, 20))
+    split = splits.split_last_k(df, CFG)
+    got = {r["split"]: r for r in forest.forest_errors(forest.fit_forest(split, CFG, trees=10)).collect()}
+    assert got["train"]["rows"] == 60 * 14 and got["valid"]["rows"] == 60 * 6 and got["valid"]["wape"] < 0.05
+    imp = {r["feature"]: r["mae_increase"] for r in forest.forest_importance(split, CFG, trees=10, repeats=2).collect()}
+    assert imp["x1"] > imp["x2"] > 0

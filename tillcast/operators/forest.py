@@ -5,51 +5,98 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.config import ForecastConfig
 from tillcast.functions.casts import col
 from tillcast.functions.stats import wape
 from tillcast.operators.importance import permuted
+from tillcast.operators.ranking import exact_percentiles
 from tillcast.operators.ridge import x_sql
+from tillcast.sources.staging import staged
 
-MAX_STORE_BINS = 4096
 
 
-def _design(split: DataFrame, cfg: ForecastConfig, stores: int) -> DataFrame:
-    """Features as numbers, plus the store: indexed while it fits the bins, else its training mean."""
+def _design(split: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Features as numbers f0, f1, ...; the last is the store's mean in training, else the mean of all.
+
+    So a store is one number however many there are, and a store without training rows has one too.
+    """
     rows = split.where(F.col("split").isNotNull()).selectExpr(
         f"`{cfg.store_col}` AS _store", cfg.fy, cfg.fp, "split", f"CAST(`{cfg.target}` AS DOUBLE) AS label",
         *[f"{x_sql(f)} AS f{i}" for i, f in enumerate(cfg.feature_list)],
     )
-    if stores <= MAX_STORE_BINS:
-        return rows
-    mean = rows.where("split = 'train'").groupBy("_store").agg(F.avg("label").alias("_code"))
-    overall = rows.where("split = 'train'").agg(F.avg("label")).scalar()
-    return rows.join(mean, "_store", "left").withColumn("_code", F.coalesce("_code", overall))
+    train = rows.where("split = 'train'")
+    mean = train.groupBy("_store").agg(F.avg("label").alias("_code"))
+    code = F.coalesce("_code", train.agg(F.avg("label")).scalar())
+    return rows.join(mean, "_store", "left").withColumn(f"f{len(cfg.feature_list)}", code).drop("_code")
 
 
 def fit_model(
     split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, depth: int = 8, leaf: int = 4, seed: int = 0
 ) -> tuple[PipelineModel, DataFrame]:
     """(fitted forest, its input rows)."""
-    stores = split.where("split = 'train'").select(cfg.store_col).distinct().count()
-    rows = _design(split, cfg, stores)
-    stages = []
-    if stores <= MAX_STORE_BINS:
-        stages.append(StringIndexer(inputCol="_store", outputCol="_code", handleInvalid="keep", stringOrderType="alphabetAsc"))
-    inputs = [f"f{i}" for i in range(len(cfg.feature_list))] + ["_code"]
-    stages += [
-        VectorAssembler(inputCols=inputs, outputCol="features"),
-        RandomForestRegressor(
-            numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed,
-            maxBins=max(32, min(stores, MAX_STORE_BINS) + 2), maxMemoryInMB=1024,
-        ),
+    rows = staged(_design(split, cfg))
+    stages = [
+        VectorAssembler(inputCols=[f"f{i}" for i in range(len(cfg.feature_list) + 1)], outputCol="features"),
+        RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxMemoryInMB=1024),
     ]
     return Pipeline(stages=stages).fit(rows.where("split = 'train'")), rows
 
 
+def split_table(rows: DataFrame, k: int, depth: int = 3, leaf: int = 4, bins: int = 8) -> DataFrame:
+    """One regression tree on all `rows` (label, f0 .. f<k-1>): node, n, mean, feature, threshold, gain.
+
+    Features are cut at their exact quantiles. A level is one aggregate of counts and sums by node,
+    feature and bin; from these every split's drop in squared error is known, so no rows are sorted
+    or gathered. The best split of a node has the largest share of the node's squared error (nine
+    decimals), then the first feature and bin; both sides keep `leaf` rows. Children of node i are 2i
+    (values up to the threshold) and 2i + 1. The tables that levels share have a row per node.
+    """
+    rows = staged(rows.where(F.col("label").isNotNull()).select("label", F.array(*[f"f{i}" for i in range(k)]).alias("x")))
+    cells = rows.select(F.posexplode("x").alias("feature", "v"))
+    probs = {f"q{i}": i / bins for i in range(1, bins)}
+    cuts = {r["feature"]: [r[q] for q in probs] for r in exact_percentiles(cells, "v", probs, ["feature"]).collect()}
+    if not cuts:
+        return rows.sparkSession.createDataFrame([], "node int, n long, mean double, feature int, threshold double, gain double")
+    bin_of = lambda i: F.size(F.filter(F.array(*[F.lit(c) for c in cuts[i]]), lambda c: c < F.col("x")[i]))
+    placed = staged(rows.select("label", F.array(*[bin_of(i) for i in range(k)]).alias("bins"), F.lit(1).alias("node")))
+    threshold = F.array(*[F.array(*[F.lit(c) for c in cuts[i]]) for i in range(k)])
+    out = None
+    for level in range(depth + 1):
+        cells = placed.where("node IS NOT NULL").select("node", "label", F.posexplode("bins").alias("feature", "bin"))
+        sums = cells.groupBy("node", "feature", "bin").agg(F.count("*").alias("c"), F.sum("label").alias("s"), F.sum(F.col("label") * F.col("label")).alias("q"))
+        of_feature = Window.partitionBy("node", "feature")
+        upto = of_feature.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        left = {"nl": F.sum("c").over(upto), "sl": F.sum("s").over(upto)}
+        total = {"n": F.sum("c").over(of_feature), "t": F.sum("s").over(of_feature), "tq": F.sum("q").over(of_feature)}
+        seen = sums.withColumns({**left, **total})
+        inner = F.col("sl") * F.col("sl") / F.col("nl") + F.try_divide((F.col("t") - F.col("sl")) * (F.col("t") - F.col("sl")), F.col("n") - F.col("nl"))
+        parent = F.col("t") * F.col("t") / F.col("n")
+        fits = (F.col("nl") >= leaf) & (F.col("n") - F.col("nl") >= leaf) & F.lit(level < depth)
+        seen = seen.withColumn("gain", F.when(fits, F.round(F.try_divide(inner - parent, F.col("tq") - parent), 9)))
+        order = [F.col("gain").desc_nulls_last(), F.col("feature"), F.col("bin")]
+        best = seen.withColumn("_i", F.row_number().over(Window.partitionBy("node").orderBy(*order))).where("_i = 1")
+        splits = F.col("gain") > 0
+        best = staged(best.select(
+            "node", "n", (F.col("t") / F.col("n")).alias("mean"), F.when(splits, F.col("feature")).alias("feature"),
+            F.when(splits, F.col("bin")).alias("bin"), F.when(splits, threshold[F.col("feature")][F.col("bin")]).alias("threshold"), F.when(splits, F.col("gain")).alias("gain"),
+        ))
+        out = best if out is None else out.unionByName(best)
+        ways = F.broadcast(best.where("feature IS NOT NULL").select("node", "feature", "bin"))
+        child = F.col("node") * 2 + F.when(F.get("bins", F.col("feature")) <= F.col("bin"), 0).otherwise(1)
+        placed = placed.join(ways, "node", "left").select("label", "bins", F.when(F.col("feature").isNotNull(), child).alias("node"))
+    return out.select("node", "n", "mean", "feature", "threshold", "gain")
+
+
+def tree_table(split: DataFrame, cfg: ForecastConfig = ForecastConfig(), **how) -> DataFrame:
+    """`split_table` of the forest's training rows; features by name, `store mean` the last."""
+    names = [*cfg.feature_list, "store mean"]
+    table = split_table(_design(split, cfg).where("split = 'train'"), len(names), **how)
+    return table.withColumn("feature", F.get(F.array(*[F.lit(n) for n in names]), F.col("feature")))
+
+
 def fit_forest(split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, **how) -> DataFrame:
     """Scored rows (_store, split, label, features, prediction)."""
     model, rows = fit_model(split, cfg, trees, **how)
@@ -63,20 +110,20 @@ def forest_errors(scored: DataFrame) -> DataFrame:
 def forest_importance(
     split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, repeats: int = 8, **how
 ) -> DataFrame:
-    """(feature, mae_increase) on the validation rows; the forest is scored once per shuffled column.
+    """(feature, mae_increase) on the validation rows.
 
-    Columns are shuffled by the same block-numbered join as for the linear model.
+    Columns are shuffled by the same block-numbered join as for the linear model. Every shuffled row
+    comes once per feature, with that feature's value swapped, so there is one join and one scoring.
     """
     model, rows = fit_model(split, cfg, trees, **how)
-    named = rows.withColumnsRenamed({"_store": cfg.store_col}).where("split = 'valid'")
-    cells = [f"f{i}" for i in range(len(cfg.feature_list))]
-    mixed = permuted(named, cells, cfg, repeats)
-    base = model.transform(rows.where("split = 'valid'")).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).scalar()
-    out = None
-    for i, f in enumerate(cfg.feature_list):
-        swapped = mixed.withColumn(f"f{i}", F.col(f"shuffled_{i}")).withColumnRenamed(cfg.store_col, "_store")
-        error = model.transform(swapped).agg(
-            F.lit(f).alias("feature"), (F.avg(F.abs(F.col("label") - F.col("prediction"))) - base).alias("mae_increase")
-        )
-        out = error if out is None else out.unionByName(error)
-    return out
+    valid = rows.where("split = 'valid'")
+    k = len(cfg.feature_list)
+    cells = [f"f{i}" for i in range(k)]
+    mixed = permuted(valid.withColumnsRenamed({"_store": cfg.store_col}), cells, cfg, repeats)
+    each = mixed.withColumn("_swap", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    each = each.withColumns({f: F.when(F.col("_swap") == i, F.col(f"shuffled_{i}")).otherwise(F.col(f)) for i, f in enumerate(cells)})
+    error = F.avg(F.abs(F.col("label") - F.col("prediction")))
+    base = model.transform(valid).agg(error).scalar()
+    names = F.array(*[F.lit(f) for f in cfg.feature_list])
+    per_feature = model.transform(each).groupBy("_swap").agg(error.alias("_mae"))
+    return per_feature.select(F.get(names, F.col("_swap")).alias("feature"), (F.col("_mae") - base).alias("mae_increase"))
