@@ -13,7 +13,7 @@ from catalog.base import (
 from tillcast.config import FEATURES, LITE_FEATURES, retrain_needed
 from tillcast.operators import forecast as fc
 from tillcast.operators import forest, importance, metrics, peers, ridge, selection, splits, storewise
-from tillcast.plans.run import run_pooled_ridge
+from tillcast.plans.run import run_forecast, run_pooled_ridge
 from tillcast.sources import sinks
 from tillcast.sources import testbed as tb
 from tillcast.sources.staging import scratch, staged
@@ -793,6 +793,16 @@ def final_forecast(spark, sf):
     return selection.final_forecasts(rows, _peer_fc(hist, rows, near), assigned)
 
 
+@query("run_forecast", f"{STORE_PERIOD} our_forecast:2 source:s", "SELECT * FROM finalfc", "finalfc")
+def run_forecast_query(spark, sf):
+    """The production run: features, fit, peers, backtest and choice from the raw tables."""
+    out = run_forecast(
+        tb.sales_period(spark, sf), tb.fiscal_calendar(spark), tb.hierarchy(spark, sf), CFG, tb.cpi_wide(spark), period_events(spark),
+        short_below=tb.SHORT_BELOW,
+    )
+    return out.forecasts
+
+
 @query(
     "join_actuals",
     f"{STORE_PERIOD} forecast:3 actual:4",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.config import LITE_FEATURES, ForecastConfig
+from tillcast.functions.keys import drop_stores
 from tillcast.functions.names import normalize_forecast, normalize_history
 from tillcast.operators import dims, peers, rollups, selection, splits
 from tillcast.operators.budget import budget_gap, budget_totals
@@ -87,7 +88,7 @@ def run_forecast(
     pooled = staged(dims.active_stores(recursive_forecast(model, grid, cfg), hierarchy))
 
     placed = sales if {cfg.fy, cfg.fp} <= set(sales.columns) else feats
-    hist = staged(normalize_history(placed))
+    hist = staged(drop_stores(normalize_history(placed), cfg.store_col, cfg.exclude_stores))
     cohorts = splits.history_cohorts(hist, short_below)
     clusters = peers.locked_clusters(peers.pca_scores(peers.store_profile(hist)))
     near = staged(peers.nearest_peers(clusters, cohorts))
