@@ -86,9 +86,9 @@ def test_wape_is_a_ratio_of_sums_per_group(spark):
     got = metrics.wape_by(df, ["g"], "y", {"wa": "a", "wb": "b"})
     assert rows(got) == [("x", 0.01, 0.5), ("y", None, None)]
     assert rows(got.select(metrics.as_percent("wb"))) == [(None,), (50.0,)]
-    hist = spark.createDataFrame([("1", 2001, 1, 4.0), ("1", 2001, 1, 4.0)], f"{KEYS}, actual double")
+    hist = spark.createDataFrame([("1", 2001, 1, 4.0), ("1", 2001, 1, 3.0)], f"{KEYS}, actual double")
     fc = spark.createDataFrame([("1", 2001, 1, 5.0), ("1", 2001, 2, 6.0)], f"{KEYS}, forecast double")
-    assert rows(metrics.join_actuals(fc, hist)) == [("1", 2001, 1, 5.0, 4.0), ("1", 2001, 2, 6.0, None)]
+    assert rows(metrics.join_actuals(fc, hist)) == [("1", 2001, 1, 5.0, 7.0), ("1", 2001, 2, 6.0, None)]
 
 
 def test_store_error_summary_skips_undefined(spark):
