@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tillcast.llm import op2_quality_rules as op2
 from tillcast.llm import op11_sharding as op11
 from tillcast.llm import op12_centroid_clustering as op12
 from tillcast.llm import op13_importance_resampling as op13
@@ -227,3 +228,45 @@ def test_draw_prefers_the_target(spark):
     target = spark.createDataFrame([("apple pear plum " * 200,)], "text string")
     got = op13.resampled(spark.createDataFrame(near + far, SCHEMA), target).where("rank IS NOT NULL").collect()
     assert len(got) == 100 and sum(r["doc_id"] < 1000 for r in got) > 60
+
+
+# --- op2: grams within texts
+
+def test_grams_stay_within_their_text():
+    import pyarrow as pa
+
+    texts = ["one two three", "", "x", "four five", None, "ab", "six seven eight nine"]
+    for order in (texts, texts[::-1]):
+        data, offs = op2.pieces(pa.array(order)).__next__()[2:]
+        starts, ends, wo = op2.spans(data, offs, op2.SPACED)
+        for feature, cuts, base in op2._parts(data, offs, wo, op2.hashes(data, starts, ends)):
+            assert len(cuts) == len(order) + 1 and cuts[-1] == len(feature)
+            for r, text in enumerate(order):
+                alone, aoffs = op2.pieces(pa.array([text])).__next__()[2:]
+                s, e, w = op2.spans(alone, aoffs, op2.SPACED)
+                parts = list(op2._parts(alone, aoffs, w, op2.hashes(alone, s, e)))
+                own = feature[cuts[r] : cuts[r + 1]].tolist()
+                assert own in [p[0].tolist() for p in parts if p[2] == base] + ([[]] if not own else [])
+
+
+def test_word_order_counts_and_dealing_does_not(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(40)]
+
+    def ordered(n):
+        i = rng.randrange(40)
+        return [vocabulary[(i + k) % 40] for k in range(n)]
+
+    rows, labels = [], []
+    for i in range(600):
+        words = ordered(rng.randint(12, 30))
+        if i % 2:
+            rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1 - i % 2))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    known = spark.createDataFrame(labels[:400], "doc_id long, quality int")
+    got = [{r["doc_id"]: r["probability"] for r in op2.quality_scores(docs.repartition(n), known).collect()} for n in (2, 13)]
+    assert got[0].keys() == got[1].keys() and all(abs(got[0][i] - got[1][i]) < 1e-6 for i in got[0])
+    right = sum((got[0][i] >= 0.5) == (i % 2 == 0) for i in range(400, 600))
+    assert right >= 170

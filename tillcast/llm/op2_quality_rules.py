@@ -1,8 +1,10 @@
 """Quality rules: counted base rules, then a calibrated logistic model of hashed word and character n-grams.
 
-Whole texts are scored in Arrow batches against fixed thresholds. Defined cases: null and empty texts
+Words, pairs of words and character n-grams never cross the end of a text, so a score depends on its
+text alone. Whole texts are scored in Arrow batches against fixed thresholds. Defined cases: null and empty texts
 have no words, so they fail the base rules; repeated rows are scored row by row; without labelled
-rows, or with one class only, the model answers that class (keep, if there are none).
+rows, or with one class only, the model answers that class (keep, if there are none); a probability
+equal to the threshold is kept.
 """
 
 from __future__ import annotations
@@ -31,16 +33,29 @@ _LINE = np.arange(256) != 0x0A
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _within(n: int, cuts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of n - k + 1 consecutive k-grams lie inside one row, and the offsets of each row's grams among these."""
+    inside = np.ones(max(n - k + 1, 0), bool)
+    inner = cuts[1:-1]
+    for back in range(1, k):
+        at = inner - back
+        inside[at[(at >= 0) & (at < len(inside))]] = False
+    return inside, np.concatenate([[0], np.cumsum(np.maximum(np.diff(cuts) - k + 1, 0))])
+
+
 def _parts(data, offs, wo, h):
-    """(feature, offsets) of word uni- and bigrams and of character n-grams; each row's share sums to one."""
+    """(feature, offsets, first dimension) of words, pairs of words and character n-grams; each row's share sums to one."""
     yield (h >> np.uint64(52)).astype(np.int64), wo, 0
+    inside, cuts = _within(len(h), wo, 2)
+    yield (grams(h, 2)[inside] >> np.uint64(52)).astype(np.int64), cuts, 0
     if len(data) >= CHARS:
         code = np.zeros(len(data) - CHARS + 1, np.uint32)
         for k in range(CHARS):
             code |= data[k : len(code) + k].astype(np.uint32) << np.uint32(8 * k)
         code *= np.uint32(0x9E3779B1)
         code >>= np.uint32(20)
-        yield code.astype(np.int64), np.minimum(offs, len(code)), WORD_DIMS
+        inside, cuts = _within(len(data), offs, CHARS)
+        yield code[inside].astype(np.int64), cuts, WORD_DIMS
 
 
 def _repeated(h: np.ndarray) -> int:
@@ -93,7 +108,7 @@ def _sampled(documents: DataFrame, ids: DataFrame):
                     for r in range(j - i):
                         own = feature[cuts[r] : cuts[r + 1]]
                         if len(own):
-                            x[r, base : base + WORD_DIMS] = np.bincount(own, minlength=WORD_DIMS) / len(own)
+                            x[r, base : base + WORD_DIMS] += np.bincount(own, minlength=WORD_DIMS) / len(own)
                 yield pa.record_batch([pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), batch["y"][i:j]], names=["x", "y"])
 
     chosen = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", F.col("y").cast("int").alias("y"))
@@ -110,7 +125,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality") -> tu
     x, y = _sampled(documents, labelled_ids(labels, label, SAMPLE_PER_CLASS, training_only=False))
     if len(y) == 0:
         return np.zeros(DIMS, np.float32), 6.0, 1.0, 0.0
-    scale = 1.0 / np.maximum(np.sqrt((x * x).mean(0)), 1e-4)
+    scale = 1.0 / np.maximum(np.sqrt(np.einsum("ij,ij->j", x, x) / len(x)), 1e-4)
     x *= scale
     apart = np.argsort(np.arange(len(y)) % 5 == 4, kind="stable")
     cut = len(y) - len(y) // 5
