@@ -8,7 +8,8 @@ length with the least cost per word that it can still hope to hold, given what i
 the end every sequence shrinks to the shortest length that holds its contents.
 
 Defined cases: null and empty texts have length 0 and one row with a null sequence; equal pieces go
-by doc_id and piece; repeated rows are packed as often as they occur; no rows give no rows.
+by doc_id and piece; repeated rows are packed as often as they occur, dealt to shards copy by copy;
+a null doc_id is packed like any other, a length below 0 is 0; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ from pyspark.sql import functions as F
 
 from tillcast.llm.batches import SPACED, pieces, spans
 from tillcast.llm.registry import query, table
+from tillcast.sources.staging import staged
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 SEQUENCE_COST = 32  # what a sequence costs besides its length
 SHARD_PIECES = 8_000
+COPIES = 10_000  # equal rows that one task numbers at a time
 
 
 def word_counts() -> Column:
@@ -89,29 +92,38 @@ def best_fit(
 ) -> DataFrame:
     """(doc_id, piece, start, n_tokens, sequence_id, offset, capacity), one row per piece."""
     top = max(lengths)
-    size = word_counts()("text") if length is None else F.coalesce(length.cast("long"), F.lit(0))
-    sized = documents.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("n"), F.xxhash64("doc_id", "text").alias("_h"))
-    cut = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.greatest((F.col("n") - 1) / top, F.lit(0)).cast("int"))))
-    cut = cut.select(
-        "doc_id", "piece", (F.col("piece").cast("long") * top).alias("start"),
-        F.least(F.col("n") - F.col("piece").cast("long") * top, F.lit(top)).cast("long").alias("n_tokens"),
-        F.xxhash64("_h", "piece").alias("_h"),
+    size = word_counts()("text") if length is None else F.greatest(F.coalesce(length.cast("long"), F.lit(0)), F.lit(0))
+    sized = documents.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("n"), F.xxhash64("doc_id", "text").alias("h"))
+    rows = staged(sized.groupBy("doc_id", "n", "h").agg(F.count("*").alias("copies")))
+    last = F.floor(F.greatest(F.col("n") - 1, F.lit(0)) / top).cast("int")
+    held = rows.agg(F.sum(F.col("copies") * (last + 1))).first()[0] or 0
+    shards = max(1, -(-held // shard_pieces))
+
+    # equal rows are numbered, so that their pieces are dealt to all shards; many of them by several tasks
+    blocks = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))))
+    blocks = blocks.where("block = 0").unionByName(blocks.where("block > 0").repartition("h", "block"))
+    numbers = F.sequence(F.col("block") * COPIES, F.least(F.col("copies"), (F.col("block") + 1) * COPIES) - 1)
+    each = blocks.withColumn("copy", F.explode(numbers)).withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+    start = F.col("piece").cast("long") * top
+    cut = each.select(
+        "doc_id", "piece", start.alias("start"), F.least(F.col("n") - start, F.lit(top)).cast("long").alias("n_tokens"),
+        F.xxhash64("h", "copy", "piece").alias("h"),
     )
-    shards = max(1, -(-documents.count() // shard_pieces))
-
-    def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "doc_id", "piece", "_h"], ascending=[False, True, True, True], kind="stable")
-        full = rows["n_tokens"].to_numpy() > 0
-        seq, offset, final = pack(rows["n_tokens"].to_numpy()[full], lengths)
-        out = rows[["doc_id", "piece", "start", "n_tokens"]].copy()
-        for name, values in (("sequence_id", rows["_shard"].to_numpy()[full] * (1 << 32) + seq), ("offset", offset), ("capacity", final)):
-            cells = pd.array([pd.NA] * len(rows), dtype="Int64")
+
+    def packed(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("n_tokens", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("h", "ascending")])
+        sizes = rows["n_tokens"].to_numpy()
+        full = sizes > 0
+        seq, offset, final = pack(sizes[full], lengths)
+        out = rows.select(["doc_id", "piece", "start", "n_tokens"])
+        for name, values in (("sequence_id", rows["shard"].to_numpy()[full] * (1 << 32) + seq), ("offset", offset), ("capacity", final)):
+            cells = np.zeros(len(sizes), np.int64)
             cells[full] = values
-            out[name] = cells
+            out = out.append_column(name, pa.array(cells, mask=~full))
         return out
 
     schema = "doc_id long, piece int, start long, n_tokens long, sequence_id long, offset long, capacity long"
-    return cut.withColumn("_shard", F.pmod("_h", F.lit(shards))).groupBy("_shard").applyInPandas(packed, schema)
+    return cut.withColumn("shard", F.pmod("h", F.lit(shards))).groupBy("shard").applyInArrow(packed, schema)
 
 
 @query("op9_best_fit_packing")
