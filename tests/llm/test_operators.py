@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillcast.llm import op1_url_filter as op1
@@ -241,6 +242,133 @@ def test_quality_classifier_held_out_accuracy(spark, empty):
     assert {r["score"] for r in op10.classify(odd, vectors, model).collect()} == {0.5}
 
 
+CLASHING = ["row", "place", "gone", "id", "_id", "_gone", "_place", "starts", "ends", "items", "n_words", "clean_text", "a.b", "token", "component"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark, docs):
+    """The fixture's rows with columns that are named like those of the operators."""
+    return docs.selectExpr("*", *[f"concat('{c} ', doc_id) AS `{c}`" for c in CLASHING])
+
+
+def test_stages_keep_columns_of_any_name(spark, docs, odd):
+    bench = spark.createDataFrame([(7, PASSAGE)], "item_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (15, 0)], "doc_id long, quality int")
+    steps = [
+        lambda d: op2.kept_documents(d, labels), op5.without_repeats, op3.distinct_documents, lambda d: op6.decontaminated(d, bench),
+    ]
+    for step in steps:
+        found = step(odd)
+        assert found.columns == odd.columns
+        got = found.collect()
+        assert sorted((tuple(r)[: len(docs.columns)] for r in got), key=str) == sorted((tuple(r) for r in step(docs).collect()), key=str)
+        for r in got:
+            assert all(r[c] == (None if r["doc_id"] is None else f"{c} {r['doc_id']}") for c in CLASHING)
+    pages = spark.createDataFrame([("x", "http://a.org/" + "long/" * 20_000, "y")], "_says string, url string, verdict string")
+    (page,) = op1.url_verdicts(pages, spark.createDataFrame(op1.LABELLED, "url string, label int")).collect()
+    assert (page["_says"], page["verdict"], len(page["path"])) == ("x", "allow", 100_001)
+
+
+def test_pipeline_stages_match_brute_force(spark, docs, empty, tmp_path):
+    """Each stage on its own input; empty tables give empty results."""
+    spark.createDataFrame([(7, PASSAGE), (8, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(4, 1, 0), (15, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    sf = str(tmp_path)
+    by_name = dict(corpus_pipeline.STAGES)
+    every = docs.collect()
+
+    verdicts = {r["doc_id"]: r["kept"] for r in op2.quality_scores(docs, spark.read.parquet(sf + "/labels.parquet")).collect()}
+    kept = by_name["quality rules"](spark, docs, sf).collect()
+    assert sorted(map(str, kept)) == sorted(str(r) for r in every if verdicts[r["doc_id"]])
+    for r in every:
+        w = (r["text"] or "").split()
+        windows = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        covered = {k + d for k in range(len(w) - 4) if windows[tuple(w[k : k + 5])] > 1 for d in range(5)}
+        assert not (verdicts[r["doc_id"]] and (len(w) < 10 or 100 * len(covered) > 20 * len(w)))
+
+    seen, want = [], {}
+    for r in sorted((r for r in every if r["doc_id"] is not None), key=lambda r: r["doc_id"]):
+        if r["doc_id"] in want or r["text"] is None:
+            continue
+        lines = []
+        for line in r["text"].split("\n"):
+            own = set(line.split())
+            if not own or not any(7 * len(own & x) >= 3 * (len(own) + len(x)) for x in seen):
+                lines.append(line)
+            if own:
+                seen.append(own)
+        want[r["doc_id"]] = "\n".join(lines)
+    got = by_name["line dedup"](spark, docs, sf).collect()
+    assert len(got) == len(every)
+    assert all(r["text"] == want.get(r["doc_id"], None if r["doc_id"] is not None else "null id") for r in got)
+    assert all(r["n_chars"] == len(r["text"]) for r in got if r["text"] is not None and r["doc_id"] is not None)
+
+    sets = [shingles(t) for t in TEXTS]
+    root = list(range(len(TEXTS)))
+    for _ in TEXTS:
+        for a, x in enumerate(sets):
+            for b, y in enumerate(sets):
+                if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                    root[a] = root[b] = min(root[a], root[b])
+    got = Counter(r["doc_id"] for r in by_name["n-gram Jaccard join"](spark, docs, sf).collect())
+    assert got == Counter([i for i in range(len(TEXTS)) if root[i] == i] + [None, 4])
+
+    passage = PASSAGE.split()
+    windows = {tuple(passage[i : i + 10]) for i in range(len(passage) - 9)}
+    for r in by_name["benchmark decontamination"](spark, docs, sf).collect():
+        w = (r["text"] or "").split()
+        assert not any(tuple(w[i : i + 10]) in windows for i in range(len(w) - 9))
+        assert r["doc_id"] is None or PASSAGE in (TEXTS[r["doc_id"]] or "") or r["text"] == TEXTS[r["doc_id"]]
+
+    packed = Counter()
+    for r in by_name["best-fit packing"](spark, docs, sf).collect():
+        packed[r["doc_id"]] += r["n_tokens"]
+    assert packed == Counter({i: len((t or "").split()) * (2 if i == 4 else 1) for i, t in enumerate(TEXTS)} | {None: 2})
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).count() == 0
+
+
+def plain_best_fit(sizes, lengths, cost):
+    """Every open sequence and every later piece are looked at for every piece; of equal rooms the newest is taken."""
+    bins, placed = [], []
+    for i, size in enumerate(sizes):
+        fits = [(c - used, -since, k) for k, (c, used, since) in enumerate(bins) if c - used >= size]
+        if fits:
+            k = min(fits)[2]
+        else:
+
+            def price(c):
+                later = sum(x for x in sizes[i + 1 :] if x <= c - size)
+                return (c + cost) / (size + min(c - size, later)), c
+
+            k = len(bins)
+            bins.append((min((c for c in lengths if c >= size), key=price), 0, 0))
+        capacity, used, _ = bins[k]
+        placed.append((k, used))
+        bins[k] = capacity, used + size, i
+    final = [min(c for c in lengths if c >= used) for _, used, _ in bins]
+    return [(k, at, final[k]) for k, at in placed]
+
+
+def test_packing_matches_plain_best_fit():
+    r = np.random.default_rng(8)
+    for n in (0, 1, 7, 60, 250):
+        sizes = np.sort(r.integers(1, 1025, n) // r.integers(1, 40, n) + 1)[::-1].astype(np.int64)
+        got = zip(*(x.tolist() for x in op9.pack(sizes, (64, 256, 1100), 16)))
+        assert list(got) == plain_best_fit(sizes.tolist(), (64, 256, 1100), 16)
+
+
+def test_equal_rows_are_dealt_to_all_shards(spark):
+    docs = spark.range(40_000).selectExpr("7L AS doc_id", "'two words' AS text").union(spark.createDataFrame([(2**60 + 1, "x"), (None, "y z")], "doc_id long, text string"))
+    rows = op9.best_fit(docs, shard_pieces=4_000).collect()
+    shards = Counter(r["sequence_id"] >> 32 for r in rows)
+    assert len(rows) == 40_002 and len(shards) == 11 and max(shards.values()) < 4_400
+    assert {r["doc_id"] for r in rows} == {7, 2**60 + 1, None}
+    lengths = spark.createDataFrame([(1, -5), (2, None), (3, 20_000)], "doc_id long, n int")
+    got = sorted((r["doc_id"], r["start"], r["n_tokens"]) for r in op9.best_fit(lengths.selectExpr("doc_id", "'' AS text", "n"), length=F.col("n")).collect())
+    assert got == [(1, 0, 0), (2, 0, 0), (3, 0, 8192), (3, 8192, 8192), (3, 16384, 3616)]
+
+
 def test_pipeline_stages_take_effect(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -106,12 +106,12 @@ def train(labelled: DataFrame) -> tuple[np.ndarray, float]:
 def url_verdicts(pages: DataFrame, labelled: DataFrame, rules=RULES, threshold: float = BLOCK_BELOW, url: str = "url") -> DataFrame:
     """`pages` with host, path, rule, score (probability that the url is wanted) and verdict.
 
-    Columns of `pages` with those names are replaced.
+    Columns of `pages` with those names are replaced, all others stay. Urls of any length are scored whole.
     """
     spark = pages.sparkSession
     host, path = host_path(F.col(url))
     judged = pages.withColumns({"host": host, "path": path})
-    judged = judged.withColumns({"rule": _rule(rules, F.col("host"), F.col("path"), False), "_says": _rule(rules, F.col("host"), F.col("path"), True)})
+    judged = judged.withColumn("rule", _rule(rules, F.col("host"), F.col("path"), False))
     model = spark.sparkContext.broadcast(train(labelled))
 
     @F.pandas_udf("double")
@@ -126,7 +126,7 @@ def url_verdicts(pages: DataFrame, labelled: DataFrame, rules=RULES, threshold:
 
     judged = judged.withColumn("score", score("host", "path"))
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return judged.withColumn("verdict", F.coalesce("_says", by_model)).drop("_says")
+    return judged.withColumn("verdict", F.coalesce(_rule(rules, F.col("host"), F.col("path"), True), by_model))
 
 
 @query("op1_url_filter")

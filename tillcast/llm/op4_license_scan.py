@@ -11,7 +11,7 @@ Every template shingle has one of a few anchor words, so windows without one hol
 not made. The template table is a parameter; its size is checked, as it is broadcast.
 
 Defined cases: null and empty texts, and an empty template table, give no rows; rows with the same
-doc_id are one document; equal containments go to the earliest window.
+doc_id are one document, as are all rows with a null one; equal containments go to the earliest window.
 """
 
 from __future__ import annotations

@@ -21,8 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tillcast.llm.batches import ALNUM, LOWER, flat, hashes, pieces, spans
+from tillcast.llm.columns import unfolded, whole
 from tillcast.llm.registry import query, table
 
 WINDOW = 10
@@ -199,9 +201,16 @@ def _merged(spans_: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def find_contamination(documents: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], cleaned: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """`keep` of every row of `documents`, with n_words, starts and ends of hit word spans, and items.
 
-    `cleaned` adds `clean_text`, the text without the hit spans.
+    `cleaned` adds `clean_text`, the text without the hit spans. Columns that are not kept may have any name.
     """
-    out = documents.select(F.struct(*documents.columns).alias("row"))
+    extra = ["clean_text"] if cleaned else []
+    out = _found(documents, benchmark, cleaned, block_words)
+    return out.select(*[F.col("row")[c].alias(c) for c in keep], "n_words", "starts", "ends", "items", *extra)
+
+
+def _found(documents: DataFrame, benchmark: DataFrame, cleaned: bool, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(row, starts, ends, items, n_words), and clean_text if wanted."""
+    out = documents.select(whole(documents))
     for f in ("starts", "ends"):
         out = out.withColumn(f, F.array().cast("array<long>"))
     out = out.withColumn("items", F.array().cast("array<string>"))
@@ -209,8 +218,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, keep: tuple[s
     for block in blocks:
         last = block is blocks[-1]
         out = _scanned(out, block, last, cleaned and last)
-    extra = ["clean_text"] if cleaned else []
-    return out.select(*[F.col("row")[c].alias(c) for c in keep], "n_words", "starts", "ends", "items", *extra)
+    return out
 
 
 def _scanned(df: DataFrame, block: Block, last: bool, cleaned: bool) -> DataFrame:
@@ -234,8 +242,12 @@ def _scanned(df: DataFrame, block: Block, last: bool, cleaned: bool) -> DataFram
                     cols.append(pa.array([_without(texts[i + r].as_py(), data[offs[r] : offs[r + 1]], w0[wo[r] : wo[r + 1]] - offs[r], w1[wo[r] : wo[r + 1]] - offs[r], starts[r], ends[r]) for r in range(j - i)], pa.string()))
                 yield pa.record_batch(cols, names=["row", "starts", "ends", "items", "n_words", "clean_text"][: len(cols)])
 
-    schema = f"row {df.schema['row'].dataType.simpleString()}, starts array<long>, ends array<long>, items array<string>"
-    return df.mapInArrow(rows, schema + ", n_words long" * last + ", clean_text string" * cleaned)
+    fields = list(df.schema.fields)
+    if last:
+        fields.append(StructField("n_words", LongType()))
+    if cleaned:
+        fields.append(StructField("clean_text", StringType()))
+    return df.mapInArrow(rows, StructType(fields))
 
 
 def _without(text, data, w0, w1, starts, ends):
@@ -249,13 +261,16 @@ def _without(text, data, w0, w1, starts, ends):
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`documents` with the hit words taken out of the texts; n_chars follows where there is one."""
-    out = find_contamination(documents, benchmark, tuple(documents.columns), cleaned=True)
-    out = out.withColumn("text", F.col("clean_text"))
+    """`documents` with the hit words taken out of the texts; n_chars follows where there is one.
+
+    No row goes, null texts stay null, and further columns, of whatever name, stay as they are.
+    """
+    out = _found(documents, benchmark, cleaned=True)
+    changed = {"text": F.col("clean_text")}
     if "n_chars" in documents.columns:
-        counted = F.char_length("text").cast(documents.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.size("starts") > 0, counted).otherwise(F.col("n_chars")))
-    return out.select(*documents.columns)
+        counted = F.char_length("clean_text").cast(documents.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.size("starts") > 0, counted).otherwise(F.col("row.n_chars"))
+    return out.select(unfolded(documents, **changed))
 
 
 _SQL = r"""
