@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcast.llm.batches import SPACED, int64s, row_words, shingle_set, sliced
+from tillcast.llm.batches import SPACED, int64s, mix, row_words, shingle_set, sliced
+from tillcast.llm.columns import quoted
 from tillcast.llm.components import components
 from tillcast.llm.corpus_sums import corpus_sum
 from tillcast.llm.meeting import meet, met_pairs
@@ -33,6 +34,7 @@ from tillcast.sources.staging import staged
 
 COUNTERS = 1 << 20  # places of the shingle counts
 FREQUENT = 64  # longest list of a shingle that is joined by itself
+COPY_PLACES = 1024  # parts of a group of equal sets; each has a first document
 _FLAG = np.uint64(1)  # lowest bit of an indexed shingle: frequent by the counts
 
 
@@ -73,7 +75,11 @@ def set_sizes(documents: DataFrame) -> DataFrame:
 
 
 def _prefixes(documents: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(token, doc, rest, n): prefix shingles of the distinct texts of each task."""
+    """(key, doc, sizes, often): prefix shingles of the distinct texts of each task, in few bytes, as all of them travel.
+
+    `sizes` is the number of shingles from there on times 2**32, plus the set's. A rare shingle is the
+    key itself and `often` is 0; a frequent one is in `often`, and its key is a mix of it and the document.
+    """
     known = documents.sparkSession.sparkContext.broadcast(counts)
     often = 4 * FREQUENT + 8 * int(counts.mean())
 
@@ -81,7 +87,7 @@ def _prefixes(documents: DataFrame, counts: np.ndarray) -> DataFrame:
         counts, seen = known.value, set()
         for batch in sliced(batches):
             ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            tokens, docs, rests, sizes = [], [], [], []
+            keys, docs, sizes, oftens = [], [], [], []
             for r, h in row_words(batch["text"], SPACED):
                 s = shingle_set(h)
                 n = len(s)
@@ -93,23 +99,25 @@ def _prefixes(documents: DataFrame, counts: np.ndarray) -> DataFrame:
                 seen.add(mark)
                 count = counts[(s >> np.uint64(44)).astype(np.int64)]
                 first = np.argsort(count, kind="stable")[: min(n, n // 4 + 2)]
-                tokens.append((s[first] & ~_FLAG) | (count[first] > often).astype(np.uint64))
+                token, many = s[first] & ~_FLAG, count[first] > often
+                own = mix(np.full(1, ids[r], np.int64).view(np.uint64))
+                keys.append(np.where(many, mix(token ^ own), token))
+                oftens.append(np.where(many, token | _FLAG, np.uint64(0)))
                 docs.append(np.full(len(first), ids[r]))
-                rests.append(n - np.arange(len(first)))
-                sizes.append(np.full(len(first), n))
-            if tokens:
-                cols = [int64s(np.concatenate(tokens)), pa.array(np.concatenate(docs), pa.int64()), pa.array(np.concatenate(rests), pa.int32()), pa.array(np.concatenate(sizes), pa.int32())]
-                yield pa.record_batch(cols, names=["token", "doc", "rest", "n"])
+                sizes.append((n - np.arange(len(first), dtype=np.int64)) * (1 << 32) + n)
+            if keys:
+                cols = [int64s(np.concatenate(keys)), pa.array(np.concatenate(docs), pa.int64()), pa.array(np.concatenate(sizes)), int64s(np.concatenate(oftens))]
+                yield pa.record_batch(cols, names=["key", "doc", "sizes", "often"])
 
-    return documents.where("doc_id IS NOT NULL").mapInArrow(rows, "token long, doc long, rest int, n int")
+    return documents.where("doc_id IS NOT NULL").mapInArrow(rows, "key long, doc long, sizes long, often long")
 
 
 def _shared(prefixes: DataFrame) -> DataFrame:
     """Rows whose shingle others have too; frequent ones are all kept, so no list of theirs is gathered."""
-    flagged = F.col("token").bitwiseAND(F.lit(1)) == 1
-    spread = prefixes.withColumn("_salt", F.when(flagged, F.col("doc")))
-    counted = spread.selectExpr("*", "count(*) OVER (PARTITION BY token, _salt) AS _c")
-    return counted.where((F.col("_c") > 1) | F.col("_salt").isNotNull()).select("token", "doc", "rest", "n")
+    counted = prefixes.selectExpr("*", "count(*) OVER (PARTITION BY key) AS c").where("c > 1 OR often <> 0")
+    token = F.when(F.col("often") == 0, F.col("key")).otherwise(F.col("often"))
+    rest, n = F.shiftright("sizes", 32).cast("int"), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    return counted.select(token.alias("token"), "doc", rest.alias("rest"), n.alias("n"))
 
 
 def _verified(documents: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -176,20 +184,29 @@ def _across(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.join(other, on).select(F.col("doc").alias("a"), F.col("doc_").alias("b"))
 
 
+def _copies(sizes: DataFrame) -> DataFrame:
+    """(a, b): every document with the first one of its part of a group of equal sets, and these with the group's first."""
+    parts = sizes.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(COPY_PLACES)))
+    firsts = parts.groupBy("n_shingles", "h", "part").agg(F.min("doc_id").alias("b"))
+    first = firsts.groupBy("n_shingles", "h").agg(F.min("b").alias("first"))
+    within = parts.join(firsts, ["n_shingles", "h", "part"]).where(F.col("doc_id") != F.col("b")).select(F.col("doc_id").alias("a"), "b")
+    across = firsts.join(first, ["n_shingles", "h"]).where(F.col("b") != F.col("first")).select(F.col("b").alias("a"), F.col("first").alias("b"))
+    return within.union(across)
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sizes = staged(set_sizes(documents))
-    first = sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "h").agg(F.min("doc_id").alias("b"))
-    copies = sizes.join(first, ["n_shingles", "h"]).where(F.col("doc_id") != F.col("b")).select(F.col("doc_id").alias("a"), "b")
+    copies = _copies(sizes.where("n_shingles > 0 AND doc_id IS NOT NULL"))
     found = components(copies.union(near_duplicate_links(documents))).withColumnRenamed("node", "doc_id")
     return sizes.join(found, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def distinct_documents(documents: DataFrame) -> DataFrame:
-    """The rows of `documents` whose doc_id is the smallest of its group; rows with a null doc_id stay."""
+    """The rows of `documents` whose doc_id is the smallest of its group; rows with a null doc_id and all columns stay."""
     names = near_duplicates(documents).where("doc_id <> component_id").select("doc_id").distinct()
-    return documents.join(names, "doc_id", "left_anti").select(*documents.columns)
+    return documents.join(names, "doc_id", "left_anti").select(*map(quoted, documents.columns))
 
 
 _SQL = r"""
