@@ -32,6 +32,19 @@ def test_percentiles_of_large_even_group(spark):
     assert list(got) == pytest.approx(list(np.percentile(vals, [50, 1])))
 
 
+@pytest.mark.parametrize("few", [0, 4096])
+def test_percentiles_of_few_hot_groups(spark, few):
+    """Rows are neither gathered by group nor sorted with the ranks of their bracket, for few and for many brackets."""
+    pdf = pd.DataFrame({"g": ["a"] * 3000 + ["b"] * 9, "v": [float(i * i % 3001) for i in range(3000)] + [2.0] * 9})
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([(None, 4.0), (None, 6.0)], "g string, v double"))
+    got = ranking.exact_percentiles(df, "v", {"m": 0.5, "p9": 0.9}, ["g"], 100, 50, few)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert ("_part" in plan) == (few == 0) and ("SortMergeJoin" in plan) == (few == 0)
+    per = {r["g"]: (r["m"], r["p9"]) for r in got.collect()}
+    assert per == {"a": pytest.approx(tuple(np.percentile(pdf.v[:3000], [50, 90]))), "b": (2.0, 2.0), None: (5.0, pytest.approx(5.8))}
+
+
 def test_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert ranking.exact_median(empty, "v").collect() == []

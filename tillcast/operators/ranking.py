@@ -12,6 +12,8 @@ from tillcast.sources.staging import staged
 
 SMALL = 10_000  # rows of a bracket that are ranked together
 GRID = 200  # quantiles that propose the cuts of a larger one
+FEW = 4096  # brackets that travel to the rows; of more, each meets its rows in SPREAD parts
+SPREAD = 16
 
 
 def hash_block(digest: str, blocks_hex: int = 3) -> Column:
@@ -60,6 +62,7 @@ def exact_percentiles(
     by: Sequence[str] = (),
     accuracy: int = 10_000,
     small: int = SMALL,
+    few: int = FEW,
 ) -> DataFrame:
     """Linear-interpolated percentiles for groups of any size, one column per name in `probs`.
 
@@ -70,14 +73,22 @@ def exact_percentiles(
     how fast brackets shrink, never where a rank lies; a cut pair that spans the bracket becomes its
     middle, so that every round takes a good part away. Only the rows of small brackets are ranked, equal values
     as one row. A group whose key is null is a group of its own.
+
+    Groups may be few and hold all rows between them, so rows are never gathered by group: up to `few`
+    brackets are broadcast, and more are joined in parts by value. Rows carry the ends of their bracket
+    and nothing else; what is known of a bracket comes back to it after each aggregate.
     """
     key = F.struct(*by) if by else F.lit(0)
     rows = df.where(col(value).isNotNull()).select(key.alias("_g"), col(value).cast("double").alias("_v"))
 
-    def within(brackets: DataFrame) -> DataFrame:
-        """Rows with the bracket they lie in; without groups there are no more brackets than ranks."""
-        near = brackets if by else F.broadcast(brackets)
-        return rows.join(near, "_g").where(F.col("_v").between(F.col("lo"), F.col("hi")))
+    def within(near: DataFrame, many: bool) -> DataFrame:
+        """Rows with the bracket they lie in."""
+        if many:
+            parts = near.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+            met = rows.withColumn("_part", F.pmod(F.xxhash64("_v"), F.lit(SPREAD)).cast("int")).join(parts.hint("merge"), ["_g", "_part"])
+        else:
+            met = rows.join(F.broadcast(near), "_g")
+        return met.where(F.col("_v").between(F.col("lo"), F.col("hi")))
 
     def wanted(p: float) -> Column:
         return F.lit(p) * (F.col("n") - 1)
@@ -89,15 +100,15 @@ def exact_percentiles(
     brackets = rows.groupBy("_g").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("n"))
     brackets = staged(brackets.select("_g", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("m"), "n", ranks.alias("ranks")))
     large = (F.col("m") > small) & (F.col("lo") < F.col("hi"))
-    while not brackets.where(large).isEmpty():
-        parts = brackets.where(~large).unionByName(_narrowed(brackets.where(large), within, accuracy))
+    while wide := brackets.where(large).count():
+        narrowed = _narrowed(brackets.where(large), lambda near: within(near, wide > few), accuracy)
+        parts = brackets.where(~large).unionByName(narrowed)
         same = parts.groupBy("_g", "lo", "hi", "below", "m", "n")  # ranks that came by different ways
         brackets = staged(same.agg(F.flatten(F.collect_list("ranks")).alias("ranks")))
 
     of_bracket = ["_g", "lo", "hi"]
-    folded = within(brackets).groupBy(*of_bracket, "_v").agg(
-        F.count("*").alias("c"), F.first("below").alias("below"), F.first("n").alias("n"), F.first("ranks").alias("ranks")
-    )
+    folded = within(brackets.select(*of_bracket), brackets.count() > few).groupBy(*of_bracket, "_v").agg(F.count("*").alias("c"))
+    folded = folded.join(brackets.select(*of_bracket, "below", "n", "ranks"), of_bracket)
     upto = Window.partitionBy(*of_bracket).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.col("below") + F.sum("c").over(upto)
     placed = folded.withColumn("end", end).withColumn("start", F.col("end") - F.col("c"))
@@ -111,8 +122,8 @@ def exact_percentiles(
         low, share = at(name, False), wanted(p) - F.floor(wanted(p))
         return (low + (at(name, True) - low) * share).alias(name)
 
-    wide = found.groupBy("_g", "n").agg(*[between(name, p) for name, p in probs.items()])
-    return wide.select(*(["_g.*"] if by else []), *probs)
+    per_group = found.groupBy("_g", "n").agg(*[between(name, p) for name, p in probs.items()])
+    return per_group.select(*(["_g.*"] if by else []), *probs)
 
 
 def _narrowed(brackets: DataFrame, within, accuracy: int) -> DataFrame:
@@ -127,12 +138,13 @@ def _narrowed(brackets: DataFrame, within, accuracy: int) -> DataFrame:
     middle = F.col("q")[GRID // 2]
     cut = each.withColumns({"c1": F.when(spans, middle).otherwise(cell(i - 1)), "c2": F.when(spans, middle).otherwise(cell(i + 2))})
     pairs = cut.groupBy(*of_bracket, "below", "m", "n", "c1", "c2").agg(F.collect_list("w").alias("ranks"))
+    pairs = staged(pairs)
     v, c1, c2 = F.col("_v"), F.col("c1"), F.col("c2")
-    counted = within(pairs).groupBy(*of_bracket, "c1", "c2").agg(
-        *[F.first(c).alias(c) for c in ("below", "m", "n", "ranks")],
+    counted = within(pairs.select(*of_bracket, "c1", "c2")).groupBy(*of_bracket, "c1", "c2").agg(
         F.count(F.when(v < c1, 1)).alias("lt"), F.count(F.when(v <= c2, 1)).alias("le"),
         F.max(F.when(v < c1, v)).alias("max_lt"), F.min(F.when(v > c2, v)).alias("min_gt"),
     )
+    counted = counted.join(pairs, [*of_bracket, "c1", "c2"])
     k = F.col("w.r") - F.col("below")
     part = F.when(k < F.col("lt"), F.struct("lo", F.col("max_lt").alias("hi"), "below", F.col("lt").alias("m"))).when(
         k < F.col("le"),
