@@ -201,3 +201,12 @@ def test_forest_with_more_stores_than_bins(spark):
     assert got["train"]["rows"] == 60 * 14 and got["valid"]["rows"] == 60 * 6 and got["valid"]["wape"] < 0.05
     imp = {r["feature"]: r["mae_increase"] for r in forest.forest_importance(split, CFG, trees=10, repeats=2).collect()}
     assert imp["x1"] > imp["x2"] > 0
+
+
+def test_store_effects_do_not_add_up_the_rows_again(spark):
+    """Effects are read from the staged sums of the fit."""
+    pdf = frame(4, 6, 20, 30)
+    df = spark.createDataFrame(pdf)
+    for model in (ridge.train(df, CFG), ridge.fit(df, CFG)):
+        assert "Aggregate" not in model.effects._jdf.queryExecution().optimizedPlan().toString()
+        assert model.effects.count() == 6

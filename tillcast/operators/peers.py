@@ -169,7 +169,7 @@ def nearest_peers(clusters: DataFrame, cohorts: DataFrame, max_peers: int = 3) -
     """
     y = "pc2" if "pc2" in clusters.columns else None
     placed = clusters.select("store_number", "cluster", F.col("pc1").alias("x"), (F.col(y) if y else F.lit(0.0)).alias("y"))
-    placed = placed.join(cohorts.select("store_number", "cohort"), "store_number").na.drop(subset=["cluster", "x", "y"])
+    placed = staged(placed.join(cohorts.select("store_number", "cohort"), "store_number").na.drop(subset=["cluster", "x", "y"]))
     at = Window.partitionBy("cluster", "x", "y").orderBy("store_number")
     longs = placed.where("cohort = 'long'").withColumn("_i", F.row_number().over(at)).where(F.col("_i") <= max_peers)
     points = longs.groupBy("cluster", "x", "y").agg(F.collect_list("store_number").alias("ids"))
@@ -218,7 +218,7 @@ def peer_scaled_forecast(
 
     Stores without history, without a peer history, or with a zero divisor get no rows.
     """
-    early = early_mean(hist)
+    early = staged(early_mean(hist))
     scale = (
         peers.join(early.toDF("peer", "_pm"), "peer")
         .groupBy("store_number")

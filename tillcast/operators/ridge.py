@@ -29,6 +29,7 @@ from tillcast.functions.casts import col, finite_sql
 from tillcast.functions.keys import drop_stores
 from tillcast.functions.stats import wape
 from tillcast.operators.splits import split_last_k
+from tillcast.sources.staging import staged
 
 
 def x_sql(name: str) -> str:
@@ -232,7 +233,7 @@ class RidgeModel:
 
 def fit(df: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> RidgeModel:
     """Ridge on all given rows, no gates and no holdout."""
-    sums = store_sums(df, cfg.feature_list, cfg)
+    sums = staged(store_sums(df, cfg.feature_list, cfg))
     return solved(sums, collect_gram(sums, cfg.feature_list, cfg), cfg)
 
 
@@ -253,14 +254,15 @@ def solved(sums: DataFrame, gram: Gram, cfg: ForecastConfig) -> RidgeModel:
 def train(df: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> RidgeModel:
     """Gate stores by history, measure on each store's last rows, then refit on all gated rows.
 
-    Both fits come from one pass: a training row counts for the measured and for the final fit.
+    Both fits come from one pass: a training row counts for the measured and for the final fit. The
+    sums, a row per store and fit, are staged: the store effects come from them, not from the rows again.
     """
     rows = drop_stores(df, cfg.store_col, cfg.exclude_stores)
     split = split_last_k(
         rows, cfg, cfg.holdout_k, cfg.min_history_train, cfg.min_history_eval, train_rest=True
     ).where(F.col("split").isNotNull())
     both = F.expr("explode(IF(split = 'train', array('learn', 'final'), array('final')))")
-    sums = store_sums(split.withColumn("_fit", both), cfg.feature_list, cfg, by=["_fit"])
+    sums = staged(store_sums(split.withColumn("_fit", both), cfg.feature_list, cfg, by=["_fit"]))
     grams = collect_grams(sums, cfg.feature_list, cfg, by="_fit")
     if "learn" not in grams:
         raise ValueError("no training rows")

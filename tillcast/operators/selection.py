@@ -15,6 +15,7 @@ from tillcast.operators.metrics import as_percent
 from tillcast.operators.peers import KEYS, peer_scaled_forecast
 from tillcast.operators.ridge import fit
 from tillcast.operators.splits import SHORT_BELOW, eval_coverage, history_cohorts, last_axis, off_axis, on_axis
+from tillcast.sources.staging import staged
 
 SWITCH_PP = 3.0
 
@@ -26,9 +27,9 @@ def backtest(
     """Fit without the last n global periods, then score them: pooled, and peer-scaled for short stores."""
     axis = last_axis(feats, n_last, required=True)
     model = fit(off_axis(feats, axis), replace(cfg, holdout_k=0))
-    pooled = model.score(on_axis(feats, axis), "yhat_pooled").select(*KEYS, "yhat_pooled")
-    cohorts = history_cohorts(hist, short_below)
-    coverage = eval_coverage(hist, axis)
+    pooled = staged(model.score(on_axis(feats, axis), "yhat_pooled").select(*KEYS, "yhat_pooled"))
+    cohorts = staged(history_cohorts(hist, short_below))
+    coverage = staged(eval_coverage(hist, axis))
     short = cohorts.where("cohort = 'short'").join(coverage, "store_number", "left_semi")
     short_peers = peers.join(short, "store_number", "left_semi")
     peer = peer_scaled_forecast(hist, pooled, short_peers, axis, "yhat_pooled")
