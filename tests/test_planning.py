@@ -164,6 +164,18 @@ def test_coverage_of_long_periods(spark):
     assert {(r["store_hours"], round(r["coverage_pct_active"] * 90, 6)) for r in per_dept} == {(57.0, len(worked | {1, 64, 67}))}
 
 
+def test_labor_windows_hold_few_store_periods_at_a_time(spark, monkeypatch):
+    """The number of parts is given; parts that follow the shuffle's bytes grow with the input."""
+    monkeypatch.setattr(labor, "staged", lambda df: df)
+    geo = spark.createDataFrame([("901", "1"), ("902", "2")], "Store_Number string, Heatmap_Store_Number string")
+    data = [(s, f"1995-01-{d:02d}", k, 2.0) for s in ("901", "902", "1") for d in range(1, 15) for k in "AB"]
+    hours = spark.createDataFrame(data, "Store_Number string, date string, dept string, total_hours double")
+    depts = labor.hours_by_hm(hours, tb.fiscal_calendar(spark), dims.key_map(geo))
+    assert f"{labor.PARTS}), REPARTITION_BY_NUM" in depts._jdf.queryExecution().executedPlan().toString()
+    got = rows(depts.select("hm_key", "department", "total_hours", "store_hours", "coverage_pct_active"))
+    assert got == [("1", "A", 56.0, 112.0, 0.5), ("1", "B", 56.0, 112.0, 0.5), ("2", "A", 28.0, 56.0, 0.5), ("2", "B", 28.0, 56.0, 0.5)]
+
+
 def test_labor_with_fiscal_keys_only(spark):
     geo = spark.createDataFrame([("901", "1"), ("902", "2")], "Store_Number string, Heatmap_Store_Number string")
     data = [("901", "2000", "1", "A", 30.0), ("901", "2000", "1.0", "B", 10.0), ("902", "2000", "1", "A", 5.0), ("901", "x", "1", "A", 9.0), ("901", "1e12", "1", "A", 9.0), ("901", "2000", "1.5", "A", 9.0)]

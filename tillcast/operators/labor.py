@@ -19,6 +19,7 @@ from tillcast.sources.staging import staged
 MIN_COVERAGE = 0.90
 SPREAD = 16  # parts of the department list that stores are joined with
 BLOCK_DAYS = 63  # days that share the bits of one long
+PARTS = 200  # of the store-periods, so that the windows over them hold little at a time
 PERIOD = ["fiscal_year", "fiscal_period"]
 STORE_PERIOD = ["store_number", *PERIOD]
 
@@ -86,10 +87,11 @@ def hours_by_hm(
     """Staged (hm_key, period, department) hours with the store's total and coverage beside them.
 
     Several labor ids of one store become one, so later joins cannot fan out. Rows are placed by
-    store-period once, for the fold and for the totals over it.
+    store-period once, for the fold and for the totals over it, in a given number of parts: parts of a
+    size that follows the shuffle's bytes were large once their rows were unpacked.
     """
     store_period = ["hm_key", *PERIOD]
-    mapped = to_hm(dept_hours(labor, calendar), mapping, allowed, excluded).repartition(*store_period)
+    mapped = to_hm(dept_hours(labor, calendar), mapping, allowed, excluded).repartition(PARTS, *store_period)
     folded = mapped.groupBy(*store_period, "department", "day_block").agg(
         F.sum("total_hours").alias("total_hours"),
         F.bit_or("days").alias("days"),
