@@ -148,6 +148,24 @@ def test_lines_match_brute_force(docs, empty):
     assert op5.without_repeats(empty).count() == 0
 
 
+def test_lines_need_no_python_workers(docs, monkeypatch):
+    monkeypatch.setattr(op5, "staged", lambda df: df)
+    plan = op5.repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert not any(x in plan for x in ("MapInArrow", "FlatMapGroupsInArrow", "ArrowEvalPython", "BatchEvalPython"))
+
+
+def test_near_copies_of_a_line_do_not_meet_all_in_all(spark):
+    n = 400
+    base = [f"word{k}" for k in range(30)]
+    texts = [" ".join(base[: i % 30] + [f"changed{i}"] + base[i % 30 + 1 :]) for i in range(n)]
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA).select("doc_id", "text")
+    sets = op5.line_sets(docs).where("NOT copy").drop("copy")
+    sure = op5._verified(docs, op5.star_pairs(sets))
+    assert op5.late_pairs(sets, sure).count() < 10 * n
+    assert {r["doc_id"] for r in op5.repeated_lines(docs).collect()} == set(range(1, n))
+
+
 def test_fm_index_finds_every_occurrence():
     r = np.random.default_rng(3)
     text = r.integers(0, 4, 300)
