@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tillcast.config import ForecastConfig
-from tillcast.operators import forest, importance, ridge, splits, storewise
+from tillcast.operators import forest, importance, ridge, splits, storewise, trees
 from tillcast.sources import sinks
 
 CFG = ForecastConfig(feature_list=("x1", "x2"), exclude_stores=("none",))
@@ -203,6 +203,92 @@ def test_forest_with_more_stores_than_bins(spark):
     assert imp["x1"] > imp["x2"] > 0
 
 
+def node_by_hand(bins, y, w, node, level, depth, leaf, drawn, first, code, value):
+    """One tree below `node` from single rows: the reference of `trees.grow`."""
+    value[node] = (w * y).sum() / w.sum()
+    best = None
+    if level < depth:
+        for f in drawn[level][node - (1 << level)]:
+            for cut in range(trees.BINS):
+                left = bins[:, f] <= cut
+                n, m = w[left].sum(), w[~left].sum()
+                if min(n, m) >= leaf:
+                    gain = (w * y)[left].sum() ** 2 / n + (w * y)[~left].sum() ** 2 / m - (w * y).sum() ** 2 / w.sum()
+                    if gain > 1e-9 and (best is None or gain > best[0] * (1 + 1e-12)):
+                        best = (gain, first[f] + cut, left)
+    if best:
+        code[node] = best[1]
+        for side, child in ((best[2], 2 * node), (~best[2], 2 * node + 1)):
+            node_by_hand(bins[side], y[side], w[side], child, level + 1, depth, leaf, drawn, first, code, value)
+
+
+def test_forest_equals_trees_grown_by_hand(spark):
+    """Every split and mean of six trees, with rows in several parts, equal cells and equal rows."""
+    rng = np.random.default_rng(31)
+    n, k, count, depth = 600, 4, 6, 4
+    x = np.column_stack([rng.normal(0, 1, n), rng.integers(0, 3, n), rng.integers(0, 40, n), np.full(n, 7.0)])
+    x[300:400] = x[:100]
+    y = 100 + 9 * (x[:, 0] > 0) * x[:, 1] + x[:, 2] + rng.normal(0, 1, n)
+    key = rng.integers(-(1 << 62), 1 << 62, n)
+    names = [f"f{i}" for i in range(k)]
+    df = spark.createDataFrame(pd.DataFrame({**{c: x[:, i] for i, c in enumerate(names)}, "label": y, "key": key}))
+    cuts = trees.feature_cuts(df, names)
+    assert [len(c) for c in cuts] == [31, 2, 31, 0]
+    bins = trees.binned(cuts, x.T)
+    cells = pd.DataFrame({"cell": [bytes(b) for b in bins], "label": y, "key": key})
+    got = trees.grow(spark.createDataFrame(cells).repartition(3), cuts, count, depth, 4, 5)
+    draw = np.random.default_rng(5)
+    salt = np.uint64(draw.integers(1 << 63))
+    drawn = [draw.random((count, 1 << d, k)).argsort(2)[:, :, :2] for d in range(depth)]
+    for t in range(count):
+        w = trees.draws(key.view(np.uint64) ^ salt, t - t % 4)[:, t % 4]
+        code, value = np.zeros(1 << depth, int), np.full(2 << depth, np.nan)
+        node_by_hand(bins, y - y.mean(), w, 1, 0, depth, 4, [d[t] for d in drawn], got.first, code, value)
+        assert got.code[t].tolist() == code.tolist()
+        assert got.value[t][~np.isnan(value)] == pytest.approx(value[~np.isnan(value)], abs=1e-9)
+        leaves = got.nodes(t, got.above(bins), np.arange(n), n, depth)
+        assert (code[leaves // 2] == 0).sum() == (leaves[code[leaves // 2] == 0] % 2 == 0).sum()
+    with pytest.raises(ValueError):
+        trees.grow(spark.createDataFrame(cells).limit(0), cuts, count, depth, 4, 5)
+
+
+def test_draws_are_those_of_a_poisson_of_mean_one():
+    w = np.concatenate([trees.draws(np.arange(200_000, dtype=np.uint64) * np.uint64(3), t) for t in (0, 4)], 1)
+    assert w.mean() == pytest.approx(1, abs=0.01) and w.var() == pytest.approx(1, abs=0.01)
+    assert np.abs(np.corrcoef(w.T) - np.eye(8)).max() < 0.01
+
+
+def test_forest_does_not_depend_on_how_rows_are_dealt(spark):
+    """Draws go by store and period, not by the place of a row in its partition; rows with equal keys draw apart."""
+    df = spark.createDataFrame(frame(23, 30, 20, 20))
+    split = splits.split_last_k(df.union(df.where("store_number = 's1'")), CFG)
+    one, many = (
+        {tuple(r)[:-1]: r[-1] for r in forest.fit_forest(d, CFG, trees=10).select("_store", "fiscal_year", "fiscal_period", "split", "label", "prediction").collect()}
+        for d in (split.coalesce(1), split.repartition(7))
+    )
+    assert one.keys() == many.keys()
+    assert [many[r] for r in one] == pytest.approx(list(one.values()), rel=1e-9)
+    model, cells = forest.fit_model(split, CFG, trees=10)
+    assert cells.select("key").distinct().count() == cells.count() == 31 * 20
+
+
+def test_forest_importance_equals_scoring_every_swapped_row(spark):
+    split = splits.split_last_k(spark.createDataFrame(frame(24, 12, 20, 20)), CFG)
+    got = {r["feature"]: r["mae_increase"] for r in forest.forest_importance(split, CFG, trees=10, repeats=3).collect()}
+    model, cells = forest.fit_model(split, CFG, trees=10)
+    valid = cells.where("split = 'valid'").withColumnsRenamed({"_store": "store_number", "_fy": "fiscal_year", "_fp": "fiscal_period"})
+    mixed = importance.permuted(valid, ["f0", "f1"], CFG, 3).toPandas()
+    assert len(mixed) == 3 * 72
+    known = model.known.value
+
+    def error(columns):
+        return np.abs(mixed["label"] - known.predict(trees.binned(known.cuts, [mixed[c] for c in columns]))).mean()
+
+    base = error(["f0", "f1", "f2"])
+    assert got["x1"] == pytest.approx(error(["shuffled_0", "f1", "f2"]) - base, rel=1e-9)
+    assert got["x2"] == pytest.approx(error(["f0", "shuffled_1", "f2"]) - base, rel=1e-9)
+
+
 def test_store_effects_do_not_add_up_the_rows_again(spark):
     """Effects are read from the staged sums of the fit."""
     pdf = frame(4, 6, 20, 30)

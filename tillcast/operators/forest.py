@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from tillcast.config import ForecastConfig
 from tillcast.functions.casts import col
@@ -14,10 +14,10 @@ from tillcast.functions.stats import wape
 from tillcast.operators.importance import permuted
 from tillcast.operators.ranking import exact_percentiles
 from tillcast.operators.ridge import x_sql
+from tillcast.operators.trees import PART, PIECE, Trees, as_cells, binned, feature_cuts, from_cells, grow
 from tillcast.sources.staging import staged
 
 
-
 def _design(split: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """Features as numbers f0, f1, ...; the last is the store's mean in training, else the mean of all.
 
@@ -33,16 +33,72 @@ def _design(split: DataFrame, cfg: ForecastConfig) -> DataFrame:
     return rows.join(mean, "_store", "left").withColumn(f"f{len(cfg.feature_list)}", code).drop("_code")
 
 
+def _scored_in_pieces(batches, size: int = PIECE):
+    """Batches of about `size` rows."""
+    held, n = [], 0
+    for batch in batches:
+        for i in range(0, batch.num_rows, size):
+            held.append(batch.slice(i, size))
+            n += held[-1].num_rows
+            if n >= size:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+class ForestModel:
+    """A fitted forest."""
+
+    def __init__(self, spark, trees: Trees):
+        self.known = spark.sparkContext.broadcast(trees)
+        self.cuts = trees.cuts
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """`rows`, which have the column `cell`, with their prediction."""
+        known, k, names = self.known, len(self.cuts), [*rows.columns, "prediction"]
+
+        def scored(batches):
+            for batch in _scored_in_pieces(batches):
+                found = known.value.predict(from_cells(batch["cell"], k))
+                yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())], names=names)
+
+        return rows.mapInArrow(scored, StructType([*rows.schema, StructField("prediction", DoubleType())]))
+
+
+def _celled(rows: DataFrame, cuts: list[np.ndarray], parts: int) -> DataFrame:
+    """`rows` with the bins of their features as `cell`, in order of cells and dealt evenly.
+
+    `key` is a digest of the row's store and period, and of its number among rows that share them.
+    """
+    names = [f"f{i}" for i in range(len(cuts))]
+    same = Window.partitionBy("_store", "_fy", "_fp").orderBy("label", *names)
+    keyed = rows.withColumn("key", F.xxhash64("_store", "_fy", "_fp", F.row_number().over(same)))
+
+    def with_cell(batches):
+        for batch in batches:
+            bins = binned(cuts, [batch[n].to_numpy(zero_copy_only=False) for n in names])
+            yield pa.record_batch([*batch.columns, as_cells(bins)], names=[*batch.schema.names, "cell"])
+
+    celled = keyed.mapInArrow(with_cell, StructType([*keyed.schema, StructField("cell", BinaryType())]))
+    return celled.repartitionByRange(parts, "cell", "key").sortWithinPartitions("cell", "key")
+
+
 def fit_model(
     split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, depth: int = 8, leaf: int = 4, seed: int = 0
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[ForestModel, DataFrame]:
     """(fitted forest, its input rows)."""
-    rows = staged(_design(split, cfg))
-    stages = [
-        VectorAssembler(inputCols=[f"f{i}" for i in range(len(cfg.feature_list) + 1)], outputCol="features"),
-        RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, maxMemoryInMB=1024),
-    ]
-    return Pipeline(stages=stages).fit(rows.where("split = 'train'")), rows
+    spark, k = split.sparkSession, len(cfg.feature_list) + 1
+    names = [f"f{i}" for i in range(k)]
+    number = lambda c: F.coalesce(F.when(F.isnan(c), None).otherwise(F.col(c)), F.raise_error(F.lit(f"{c} of a forest's row is null or NaN")).cast("double"))
+    design = _design(split, cfg).withColumnsRenamed({cfg.fy: "_fy", cfg.fp: "_fp"})
+    label = F.when((F.col("split") == "valid") | ~F.isnan(F.coalesce("label", F.lit(float("nan")))), F.col("label"))
+    label = label.otherwise(F.raise_error(F.lit("label of a forest's training row is null or NaN")).cast("double"))
+    rows = staged(design.withColumns({"label": label, **{n: number(n) for n in names}}))
+    cuts = feature_cuts(rows.where("split = 'train'"), names)
+    parts = max(spark.sparkContext.defaultParallelism, -(-rows.count() // PART))
+    rows = staged(_celled(rows, cuts, parts))
+    return ForestModel(spark, grow(rows.where("split = 'train'"), cuts, trees, depth, leaf, seed)), rows
 
 
 def split_table(rows: DataFrame, k: int, depth: int = 3, leaf: int = 4, bins: int = 8) -> DataFrame:
@@ -100,7 +156,8 @@ def tree_table(split: DataFrame, cfg: ForecastConfig = ForecastConfig(), **how)
 def fit_forest(split: DataFrame, cfg: ForecastConfig = ForecastConfig(), trees: int = 400, **how) -> DataFrame:
     """Scored rows (_store, split, label, features, prediction)."""
     model, rows = fit_model(split, cfg, trees, **how)
-    return model.transform(rows)
+    features = F.array(*[f"f{i}" for i in range(len(model.cuts))]).alias("features")
+    return model.transform(rows.select("_store", F.col("_fy").alias(cfg.fy), F.col("_fp").alias(cfg.fp), "split", "label", features, "cell")).drop("cell")
 
 
 def forest_errors(scored: DataFrame) -> DataFrame:
@@ -112,18 +169,35 @@ def forest_importance(
 ) -> DataFrame:
     """(feature, mae_increase) on the validation rows.
 
-    Columns are shuffled by the same block-numbered join as for the linear model. Every shuffled row
-    comes once per feature, with that feature's value swapped, so there is one join and one scoring.
+    Columns are shuffled by the same block-numbered join as for the linear model. A shuffled row is
+    scored once per feature, with that feature's value swapped; rows of one cell come together, so equal
+    swaps are scored once.
     """
     model, rows = fit_model(split, cfg, trees, **how)
-    valid = rows.where("split = 'valid'")
-    k = len(cfg.feature_list)
+    keys = {"_store": cfg.store_col, "_fy": cfg.fy, "_fp": cfg.fp}
+    valid = rows.where("split = 'valid'").withColumnsRenamed(keys)
+    k, known = len(cfg.feature_list), model.known
     cells = [f"f{i}" for i in range(k)]
-    mixed = permuted(valid.withColumnsRenamed({"_store": cfg.store_col}), cells, cfg, repeats)
-    each = mixed.withColumn("_swap", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    each = each.withColumns({f: F.when(F.col("_swap") == i, F.col(f"shuffled_{i}")).otherwise(F.col(f)) for i, f in enumerate(cells)})
-    error = F.avg(F.abs(F.col("label") - F.col("prediction")))
-    base = model.transform(valid).agg(error).scalar()
+    shuffled = [f"shuffled_{i}" for i in range(k)]
+    parts = max(split.sparkSession.sparkContext.defaultParallelism, -(-valid.count() * repeats // PART))
+    mixed = permuted(valid.select(*keys.values(), "label", "cell", *cells), cells, cfg, repeats).select("label", "cell", *shuffled)
+    mixed = mixed.repartitionByRange(parts, "cell", *shuffled)
+
+    def errors(batches):
+        n, e = np.zeros((2, k))
+        for batch in _scored_in_pieces(batches):
+            own = from_cells(batch["cell"], k + 1)
+            other = binned(known.value.cuts, [batch[c].to_numpy(zero_copy_only=False) for c in shuffled])
+            swapped = np.repeat(own[None], k, 0)
+            for i in range(k):
+                swapped[i, :, i] = other[:, i]
+            label = batch["label"].to_numpy(zero_copy_only=False)
+            off = np.abs(label - known.value.predict(swapped.reshape(-1, k + 1)).reshape(k, -1))
+            has = ~batch["label"].is_null().to_numpy(zero_copy_only=False)
+            n, e = n + has.sum(), e + off[:, has].sum(1)
+        yield pa.record_batch([pa.array(np.arange(k), pa.int32()), pa.array(n, pa.float64()), pa.array(e, pa.float64())], names=["_swap", "n", "e"])
+
+    base = model.transform(valid.select("label", "cell")).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).scalar()
     names = F.array(*[F.lit(f) for f in cfg.feature_list])
-    per_feature = model.transform(each).groupBy("_swap").agg(error.alias("_mae"))
-    return per_feature.select(F.get(names, F.col("_swap")).alias("feature"), (F.col("_mae") - base).alias("mae_increase"))
+    sums = mixed.mapInArrow(errors, "_swap int, n double, e double").groupBy("_swap").agg(F.sum("e").alias("e"), F.sum("n").alias("n")).where("n > 0")
+    return sums.select(F.get(names, F.col("_swap")).alias("feature"), (F.col("e") / F.col("n") - base).alias("mae_increase"))
