@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -20,6 +21,7 @@ from tillcast.llm import op9_best_fit_packing as op9
 from tillcast.llm import op10_quality_classifier as op10
 from tillcast.llm.batches import SPACED, flat, hashes, row_words, spans
 from tillcast.llm.components import components
+from tillcast.sources.staging import CLEANUP, staged
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 rng = random.Random(5)
@@ -155,6 +157,52 @@ def test_lines_need_no_python_workers(docs, monkeypatch):
     assert not any(x in plan for x in ("MapInArrow", "FlatMapGroupsInArrow", "ArrowEvalPython", "BatchEvalPython"))
 
 
+def test_only_lines_that_verification_asks_for_travel(spark):
+    """Before, the whole texts of all documents were shuffled for each round of verification."""
+    texts = [f"alpha beta{i}\tgamma\n\x0b \nsame line\r\nlast {i}" for i in range(300)] + [None, "", "alpha"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "alpha"), (7, "other\nlines")], "doc_id long, text string")
+    ends = spark.createDataFrame([(3, 0), (3, 0), (7, 1), (9, 2), (301, 0), (999, 0), (4, 50)], "doc long, line int")
+    got = sorted(tuple(r) for r in op5._asked(docs, ends).collect())
+    want = [(3, 0, "alpha beta3 gamma"), (7, 1, "  "), (7, 1, "lines"), (9, 2, "same line "), (301, 0, "")]
+    assert [r for r in got if r[:2] in {w[:2] for w in want}] == want
+    assert len(got) < len(want) + 5
+    plan = op5._asked(docs, ends)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+
+
+def test_late_pairs_shuffle_one_index(spark):
+    texts = [prose(12, i % 40) + f" own{i}" for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = op5.line_sets(docs).where("NOT copy").drop("copy")
+    late = op5.late_pairs(sets, sets.select("doc", "line").where("doc % 3 = 0"))
+    assert {r["doc"] % 3 for r in late.collect()} == {1, 2}
+    assert "ReusedExchange" in late._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffle_files_of_a_staged_table_go(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f.toString() for f in iter_java(manager.getAllFiles())}
+
+    def iter_java(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    before = files()
+    counted = staged(spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).count())
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert counted.count() == 5000 and spark.conf.get(CLEANUP, None) in (None, "false")
+
+
+def test_words_between_any_whitespace(spark):
+    docs = spark.createDataFrame([(1, "a\tb  c\x0bd\x0ce\rf\n \t\r\ng h"), (2, " f e d c b a \nh g x y")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in op5.repeated_lines(docs).collect()) == [(2, 0)]
+    assert {r["line"] for r in op5.line_sets(docs).where("doc = 1").collect()} == {0, 2}
+
+
 def test_near_copies_of_a_line_do_not_meet_all_in_all(spark):
     n = 400
     base = [f"word{k}" for k in range(30)]
